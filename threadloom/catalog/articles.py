@@ -38,11 +38,14 @@ def comment_texts(rows: DataFrame) -> DataFrame:
     ).drop("comments")
 
 
-def released(t: Tables, spec: readers.QuerySpec | None = SPEC) -> DataFrame:
-    articles = t.news.withColumns(
+def worded(t: Tables) -> DataFrame:
+    return t.news.withColumns(
         {"text": F.lit(""), "slug": X.slug("title"), "url": F.lit(None).cast("string"), "html": F.lit(None).cast("string")}
     )
-    return R.cut_release(articles, t.comments, spec)
+
+
+def released(t: Tables, spec: readers.QuerySpec | None = SPEC) -> DataFrame:
+    return R.cut_release(worded(t), t.comments, spec)
 
 
 @query(
@@ -61,12 +64,12 @@ def release_cut(t):
 
 @query("release_counts", f'SELECT "user", count(*) AS n FROM news WHERE {SPEC_WHERE} GROUP BY 1')
 def release_counts(t):
-    return R.release_counts(released(t))
+    return R.release_counts(worded(t), SPEC)
 
 
 @query("release_whole", 'SELECT "user", count(*) AS n FROM news GROUP BY 1')
 def release_whole(t):
-    return R.release_counts(released(t, readers.QuerySpec.of({})))
+    return R.release_counts(worded(t), readers.QuerySpec.of({}))
 
 
 @query(

@@ -5,22 +5,24 @@ are ORed, ``-term`` excludes every token of that word, ``"a phrase"`` must occur
 is no stemming and there are no stop words. A query with nothing positive selects nothing.
 
 Matching a fixed list of terms does not need the token array at all: a term matches when it stands
-between two token borders, so one compiled pattern reads each text once and allocates nothing.
+between two token borders. Each text is folded once; a byte search then rules out nearly all terms, and
+only for those that occur somewhere does a pattern look at the borders.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN = r"[\p{L}\p{N}]+"
-_START = r"(?<![\p{L}\p{N}])"
-_END = r"(?![\p{L}\p{N}])"
+_CHAR = r"[\p{L}\p{N}]"
+TOKEN = rf"{_CHAR}+"
 _GAP = r"[^\p{L}\p{N}]+"
 
 
@@ -40,12 +42,13 @@ _FOLD = {ord(a): (FOLD_TO[i] if i < len(FOLD_TO) else None) for i, a in enumerat
 
 
 def fold(text: Column | str) -> Column:
-    """Lower case without accents."""
-    return F.translate(F.lower(text), FOLD_FROM, FOLD_TO)
+    """Lower case without accents; plain ASCII texts, told by their length in bytes, need no translation."""
+    small = F.lower(text)
+    return F.when(F.octet_length(text) == F.length(text), small).otherwise(F.translate(small, FOLD_FROM, FOLD_TO))
 
 
 def tokens(text: Column | str) -> Column:
-    """All tokens in order. For a fixed term list prefer :func:`matches` or :func:`term_hits`."""
+    """All tokens in order. For a fixed term list prefer :func:`matches` or :func:`matched_positions`."""
     return F.regexp_extract_all(fold(text), F.lit(TOKEN), F.lit(0))
 
 
@@ -76,14 +79,27 @@ def parse_search(search: str) -> TextQuery:
     return TextQuery(tuple(dict.fromkeys(terms)), tuple(phrases), tuple(dict.fromkeys(banned)), tuple(banned_phrases))
 
 
-def _any_of(terms: Iterable[str]) -> str:
-    # Longest first, so that no alternative hides a longer one.
-    ordered = sorted(set(terms), key=lambda t: (-len(t), t))
-    return _START + "(" + "|".join(re.escape(t) for t in ordered) + ")" + _END
+def _stands(folded: Column, words: Sequence[str]) -> Column:
+    """The words occur one after another, between token borders.
 
+    The pattern starts with the literal, so that the engine skips along to it; the border before it is
+    looked at last.
+    """
+    literal = _GAP.join(re.escape(w) for w in words)
+    if len(words) == 1:
+        pattern = rf"{literal}(?!{_CHAR})(?<!{_CHAR}{literal})"
+    else:
+        pattern = rf"(?<!{_CHAR}){literal}(?!{_CHAR})"
+    return reduce(and_, [folded.contains(w) for w in words]) & F.rlike(folded, F.lit(pattern))
 
-def _phrase(words: Sequence[str]) -> str:
-    return _START + _GAP.join(re.escape(w) for w in words) + _END
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _text(text: Column | str) -> Column:
+    return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
 def matches(text: Column | str, search: str | TextQuery) -> Column:
@@ -91,26 +107,22 @@ def matches(text: Column | str, search: str | TextQuery) -> Column:
     query = parse_search(search) if isinstance(search, str) else search
     if not query.terms and not query.phrases:
         return F.lit(False)
-    folded = fold(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
-    # With phrases present the bare terms no longer widen the result: every phrase has to occur.
-    wanted = [_phrase(p) for p in query.phrases] or [_any_of(query.terms)]
-    result = F.lit(True)
-    for pattern in wanted:
-        result = result & F.rlike(folded, F.lit(pattern))
-    unwanted = [_phrase(p) for p in query.banned_phrases]
-    if query.banned_terms:
-        unwanted.append(_any_of(query.banned_terms))
-    for pattern in unwanted:
-        result = result & ~F.rlike(folded, F.lit(pattern))
-    return result
+
+    def holds(folded: Column) -> Column:
+        # With phrases present the bare terms no longer widen the result: every phrase has to occur.
+        if query.phrases:
+            wanted = reduce(and_, [_stands(folded, p) for p in query.phrases])
+        else:
+            wanted = reduce(or_, [_stands(folded, [w]) for w in query.terms])
+        unwanted = [*query.banned_phrases, *[[w] for w in query.banned_terms]]
+        return reduce(and_, [wanted, *[~_stands(folded, u) for u in unwanted]])
+
+    return _let(fold(_text(text)), holds)
 
 
 def matches_any(text: Column | str, searches: Iterable[str]) -> Column:
     """Disjunction of search strings."""
-    result = F.lit(False)
-    for search in searches:
-        result = result | matches(text, search)
-    return result
+    return reduce(or_, [matches(text, s) for s in searches], F.lit(False))
 
 
 def searched_text(*fields: Column | str) -> Column:
@@ -118,30 +130,29 @@ def searched_text(*fields: Column | str) -> Column:
     return F.concat_ws(" ", *fields)
 
 
-def term_hits(text: Column | str, terms: Sequence[str]) -> Column:
-    """The distinct tokens of ``terms`` that occur in the text: a short array, whatever its length."""
-    words = [w for t in terms for w in words_of(t)]
-    pattern = F.lit(_any_of(words))
-    return F.array_distinct(F.regexp_extract_all(fold(text), pattern, F.lit(1)))
-
-
-def _lookup(table: dict[str, Column]) -> Column:
-    return F.create_map(*[x for word, value in table.items() for x in (F.lit(word), value)])
+def _one_of(folded: Column, term: str) -> Column:
+    """A term of several tokens needs one of them; one without any token occurs nowhere."""
+    return reduce(or_, [_stands(folded, [w]) for w in words_of(term)], F.lit(False))
 
 
 def matched_positions(text: Column | str, terms: Sequence[str]) -> Column:
-    """Which terms occur, as 1-based positions in the list. A term of several tokens needs one of them."""
-    by_word: dict[str, list[int]] = {}
-    for position, term in enumerate(terms, 1):
-        for word in words_of(term):
-            by_word.setdefault(word, []).append(position)
-    table = _lookup({w: F.array(*[F.lit(p) for p in ps]) for w, ps in by_word.items()})
-    return F.array_distinct(F.flatten(F.transform(term_hits(text, terms), lambda w: table[w])))
+    """Which terms occur, as 1-based positions in the list."""
+    return _let(
+        fold(_text(text)),
+        lambda x: F.array_compact(F.array(*[F.when(_one_of(x, t), F.lit(i)) for i, t in enumerate(terms, 1)])),
+    )
 
 
 def first_position(text: Column | str, terms: Sequence[str]) -> Column:
-    """Position of the earliest listed term that occurs, null where none does."""
-    return F.array_min(matched_positions(text, terms))
+    """Position of the earliest listed term that occurs, null where none does; later ones are not looked for."""
+
+    def first(folded: Column) -> Column:
+        chain = F
+        for position, term in enumerate(terms, 1):
+            chain = chain.when(_one_of(folded, term), F.lit(position))
+        return chain
+
+    return _let(fold(_text(text)), first)
 
 
 # ---- track terms on live text: names keep their at-sign, underscores belong to words
@@ -155,17 +166,14 @@ def track_tokens(text: Column | str) -> Column:
 
 def track_hits(text: Column | str, tracks: Sequence[str]) -> Column:
     """The track terms that occur in the text, as listed and in list order."""
-    spelled: dict[str, str] = {}
-    for track in tracks:
-        spelled.setdefault(track.strip().lower().translate(_FOLD), track)
-    names = "|".join(re.escape(t) for t in sorted(spelled, key=len, reverse=True) if t.startswith("@"))
-    words = "|".join(re.escape(t) for t in sorted(spelled, key=len, reverse=True) if not t.startswith("@"))
-    options = []
-    if names:
-        options.append(rf"(?:{names})(?!{_TRACK_CHAR})")
-    if words:
-        options.append(rf"(?<![\p{{L}}\p{{N}}_@])(?:{words})(?!{_TRACK_CHAR})")
-    found = F.regexp_extract_all(fold(text), F.lit("(" + "|".join(options) + ")"), F.lit(1))
-    table = _lookup({folded: F.lit(track) for folded, track in spelled.items()})
-    listed = F.array(*[F.lit(t) for t in spelled.values()])
-    return F.array_intersect(listed, F.transform(found, lambda w: table[w]))
+
+    def occurs(folded: Column, track: str) -> Column:
+        word = track.strip().lower().translate(_FOLD)
+        literal = re.escape(word)
+        # An at-sign always opens a token; a bare word must not follow one, nor another word character.
+        before = "" if word.startswith("@") else rf"(?<![\p{{L}}\p{{N}}_@]{literal})"
+        return folded.contains(word) & F.rlike(folded, F.lit(rf"{literal}(?!{_TRACK_CHAR}){before}"))
+
+    return _let(
+        fold(_text(text)), lambda x: F.array_compact(F.array(*[F.when(occurs(x, t), F.lit(t)) for t in tracks]))
+    )

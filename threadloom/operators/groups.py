@@ -45,30 +45,40 @@ def nest_in_parts(
     rows, the children spread over them by a hash of ``salt``; together they hold every child once.
     No task gathers more than about ``part_rows`` children of one parent. The array is sorted by
     ``element``, so put what it is to be ordered by first. ``parents`` must be unique by ``key``.
+
+    The list of large parents is worked out first, from the key column alone, and written: where it is
+    empty, as it mostly is, the children are shuffled once and by the parent; where it is not, Spark
+    knows its size when it decides whether to broadcast it.
     """
-    sizes = children.groupBy(F.col(parent).alias("_parent")).agg(F.count(F.lit(1)).alias("_n"))
-    heads = parents.join(sizes, F.col(key) == F.col("_parent"), "left").drop("_parent")
-    heads = heads.withColumn("_parts", F.ceil(F.coalesce("_n", F.lit(0)) / part_rows).cast("int"))
-    # Splitting the children needs the number of parts only; the inner join also drops the children
-    # of other parents before the payload is shuffled.
-    plan = heads.where("_parts > 0").select(F.col(key).alias("_plan_key"), F.col("_parts").alias("_spread"))
-    part = F.pmod(F.xxhash64(*salt), F.col("_spread")).cast("int")
-    spread = children.join(plan, F.col(parent) == F.col("_plan_key")).select(
-        F.col("_plan_key"), part.alias("_plan_part"), element.alias("_item")
-    )
-    # Explicit: after a shuffled join on the parent alone, grouping by (parent, part) would be
-    # satisfied by that partitioning and leave all parts of a parent in one task.
-    packed = (
-        spread.repartition("_plan_key", "_plan_part")
-        .groupBy("_plan_key", "_plan_part")
-        .agg(F.sort_array(F.collect_list("_item")).alias(into))
+    sizes = children.groupBy(F.col(parent).alias("_large")).agg(F.count(F.lit(1)).alias("_n"))
+    large = materialise(
+        sizes.where(F.col("_n") > part_rows).select("_large", F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")),
+        "large-parents",
     )
-    rows = heads.withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_parts") - 1, F.lit(0))))
-    ).drop("_parts", "_n")
-    joined = rows.join(
-        packed, (F.col(key) == F.col("_plan_key")) & (F.col("part") == F.col("_plan_part")), "left"
-    ).drop("_plan_key", "_plan_part")
+    if large.isEmpty():
+        packed = children.groupBy(F.col(parent).alias("_owner")).agg(F.sort_array(F.collect_list(element)).alias(into))
+        joined = parents.join(packed, F.col(key) == F.col("_owner"), "left").drop("_owner").withColumn("part", F.lit(0))
+    else:
+        part = F.coalesce(F.pmod(F.xxhash64(*salt), F.col("_parts")).cast("int"), F.lit(0))
+        spread = children.join(large, F.col(parent) == F.col("_large"), "left").select(
+            F.col(parent).alias("_owner"), part.alias("_owner_part"), element.alias("_item")
+        )
+        # Explicit: after a shuffled join on the parent alone, grouping by (parent, part) would be
+        # satisfied by that partitioning and leave all parts of a parent in one task.
+        packed = (
+            spread.repartition("_owner", "_owner_part")
+            .groupBy("_owner", "_owner_part")
+            .agg(F.sort_array(F.collect_list("_item")).alias(into))
+        )
+        last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
+        rows = (
+            parents.join(large, F.col(key) == F.col("_large"), "left")
+            .withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+            .drop("_large", "_parts")
+        )
+        joined = rows.join(
+            packed, (F.col(key) == F.col("_owner")) & (F.col("part") == F.col("_owner_part")), "left"
+        ).drop("_owner", "_owner_part")
     return joined.withColumn(into, F.coalesce(into, F.array())).withColumn("part", F.col("part").cast("long"))
 
 

@@ -77,8 +77,13 @@ def comments_of(posts: DataFrame, articles: DataFrame) -> DataFrame:
     )
 
 
-def with_comments(articles: DataFrame, comments: DataFrame, part_rows: int = 50_000) -> DataFrame:
-    """Articles with nested comments, oldest first, large articles in several parts."""
+def with_comments(articles: DataFrame, comments: DataFrame, part_rows: int = 50_000, prune: bool = False) -> DataFrame:
+    """Articles with nested comments, oldest first, large articles in several parts.
+
+    ``prune`` drops the comments of other articles before they are shuffled: for a selection of articles.
+    """
+    if prune:
+        comments = P.only_keys(comments, articles, "article_id", "tweet_id")
     element = F.struct("created_at", "tweet_id", "text", "hateful_value")
     nested = nest_in_parts(articles, "tweet_id", comments, "article_id", element, ["tweet_id"], part_rows=part_rows)
     shaped = F.transform("comments", lambda c: F.struct(c["tweet_id"], c["text"], c["hateful_value"]))

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from threadloom.model import RELEASE_FIELDS
 from threadloom.operators.aggregates import count_by
 from threadloom.plans.articles import with_comments
+from threadloom.session import materialise
 from threadloom.sources.readers import QuerySpec
 from threadloom.sources.writers import write_release
 
@@ -19,14 +19,21 @@ def select_articles(articles: DataFrame, spec: QuerySpec | None) -> DataFrame:
 def cut_release(
     articles: DataFrame, comments: DataFrame, spec: QuerySpec | None = None, part_rows: int = 50_000
 ) -> DataFrame:
-    """The articles a spec selects, with their comments; no spec selects everything."""
+    """The articles a spec selects, with their comments; no spec selects everything.
+
+    A selection is written once: its texts are searched in one scan, although both the articles and
+    the pruning of their comments need it, and its size is known when the comments are joined.
+    """
     chosen = select_articles(articles, spec)
-    return with_comments(chosen, comments, part_rows).select(*RELEASE_FIELDS, "part")
+    selective = spec is not None and spec != QuerySpec()
+    if selective:
+        chosen = materialise(chosen, "selection")
+    return with_comments(chosen, comments, part_rows, prune=selective).select(*RELEASE_FIELDS, "part")
 
 
-def release_counts(release: DataFrame) -> DataFrame:
-    """Articles per newspaper; the further parts of a large article do not count again."""
-    return count_by(release.where(F.col("part") == 0), "user")
+def release_counts(articles: DataFrame, spec: QuerySpec | None = None) -> DataFrame:
+    """Articles per newspaper that a release would hold."""
+    return count_by(select_articles(articles, spec), "user")
 
 
 def export_release(articles: DataFrame, comments: DataFrame, path: str, spec: QuerySpec | None = None) -> None:
