@@ -98,8 +98,10 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _text(text: Column | str) -> Column:
-    return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+def _with_folded(text: Column | str, body: Callable[[Column], Column]) -> Column:
+    """``body`` of the folded text; a null text counts as empty."""
+    whole = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    return _let(whole, lambda raw: _let(fold(raw), body))
 
 
 def matches(text: Column | str, search: str | TextQuery) -> Column:
@@ -117,7 +119,7 @@ def matches(text: Column | str, search: str | TextQuery) -> Column:
         unwanted = [*query.banned_phrases, *[[w] for w in query.banned_terms]]
         return reduce(and_, [wanted, *[~_stands(folded, u) for u in unwanted]])
 
-    return _let(fold(_text(text)), holds)
+    return _with_folded(text, holds)
 
 
 def matches_any(text: Column | str, searches: Iterable[str]) -> Column:
@@ -137,9 +139,8 @@ def _one_of(folded: Column, term: str) -> Column:
 
 def matched_positions(text: Column | str, terms: Sequence[str]) -> Column:
     """Which terms occur, as 1-based positions in the list."""
-    return _let(
-        fold(_text(text)),
-        lambda x: F.array_compact(F.array(*[F.when(_one_of(x, t), F.lit(i)) for i, t in enumerate(terms, 1)])),
+    return _with_folded(
+        text, lambda x: F.array_compact(F.array(*[F.when(_one_of(x, t), F.lit(i)) for i, t in enumerate(terms, 1)]))
     )
 
 
@@ -152,7 +153,7 @@ def first_position(text: Column | str, terms: Sequence[str]) -> Column:
             chain = chain.when(_one_of(folded, term), F.lit(position))
         return chain
 
-    return _let(fold(_text(text)), first)
+    return _with_folded(text, first)
 
 
 # ---- track terms on live text: names keep their at-sign, underscores belong to words
@@ -174,6 +175,6 @@ def track_hits(text: Column | str, tracks: Sequence[str]) -> Column:
         before = "" if word.startswith("@") else rf"(?<![\p{{L}}\p{{N}}_@]{literal})"
         return folded.contains(word) & F.rlike(folded, F.lit(rf"{literal}(?!{_TRACK_CHAR}){before}"))
 
-    return _let(
-        fold(_text(text)), lambda x: F.array_compact(F.array(*[F.when(occurs(x, t), F.lit(t)) for t in tracks]))
+    return _with_folded(
+        text, lambda x: F.array_compact(F.array(*[F.when(occurs(x, t), F.lit(t)) for t in tracks]))
     )

@@ -56,7 +56,9 @@ def nest_in_parts(
         "large-parents",
     )
     if large.isEmpty():
-        packed = children.groupBy(F.col(parent).alias("_owner")).agg(F.sort_array(F.collect_list(element)).alias(into))
+        # Shuffled first: building lists in the map tasks would only sort the rows once more.
+        placed = children.select(F.col(parent).alias("_owner"), element.alias("_item")).repartition("_owner")
+        packed = placed.groupBy("_owner").agg(F.sort_array(F.collect_list("_item")).alias(into))
         joined = parents.join(packed, F.col(key) == F.col("_owner"), "left").drop("_owner").withColumn("part", F.lit(0))
     else:
         part = F.coalesce(F.pmod(F.xxhash64(*salt), F.col("_parts")).cast("int"), F.lit(0))
