@@ -40,24 +40,26 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool)
     )
 
 
+def _whole(key: str) -> Column:
+    """A record that parsed and has its key. (Spark does not let a query use the broken text alone.)"""
+    return F.col(BROKEN).isNull() & F.col(key).isNotNull()
+
+
 def read_release(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
-    """Articles of a release with real timestamps; broken records are in :func:`broken_records`."""
-    raw = read_json(spark, path, model.RELEASE_FILE, array)
-    good = raw.where(F.col(BROKEN).isNull()).drop(BROKEN)
+    """Articles of a release with real timestamps; the rest is in :func:`broken_records`."""
+    good = read_json(spark, path, model.RELEASE_FILE, array).where(_whole("tweet_id")).drop(BROKEN)
     return good.withColumns(
         {"created_at": X.unwrap_date(F.col("created_at")), "part": F.coalesce("part", F.lit(0).cast("long"))}
     )
 
 
-def broken_records(spark: SparkSession, path: str, schema: T.StructType, array: bool = False) -> DataFrame:
-    raw = read_json(spark, path, schema, array)
-    # All columns stay in the plan: Spark refuses to read the text of broken records alone.
-    return raw.where(F.col(BROKEN).isNotNull()).select(F.struct("*").alias("record")).select(f"record.{BROKEN}")
+def broken_records(spark: SparkSession, path: str, schema: T.StructType, array: bool = False, key: str = "tweet_id") -> DataFrame:
+    """Records that do not parse, with their text, and those without a key."""
+    return read_json(spark, path, schema, array).where(~_whole(key))
 
 
 def read_annotations(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
-    raw = read_json(spark, path, model.ANNOTATION, array)
-    return raw.where(F.col(BROKEN).isNull()).drop(BROKEN)
+    return read_json(spark, path, model.ANNOTATION, array).where(_whole("tweet_id")).drop(BROKEN)
 
 
 def read_id_csv(spark: SparkSession, path: str, column: str = "ID_OT") -> DataFrame:
