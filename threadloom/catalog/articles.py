@@ -177,7 +177,7 @@ def comments_unnested(t):
     r"""
     SELECT l.id, l.link, p.url AS page_url,
            lower(regexp_extract(p.url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]+)', 1)) AS host
-    FROM linked l LEFT JOIN pages p ON regexp_replace(trim(p.url), '#.*$', '') = regexp_replace(trim(l.link), '#.*$', '')""",
+    FROM linked l LEFT JOIN page_keys p ON p.key = l.link_key""",
 )
 def article_pages(t):
     return build.with_pages(t.linked, t.pages.drop("page_id")).select("id", "link", "page_url", X.host("page_url").alias("host"))
@@ -209,7 +209,7 @@ def page_default_bodies(t):
     "articles_built",
     """
     SELECT l.id AS tweet_id, l.text, l.screen_name AS "user", l.created_at, p.url, p.title, p.body
-    FROM linked l LEFT JOIN page_parts p ON p.url = l.link
+    FROM linked l LEFT JOIN page_keys p ON p.key = l.link_key
     WHERE l.id NOT IN (SELECT tweet_id FROM errors)""",
 )
 def articles_built(t):
@@ -226,7 +226,7 @@ ALL_SOURCES = {f"src{i}": "article" for i in range(20)}
     "articles_with_page",
     """
     SELECT l.id AS tweet_id, p.url, p.title
-    FROM linked l JOIN page_parts p ON p.url = l.link WHERE l.flagged""",
+    FROM linked l JOIN page_keys p ON p.key = l.link_key WHERE l.flagged""",
 )
 def articles_with_page(t):
     """Flagged posts only, posts without a page left out."""

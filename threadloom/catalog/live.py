@@ -133,7 +133,7 @@ def dedup_stream(t):
 @query(
     "article_stream",
     """
-    SELECT l.id AS tweet_id, p.url, p.title FROM linked l LEFT JOIN page_parts p ON p.url = l.link""",
+    SELECT l.id AS tweet_id, p.url, p.title FROM linked l LEFT JOIN page_keys p ON p.key = l.link_key""",
 )
 def article_stream(t):
     """Articles built batch by batch from a folder of posts."""

@@ -51,9 +51,12 @@ VIEWS = {
         FROM events WHERE event_type = 'error'""",
     "linked": """
         SELECT d.doc_id AS id, split_part(d.text, chr(10), 1) AS text, d.source AS screen_name,
-               lower(d.source) AS user_name, p.url AS link, d.lang, length(d.text) > 2000 AS flagged,
+               lower(d.source) AS user_name, p.url AS link, regexp_replace(trim(p.url), '#.*$', '') AS link_key, d.lang, length(d.text) > 2000 AS flagged,
                TIMESTAMP '2020-01-01' + d.n_chars * INTERVAL 1 HOUR AS created_at
         FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id""",
+    "page_keys": r"""
+        SELECT *, regexp_replace(trim(url), '#.*$', '') AS key FROM page_parts
+        QUALIFY row_number() OVER (PARTITION BY regexp_replace(trim(url), '#.*$', '') ORDER BY url) = 1""",
     "page_parts": r"""
         SELECT page_id, url, html,
                trim(regexp_replace(unescaped_title, '\s+', ' ', 'g')) AS title, body

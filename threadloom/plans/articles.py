@@ -25,14 +25,16 @@ def news_posts(posts: DataFrame, accounts: DataFrame | None = None, flagged_only
 def with_pages(posts: DataFrame, pages: DataFrame) -> DataFrame:
     """Every post with the landed page its first link points to.
 
-    Posts without a link get a key of their own instead of sharing the null key, which would put all
-    of them into one task.
+    Pages no post links to are dropped before any HTML is shuffled; of pages that differ in the
+    fragment of their address alone, the first address counts. Posts without a link get a key of their
+    own instead of sharing the null key, which would put all of them into one task.
     """
-    keyed = first_wins(
-        pages.withColumn("_page_key", X.link_key("url")), ["_page_key"], [F.col("url")]
-    ).select("_page_key", F.col("url").alias("page_url"), "html")
-    link = X.first_link("entities.urls")
-    posts = posts.withColumn("link", link)
+    posts = posts.withColumn("link", X.first_link("entities.urls"))
+    wanted = posts.select(X.link_key("link").alias("_page_key")).where(F.col("_page_key").isNotNull()).distinct()
+    keyed = P.only_keys(pages.withColumn("_page_key", X.link_key("url")), wanted, "_page_key")
+    keyed = first_wins(keyed, ["_page_key"], [F.col("url"), F.xxhash64("html")]).select(
+        "_page_key", F.col("url").alias("page_url"), "html"
+    )
     key = F.coalesce(X.link_key("link"), F.concat(F.lit("no link "), F.col("id").cast("string")))
     return posts.join(keyed, key == F.col("_page_key"), "left").drop("_page_key")
 
