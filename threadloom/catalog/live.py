@@ -138,7 +138,7 @@ def dedup_stream(t):
 def article_stream(t):
     """Articles built batch by batch from a folder of posts."""
     folder = run_dir(t.spark, "articles")
-    t.linked.write.parquet(f"{folder}/posts")
+    t.linked.repartition(2).write.parquet(f"{folder}/posts")
     stream = t.spark.readStream.schema(model.POST).option("maxFilesPerTrigger", 1).parquet(f"{folder}/posts")
     accounts = t.linked.select("user_name").distinct()
     _drain(ingest.article_stream(stream, t.pages.drop("page_id"), f"{folder}/table", f"{folder}/log", accounts))

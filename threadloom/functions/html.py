@@ -74,6 +74,9 @@ class _Outline(HTMLParser):
     def handle_data(self, data):
         self.open[-1].items.append(data)
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def _end_paragraph(self):
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == "p":

@@ -26,9 +26,9 @@ def _extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Data
             if page is not None:
                 try:
                     tree = H.outline(page)
-                    title, body = H.title_of(tree), H.default_body(tree)
-                    special = H.RULES[rule](tree) if rule else None
-                    body = body if special is None else special
+                    title = H.title_of(tree)
+                    body = H.RULES[rule](tree) if rule else None
+                    body = H.default_body(tree) if body is None else body
                 except (AssertionError, ValueError, RecursionError):
                     pass  # a page that cannot be read has no page part
             titles.append(title)

@@ -59,7 +59,9 @@ def nest_in_parts(
         # Shuffled first: building lists in the map tasks would only sort the rows once more.
         placed = children.select(F.col(parent).alias("_owner"), element.alias("_item")).repartition("_owner")
         packed = placed.groupBy("_owner").agg(F.sort_array(F.collect_list("_item")).alias(into))
-        joined = parents.join(packed, F.col(key) == F.col("_owner"), "left").drop("_owner").withColumn("part", F.lit(0))
+        # Lists look small next to the compressed files they come from; merging never has to hold them all.
+        joined = parents.join(packed.hint("merge"), F.col(key) == F.col("_owner"), "left")
+        joined = joined.drop("_owner").withColumn("part", F.lit(0))
     else:
         part = F.coalesce(F.pmod(F.xxhash64(*salt), F.col("_parts")).cast("int"), F.lit(0))
         spread = children.join(large, F.col(parent) == F.col("_large"), "left").select(
@@ -79,7 +81,7 @@ def nest_in_parts(
             .drop("_large", "_parts")
         )
         joined = rows.join(
-            packed, (F.col(key) == F.col("_owner")) & (F.col("part") == F.col("_owner_part")), "left"
+            packed.hint("merge"), (F.col(key) == F.col("_owner")) & (F.col("part") == F.col("_owner_part")), "left"
         ).drop("_owner", "_owner_part")
     return joined.withColumn(into, F.coalesce(into, F.array())).withColumn("part", F.col("part").cast("long"))
 

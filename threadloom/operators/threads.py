@@ -23,6 +23,15 @@ def screen_names(posts: DataFrame) -> DataFrame:
     return posts.where(F.col("query").isNotNull()).select(X.screen_name("query").alias("user_name")).distinct()
 
 
+def short_list(accounts: DataFrame) -> DataFrame:
+    """Account names, distinct and written.
+
+    A handful of accounts own all posts, so a shuffle of the posts by account would be all skew. Once
+    the list is a file Spark knows its size and broadcasts it without moving the posts.
+    """
+    return materialise(accounts.select("user_name").distinct(), "accounts")
+
+
 def direct_replies(posts: DataFrame, parents: DataFrame, key: str = "id") -> DataFrame:
     """Posts that answer one of ``parents``."""
     return P.only_keys(posts.where(P.is_reply()), parents, PARENT, key)
@@ -151,7 +160,7 @@ def accused_posts(posts: DataFrame, words: str, max_length: int, official: DataF
         P.has_none("entities.urls") & P.absent("entities.media") & F.col("in_reply_to_user_id").isNull()
     )
     if official is not None:
-        plain = P.without_keys(plain, official, "user_name")
+        plain = P.without_keys(plain, short_list(official), "user_name")
     return plain.join(targets, F.col("id") == F.col("_target"), "left_semi")
 
 
@@ -160,7 +169,7 @@ def label_candidates(
 ) -> DataFrame:
     """Unlabelled root posts of the accounts with more than ``more_than`` replies, ``n`` at random."""
     roots = posts.where(P.unlabelled() & F.col(PARENT).isNull())
-    roots = P.only_keys(roots, accounts, "user_name")
+    roots = P.only_keys(roots, short_list(accounts), "user_name")
     return random_rows(with_many_replies(posts, more_than, roots), "id", n, seed)
 
 

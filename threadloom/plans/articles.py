@@ -9,7 +9,7 @@ from threadloom.functions import scalars as X
 from threadloom.operators import filters as P
 from threadloom.operators.extraction import BODY_RULES, extract_pages, repaired_bodies, rule_for
 from threadloom.operators.groups import first_wins, nest_in_parts
-from threadloom.operators.threads import screen_names
+from threadloom.operators.threads import screen_names, short_list
 from threadloom.sources.writers import updated
 
 
@@ -19,24 +19,29 @@ def news_posts(posts: DataFrame, accounts: DataFrame | None = None, flagged_only
     roots = posts.where(P.is_root())
     if flagged_only:
         roots = roots.where(P.hate_flagged())
-    return P.only_keys(roots, accounts, "user_name")
+    return P.only_keys(roots, short_list(accounts), "user_name")
 
 
-def with_pages(posts: DataFrame, pages: DataFrame) -> DataFrame:
-    """Every post with the landed page its first link points to.
+def with_pages(posts: DataFrame, pages: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
+    """Every post with the landed page its first link points to; with ``rules``, also its title and body.
 
     Pages no post links to are dropped before any HTML is shuffled; of pages that differ in the
-    fragment of their address alone, the first address counts. Posts without a link get a key of their
-    own instead of sharing the null key, which would put all of them into one task.
+    fragment of their address alone, the first address counts. A page is read once per body rule, not
+    once per post that links to it. Posts without a link get a key of their own instead of sharing the
+    null key, which would put all of them into one task.
     """
-    posts = posts.withColumn("link", X.first_link("entities.urls"))
-    wanted = posts.select(X.link_key("link").alias("_page_key")).where(F.col("_page_key").isNotNull()).distinct()
-    keyed = P.only_keys(pages.withColumn("_page_key", X.link_key("url")), wanted, "_page_key")
-    keyed = first_wins(keyed, ["_page_key"], [F.col("url"), F.xxhash64("html")]).select(
-        "_page_key", F.col("url").alias("page_url"), "html"
-    )
-    key = F.coalesce(X.link_key("link"), F.concat(F.lit("no link "), F.col("id").cast("string")))
-    return posts.join(keyed, key == F.col("_page_key"), "left").drop("_page_key")
+    rule = F.lit(None).cast("string") if rules is None else rule_for("user.screen_name", rules)
+    posts = posts.withColumn("link", X.first_link("entities.urls")).withColumn("_rule", F.coalesce(rule, F.lit("")))
+    link = X.link_key("link")
+    wanted = posts.where(F.col("link").isNotNull()).select(link.alias("_page_key"), "_rule").distinct()
+    keyed = P.only_keys(pages.select("url", "html").withColumn("_page_key", X.link_key("url")), wanted, "_page_key")
+    keyed = first_wins(keyed, ["_page_key"], [F.col("url"), F.xxhash64("html")])
+    read = keyed.join(wanted, "_page_key").withColumnsRenamed({"url": "page_url", "_rule": "_page_rule"})
+    if rules is not None:
+        read = extract_pages(read, F.nullif(F.col("_page_rule"), F.lit("")))
+    key = F.coalesce(link, F.concat(F.lit("no link "), F.col("id").cast("string")))
+    same = (key == F.col("_page_key")) & (F.col("_rule") == F.col("_page_rule"))
+    return posts.join(read, same, "left").drop("_page_key", "_page_rule", "_rule")
 
 
 def build_articles(
@@ -52,11 +57,10 @@ def build_articles(
     todo = news_posts(posts, accounts, flagged_only)
     if articles is not None:
         todo = P.without_keys(todo, articles, "id", "tweet_id")
-    paged = with_pages(todo, pages)
-    read = extract_pages(paged, rule_for("user.screen_name", rules))
-    if not keep_without_page:
-        read = read.where(F.col("body").isNotNull())
+    read = with_pages(todo, pages, rules)
     has_page = F.col("body").isNotNull()
+    if not keep_without_page:
+        read = read.where(has_page)
     return read.select(
         F.col("id").alias("tweet_id"),
         "text",

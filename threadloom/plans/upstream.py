@@ -32,13 +32,9 @@ def lookup_round(posts: DataFrame, errors: DataFrame, marked: DataFrame | None,
     found = payloads(outcomes.where("outcome = 'found'"))
     # A parent that is itself a reply waits for its own parent in the next round.
     found = found.withColumn("look_for_upstream", F.coalesce(F.col(G.PARENT) != 0, F.lit(False)))
+    # One answer per parent, and no parent with an error was asked for: nothing to look for in the store.
     failed = outcomes.where("outcome = 'error'").select("message", "api_code", F.col("id").alias("tweet_id"))
-    return Round(
-        outcomes,
-        found.select(*posts.columns),
-        absent_errors(failed, errors),
-        G.resolved_replies(pending, outcomes),
-    )
+    return Round(outcomes, found.select(*posts.columns), failed, G.resolved_replies(pending, outcomes))
 
 
 def settled_posts(posts: DataFrame, found: DataFrame, marked: DataFrame) -> DataFrame:
@@ -60,8 +56,9 @@ def resolve_upstream(
         summaries.append(summary)
         if not any(summary.values()):
             break
-        found = found.unionByName(materialise(step.found, "found"))
-        failed = failed.unionByName(materialise(step.errors, "errors"))
+        # Found posts and errors are projections of the written outcomes already.
+        found = found.unionByName(step.found)
+        failed = failed.unionByName(step.errors)
         marked = marked.unionByName(materialise(step.marked, "marked"))
     return settled_posts(posts, found, marked), errors.unionByName(failed), summaries
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from threadloom import model
 from threadloom.functions import text as TX
 from threadloom.operators import filters as P
+from threadloom.operators.groups import first_wins
 from threadloom.plans.articles import build_articles
 from threadloom.plans.upstream import lookup_round
 from threadloom.sources.writers import absent_rows, narrowed, write_batch
@@ -39,6 +40,12 @@ NEWS_TRACKS = [
 ACCUSING_WORDS = ["racista", "misógino", "machista", "machirulo"]
 
 Work = Callable[[DataFrame, int], None]
+# A table that other jobs add to is given as a function that reads it, called anew for every batch.
+Table = DataFrame | Callable[[], DataFrame]
+
+
+def current(table: Table) -> DataFrame:
+    return table if isinstance(table, DataFrame) else table()
 
 
 def track_matches(posts: DataFrame, tracks: Sequence[str]) -> DataFrame:
@@ -69,9 +76,8 @@ def save_new(table: str, order: Sequence[str] = ("created_at",)) -> Work:
         batch.persist()
         try:
             before = narrowed(stored(spark, table, ids, number), batch, "id")
-            # A total order: copies that differ in anything still give the same winner every time.
-            plain = [c for c in batch.columns if c not in order]
-            by = [F.col(c) for c in order] + [F.xxhash64(*plain), F.to_json(F.struct(*plain))]
+            # The hash settles ties: copies that differ in anything still give the same winner every time.
+            by = [*[F.col(c) for c in order], F.xxhash64(*batch.columns)]
             write_batch(absent_rows(batch, before, "id", by), table, number)
         finally:
             batch.unpersist()
@@ -111,7 +117,9 @@ def ingest_stream(
     return start(posts, work or save_new(table), checkpoint, period)
 
 
-def ingest_replies(stream: DataFrame, table: str, checkpoint: str, tracks: Sequence[str] = ACCUSING_WORDS, **more) -> StreamingQuery:
+def ingest_replies(
+    stream: DataFrame, table: str, checkpoint: str, tracks: Sequence[str] = ACCUSING_WORDS, **more
+) -> StreamingQuery:
     """Replies that hold an accusing word."""
     return ingest_stream(stream, table, checkpoint, tracks, only_replies=True, **more)
 
@@ -129,7 +137,9 @@ def drop_replays(stream: DataFrame, key: str = "id", horizon: str = "1 day", spr
     return timed.dropDuplicatesWithinWatermark([key])
 
 
-def article_stream(stream: DataFrame, pages: DataFrame, table: str, checkpoint: str, accounts: DataFrame, period: str | None = None, **more) -> StreamingQuery:
+def article_stream(
+    stream: DataFrame, pages: Table, table: str, checkpoint: str, accounts: Table, period: str | None = None, **more
+) -> StreamingQuery:
     """Articles for the root posts of each batch that have none yet.
 
     Comments are not stored with them: they are the replies in the post table, joined when a release
@@ -139,14 +149,15 @@ def article_stream(stream: DataFrame, pages: DataFrame, table: str, checkpoint:
 
     def work(batch: DataFrame, number: int) -> None:
         before = stored(batch.sparkSession, table, schema, number)
-        ids = batch.select(F.col("id").alias("tweet_id"))
-        write_batch(build_articles(batch, pages, narrowed(before, ids, "tweet_id"), accounts, **more), table, number)
+        posts = first_wins(batch, ["id"], [F.col("created_at"), F.xxhash64(*batch.columns)])
+        built = narrowed(before, batch.select(F.col("id").alias("tweet_id")), "tweet_id")
+        write_batch(build_articles(posts, current(pages), built, current(accounts), **more), table, number)
 
     return start(stream, work, checkpoint, period)
 
 
 def upstream_stream(
-    responses: DataFrame, posts: DataFrame, errors: DataFrame, folder: str, checkpoint: str, period: str | None = "300 seconds"
+    responses: DataFrame, posts: Table, errors: Table, folder: str, checkpoint: str, period: str | None = "300 seconds"
 ) -> StreamingQuery:
     """One lookup round per batch of landed responses.
 
@@ -156,9 +167,10 @@ def upstream_stream(
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        base = current(posts)
         step = lookup_round(
-            posts.unionByName(stored(spark, f"{folder}/found", posts.schema, number)),
-            errors.unionByName(stored(spark, f"{folder}/errors", model.API_ERROR, number)),
+            base.unionByName(stored(spark, f"{folder}/found", base.schema, number)),
+            current(errors).unionByName(stored(spark, f"{folder}/errors", model.API_ERROR, number)),
             stored(spark, f"{folder}/marked", marks, number),
             batch,
         )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.session import materialise
+
 REPORT_PERIOD = "600 seconds"
 
 
@@ -44,9 +46,13 @@ def period_totals(posts: DataFrame, every: str = REPORT_PERIOD) -> DataFrame:
 
 
 def stalls(counted: DataFrame, every: str = REPORT_PERIOD) -> DataFrame:
-    """Periods between the first and last one seen in which a query had no post at all."""
+    """Periods between the first and last one seen in which a query had no post at all.
+
+    The counts are written first: ends, queries and gaps all read them, and the posts are scanned once.
+    """
+    counted = materialise(counted.select("query", "period_start"), "rates")
     ends = counted.agg(F.min("period_start").alias("a"), F.max("period_start").alias("b"))
     first, last = ends.select("a").scalar(), ends.select("b").scalar()
     periods = F.sequence(first, last, F.expr(f"INTERVAL '{every.split()[0]}' {every.split()[1].rstrip('s')}"))
     grid = counted.select("query").distinct().withColumn("period_start", F.explode(periods))
-    return grid.join(counted.select("query", "period_start"), ["query", "period_start"], "left_anti")
+    return grid.join(counted, ["query", "period_start"], "left_anti")
