@@ -156,6 +156,12 @@ def first_position(text: Column | str, terms: Sequence[str]) -> Column:
     return _with_folded(text, first)
 
 
+def vocabulary(*lists: Iterable[str], without: Iterable[str] = ()) -> list[str]:
+    """Term lists put together, each term once and in order, some taken out."""
+    dropped = set(without)
+    return [t for t in dict.fromkeys(t for terms in lists for t in terms) if t not in dropped]
+
+
 # ---- track terms on live text: names keep their at-sign, underscores belong to words
 
 _TRACK_CHAR = r"[\p{L}\p{N}_]"

@@ -2,41 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadloom.functions import html as H
 
+# The page code travels with the job: executors need not have this package.
+cloudpickle.register_pickle_by_value(H)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Newspaper account -> rule. Fixed value: the one newspaper whose pages need a rule of their own.
 BODY_RULES = {"infobae": "article"}
 
 EXTRACTED = T.StructType([T.StructField("title", T.StringType()), T.StructField("body", T.StringType())])
+UNREADABLE = (AssertionError, ValueError, RecursionError)
+
+Rule = Callable[[H.Node], str | None]
+
+
+def _whole_pages(functions: Mapping[str, Rule]):
+    """(html, rule name) -> title and body; a rule that does not apply leaves the default body."""
+
+    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for pages, rules in batches:
+            titles, bodies = [], []
+            for page, rule in zip(pages, rules):
+                title = body = None
+                if page is not None:
+                    try:
+                        tree = H.outline(page)
+                        title = H.title_of(tree)
+                        body = functions[rule](tree) if rule else None
+                        body = H.default_body(tree) if body is None else body
+                    except UNREADABLE:
+                        pass  # a page that cannot be read has no page part
+                titles.append(title)
+                bodies.append(body)
+            yield pd.DataFrame({"title": titles, "body": bodies})
+
+    return F.pandas_udf(read, EXTRACTED)
 
 
-@F.pandas_udf(EXTRACTED)
-def _extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    for pages, rules in batches:
-        titles, bodies = [], []
-        for page, rule in zip(pages, rules):
-            title = body = None
-            if page is not None:
+def _bodies_by_rule(functions: Mapping[str, Rule]):
+    """(html, rule name) -> body, null where the rule does not apply."""
+
+    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for pages, rules in batches:
+            out = []
+            for page, rule in zip(pages, rules):
                 try:
-                    tree = H.outline(page)
-                    title = H.title_of(tree)
-                    body = H.RULES[rule](tree) if rule else None
-                    body = H.default_body(tree) if body is None else body
-                except (AssertionError, ValueError, RecursionError):
-                    pass  # a page that cannot be read has no page part
-            titles.append(title)
-            bodies.append(body)
-        yield pd.DataFrame({"title": titles, "body": bodies})
-
-
-def rule_for(newspaper: Column | str, rules: dict[str, str] = BODY_RULES) -> Column:
+                    out.append(functions[rule](H.outline(page)))
+                except UNREADABLE:
+                    out.append(None)
+            yield pd.Series(out, dtype=object)
+
+    return F.pandas_udf(read, T.StringType())
+
+
+def rule_for(newspaper: Column | str, rules: Mapping[str, str] = BODY_RULES) -> Column:
     """Name of the body rule of a newspaper, null for the default alone."""
     name = F.col(newspaper) if isinstance(newspaper, str) else newspaper
     chosen = F.lit(None).cast("string")
@@ -45,30 +74,24 @@ def rule_for(newspaper: Column | str, rules: dict[str, str] = BODY_RULES) -> Col
     return chosen
 
 
-def extract_pages(pages: DataFrame, rule: Column, html: str = "html") -> DataFrame:
-    """Adds ``title`` and ``body``; both null where nothing could be read, empty bodies counting as nothing."""
-    seen = pages.withColumn("_page", _extract(F.col(html), rule))
+def extract_pages(
+    pages: DataFrame, rule: Column, html: str = "html", functions: Mapping[str, Rule] = H.RULES
+) -> DataFrame:
+    """Adds ``title`` and ``body``; both null where nothing could be read, empty bodies counting as nothing.
+
+    ``functions`` are the rules by name; pass your own to add one for another newspaper.
+    """
+    seen = pages.withColumn("_page", _whole_pages(dict(functions))(F.col(html), rule))
     readable = F.length("_page.body") > 0
     return seen.withColumns(
         {"title": F.when(readable, F.col("_page.title")), "body": F.when(readable, F.col("_page.body"))}
     ).drop("_page")
 
 
-def repaired_bodies(articles: DataFrame, rules: dict[str, str] = BODY_RULES) -> DataFrame:
+def repaired_bodies(
+    articles: DataFrame, rules: Mapping[str, str] = BODY_RULES, functions: Mapping[str, Rule] = H.RULES
+) -> DataFrame:
     """(tweet_id, body) of the articles whose newspaper has a rule and whose page the rule applies to."""
     due = articles.where(F.col("user").isin(list(rules)) & F.col("html").isNotNull())
-    return due.select("tweet_id", _rule_only(F.col("html"), rule_for("user", rules)).alias("body")).where(
-        F.col("body").isNotNull()
-    )
-
-
-@F.pandas_udf(T.StringType())
-def _rule_only(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for pages, rules in batches:
-        out = []
-        for page, rule in zip(pages, rules):
-            try:
-                out.append(H.RULES[rule](H.outline(page)))
-            except (AssertionError, ValueError, RecursionError):
-                out.append(None)
-        yield pd.Series(out, dtype=object)
+    body = _bodies_by_rule(dict(functions))(F.col("html"), rule_for("user", rules))
+    return due.select("tweet_id", body.alias("body")).where(F.col("body").isNotNull())

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions import scalars as X
@@ -74,12 +76,22 @@ def build_articles(
     )
 
 
-def comments_of(posts: DataFrame, articles: DataFrame) -> DataFrame:
-    """The replies to articles, flat: one row per comment."""
+def comments_of(posts: DataFrame, articles: DataFrame, scorer: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The replies to articles, flat: one row per comment.
+
+    The score is what the posts carry, or what ``scorer`` makes of their text, or null.
+    """
     replies = P.only_keys(posts.where(P.is_reply()), articles, P.PARENT, "tweet_id")
-    score = F.col("hateful_value") if "hateful_value" in posts.columns else F.lit(None).cast("double")
+    if scorer is not None:
+        score = scorer(F.col("text"))
+    else:
+        score = F.col("hateful_value") if "hateful_value" in posts.columns else F.lit(None)
     return replies.select(
-        F.col(P.PARENT).alias("article_id"), F.col("id").alias("tweet_id"), "text", "created_at", score.alias("hateful_value")
+        F.col(P.PARENT).alias("article_id"),
+        F.col("id").alias("tweet_id"),
+        "text",
+        "created_at",
+        score.cast("double").alias("hateful_value"),
     )
 
 
