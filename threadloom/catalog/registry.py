@@ -22,6 +22,13 @@ def sql_tokens(text: str) -> str:
     return rf"regexp_extract_all({sql_fold(text)}, '[\p{{L}}\p{{N}}]+')"
 
 
+def sql_unescape(text: str) -> str:
+    """Character references, with or without their semicolon; the ampersand last."""
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
+    return text
+
+
 VIEWS = {
     "articles": 'SELECT o_orderkey AS tweet_id, o_orderpriority AS "user", o_orderdate AS created_at FROM orders',
     "comments": """
@@ -57,16 +64,12 @@ VIEWS = {
     "page_keys": r"""
         SELECT *, regexp_replace(trim(url), '#.*$', '') AS key FROM page_parts
         QUALIFY row_number() OVER (PARTITION BY regexp_replace(trim(url), '#.*$', '') ORDER BY url) = 1""",
-    "page_parts": r"""
+    "page_parts": rf"""
         SELECT page_id, url, html,
-               trim(regexp_replace(unescaped_title, '\s+', ' ', 'g')) AS title, body
-        FROM (SELECT page_id, url, html,
-                     replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1),
-                       '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS unescaped_title,
-                     array_to_string([trim(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'),
-                         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), E' \t\n\r')
-                       FOR x IN string_split(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>')[2:]], E'\n\n') AS body
-              FROM pages)""",
+               trim(regexp_replace({sql_unescape("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}, '\s+', ' ', 'g')) AS title,
+               array_to_string([trim({sql_unescape("regexp_replace(x, '<[^>]*>', '', 'g')")}, E' \t\n\r')
+                 FOR x IN string_split(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>')[2:]], E'\n\n') AS body
+        FROM pages""",
     "annotations": """
         SELECT d.doc_id AS tweet_id, d.n_chars AS article_id, split_part(d.text, chr(10), 1) AS text,
                coalesce(l.toxic, 0) * 2 + coalesce(1 - l.quality, 0) AS hate,
