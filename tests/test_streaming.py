@@ -123,6 +123,22 @@ def test_stalls(spark):
     assert report == [("@a", 1, 0, 1), ("@a", 1, 1, 2), ("@b", 1, 0, 1)]
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_live_stalls_equal_the_batch(spark, tmp_path, files):
+    moments = [0, 1, 5, 31, 32, 33, 64, 95, 121, 122, 150, 181]
+    rows = [(i, minute(m), "x", "@a" if i % 3 else "@b", None) for i, m in enumerate(moments)]
+    step = len(rows) // files
+    for i in range(files):
+        land(spark, tmp_path / "in", rows[i * step : (i + 1) * step], 1)
+    stream = stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], POSTS).schema, files_per_batch=1)
+    live = rates.live_rates(stream.withColumnRenamed("lang", "query"), "600 seconds", "0 seconds")
+    rates.watch(live, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    got = sorted((r.query, r.period_start) for r in spark.read.parquet(str(tmp_path / "out" / "stalls")).collect())
+    whole = rates.flat(rates.rates(spark.createDataFrame(rows, POSTS).withColumnRenamed("lang", "query")))
+    closed = whole.where(F.col("period_end") <= F.lit(minute(181)).cast("timestamp_ntz"))
+    assert got == sorted((r.query, r.period_start) for r in rates.stalls(closed).collect()) and got
+
+
 def test_articles_in_any_batches_equal_one_build(spark, tmp_path, folder):
     t = Tables(spark, folder)
     posts = t.linked.limit(60).cache()

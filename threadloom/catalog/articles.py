@@ -12,6 +12,7 @@ from threadloom.operators import filters as P
 from threadloom.operators.groups import nest_in_parts
 from threadloom.plans import articles as build
 from threadloom.plans import release as R
+from threadloom.plans.scoring import exploded_comments, numbered_comments
 from threadloom.session import run_dir
 from threadloom.sources import readers, writers
 from threadloom.sources.adapters import Tables
@@ -25,7 +26,7 @@ SPEC_WORDS = "['fur', 'etre', 'que', 'cion', 'ther', 'ble']"
 SPEC_WHERE = f"""
     "user" IN ('1-URGENT', '2-HIGH', '5-LOW') AND created_at >= TIMESTAMP '1996-03-01'
     AND list_has_any({sql_tokens("title || ' ' || body")}, {SPEC_WORDS})"""
-LIST = "string_agg(text, ',' ORDER BY created_at, tweet_id, text)"
+LIST = "coalesce(string_agg(c.text, ',' ORDER BY c.created_at, c.tweet_id, c.text), '')"
 
 
 def comment_texts(rows: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def released(t: Tables, spec: readers.QuerySpec | None = SPEC) -> DataFrame:
     "release_cut",
     f"""
     SELECT n.tweet_id, n."user", n.title, n.body, n.created_at, CAST(0 AS BIGINT) AS part,
-           count(c.text) AS n_comments, coalesce({LIST.replace('text', 'c.text').replace('created_at', 'c.created_at').replace('tweet_id', 'c.tweet_id')}, '') AS comment_list
+           count(c.text) AS n_comments, {LIST} AS comment_list
     FROM (SELECT * FROM news WHERE {SPEC_WHERE}) n LEFT JOIN comments c ON c.article_id = n.tweet_id
     GROUP BY ALL""",
 )
@@ -119,7 +120,7 @@ def rebuilt_table(t):
 
 NESTED_SQL = f"""
     SELECT a.tweet_id, CAST(0 AS BIGINT) AS part, count(c.text) AS n_comments,
-           coalesce(string_agg(c.text, ',' ORDER BY c.created_at, c.tweet_id, c.text), '') AS comment_list
+           {LIST} AS comment_list
     FROM articles a LEFT JOIN comments c ON c.article_id = a.tweet_id GROUP BY a.tweet_id"""
 
 
@@ -150,8 +151,6 @@ def reply_lists(t):
     FROM comments""",
 )
 def comments_exploded(t):
-    from threadloom.plans.scoring import numbered_comments
-
     rows = numbered_comments(t.comments, "article_id", ["created_at", "tweet_id", "text"], F.col("score"), 0.05)
     return rows.select("article_id", "text", "over", "position")
 
@@ -164,8 +163,6 @@ def comments_exploded(t):
     FROM comments WHERE article_id IN (SELECT tweet_id FROM news)""",
 )
 def comments_unnested(t):
-    from threadloom.plans.scoring import exploded_comments
-
     return exploded_comments(released(t, None)).select("article_id", "part", "text", "position")
 
 
@@ -205,6 +202,10 @@ def page_default_bodies(t):
     return E.extract_pages(t.pages, F.lit(None).cast("string")).select("page_id", "body")
 
 
+# Every source of the test tables follows the article rule.
+ALL_SOURCES = {f"src{i}": "article" for i in range(20)}
+
+
 @query(
     "articles_built",
     """
@@ -218,10 +219,6 @@ def articles_built(t):
     return rows.select("tweet_id", "text", "user", "created_at", "url", "title", "body")
 
 
-# Every source of the test tables follows the article rule.
-ALL_SOURCES = {f"src{i}": "article" for i in range(20)}
-
-
 @query(
     "articles_with_page",
     """

@@ -70,6 +70,22 @@ def rate_stream(t):
     return t.spark.read.schema(counted.schema).parquet(f"{folder}/table")
 
 
+@query(
+    "stall_stream",
+    f"""
+    WITH r AS (SELECT * FROM ({RATES}) WHERE period_start + INTERVAL 10 MINUTE <= (SELECT max(created_at) - INTERVAL 10 MINUTE FROM live)),
+    ends AS (SELECT min(period_start) AS a, max(period_start) AS b FROM r),
+    grid AS (SELECT q.query, p.period_start FROM (SELECT DISTINCT query FROM r) q
+             CROSS JOIN (SELECT unnest(generate_series(a, b, INTERVAL 10 MINUTE)) AS period_start FROM ends) p)
+    SELECT query, period_start FROM grid ANTI JOIN r USING (query, period_start)""",
+)
+def stall_stream(t):
+    """Silent periods among those that the watermark has closed."""
+    folder = run_dir(t.spark, "stalls")
+    _drain(rates.watch(rates.live_rates(t.live_stream()), folder, f"{folder}/log"))
+    return t.spark.read.parquet(f"{folder}/stalls").select("query", "period_start")
+
+
 @query("ingest_stream", "SELECT id, created_at, query FROM live")
 def ingest_stream(t):
     """Every event comes three times; one copy of each is kept."""

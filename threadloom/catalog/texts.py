@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from threadloom.catalog.registry import query, sql_fold, sql_tokens
@@ -41,9 +43,15 @@ def text_not(t):
     return t.docs.where(TX.matches("body", "que und -covid-19 -étre -für")).select("tweet_id")
 
 
-@query("text_negation_only", "SELECT tweet_id FROM docs WHERE false")
+@query(
+    "text_negation_only",
+    f"SELECT tweet_id, list_contains({TOKENS}, 'que') AS with_term, false AS negated_only FROM docs",
+)
 def text_negation_only(t):
-    return t.docs.where(TX.matches("body", "-que -und")).select("tweet_id")
+    """A search of negations alone finds nothing, not even the documents without the term."""
+    return t.docs.select(
+        "tweet_id", TX.matches("body", "que").alias("with_term"), TX.matches("body", "-que").alias("negated_only")
+    )
 
 
 @query(
@@ -65,8 +73,6 @@ def text_phrase(t):
       AND (list_has_any({TOKENS}, ['fur', 'etre']) OR (list_has_any({TOKENS}, ['que']) AND NOT list_has_any({TOKENS}, ['un'])))""",
 )
 def text_or(t):
-    import datetime as dt
-
     keep = P.by_users(["src1", "src2", "src3", "src4", "src5"]) & P.since(dt.datetime(2020, 2, 10))
     return t.docs.where(keep & TX.matches_any("body", ["für étre", "que -un"])).select("tweet_id", "user")
 

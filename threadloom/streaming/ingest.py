@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +20,7 @@ from threadloom.operators.groups import first_wins
 from threadloom.plans.articles import build_articles
 from threadloom.plans.upstream import lookup_round
 from threadloom.sources.writers import absent_rows, narrowed, write_batch
+from threadloom.streaming.batches import Work, start, stored
 
 # The accounts and the accusing words followed by default.
 NEWS_TRACKS = [
@@ -39,7 +40,6 @@ NEWS_TRACKS = [
 ]
 ACCUSING_WORDS = ["racista", "misógino", "machista", "machirulo"]
 
-Work = Callable[[DataFrame, int], None]
 # A table that other jobs add to is given as a function that reads it, called anew for every batch.
 Table = DataFrame | Callable[[], DataFrame]
 
@@ -58,15 +58,6 @@ def tagged(posts: DataFrame, tracks: Sequence[str]) -> DataFrame:
     return posts.withColumn("query", F.get(TX.track_hits("text", tracks), F.lit(0))).where(F.col("query").isNotNull())
 
 
-def stored(spark: SparkSession, table: str, schema: T.StructType, before: int) -> DataFrame:
-    """The rows of the batches before this one; other folders are pruned by name."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(with_batch).parquet(table).where(F.col("batch") < before).drop("batch")
-
-
 def save_new(table: str, order: Sequence[str] = ("created_at",)) -> Work:
     """Batch work that appends posts whose id is not in the table yet, the first copy of each."""
 
@@ -85,12 +76,6 @@ def save_new(table: str, order: Sequence[str] = ("created_at",)) -> Work:
     return work
 
 
-def start(stream: DataFrame, work: Work, checkpoint: str, period: str | None = None) -> StreamingQuery:
-    """Run ``work`` per batch: every ``period``, or over what is there and then stop."""
-    writer = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=period) if period else writer.trigger(availableNow=True)).start()
-
-
 def selected(
     stream: DataFrame, tracks: Sequence[str] | None, languages: Sequence[str] | None, only_replies: bool
 ) -> DataFrame:

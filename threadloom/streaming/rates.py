@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from threadloom.session import materialise
+from threadloom.sources.writers import write_batch
+from threadloom.streaming.batches import start, stored
 
 REPORT_PERIOD = "600 seconds"
 
@@ -56,3 +59,24 @@ def stalls(counted: DataFrame, every: str = REPORT_PERIOD) -> DataFrame:
     periods = F.sequence(first, last, F.expr(f"INTERVAL '{every.split()[0]}' {every.split()[1].rstrip('s')}"))
     grid = counted.select("query").distinct().withColumn("period_start", F.explode(periods))
     return grid.join(counted, ["query", "period_start"], "left_anti")
+
+
+def watch(counted: DataFrame, folder: str, checkpoint: str, every: str = REPORT_PERIOD, period: str | None = None) -> StreamingQuery:
+    """Live rates and stalls: adds closed periods to ``rates`` and, with them, the silent ones to ``stalls``.
+
+    A period is closed for all queries at once, so what is missing in it when it comes is missing for
+    good. A query is watched from the batch on in which it first shows up. Only the small table of
+    counts is read again.
+    """
+
+    def work(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        write_batch(batch, f"{folder}/rates", number)
+        known = stored(spark, f"{folder}/rates", counted.schema, number + 1)
+        seen = stored(spark, f"{folder}/rates", counted.schema, number).agg(F.max("period_start")).first()[0]
+        silent = stalls(known, every)
+        if seen is not None:
+            silent = silent.where(F.col("period_start") > F.lit(seen).cast("timestamp_ntz"))
+        write_batch(silent, f"{folder}/stalls", number)
+
+    return start(counted, work, checkpoint, period)
