@@ -9,6 +9,7 @@ from threadloom.functions import text as TX
 from threadloom.operators import aggregates as A
 from threadloom.operators import filters as P
 from threadloom.operators.groups import nest_in_parts, number_within
+from threadloom.session import materialise
 
 
 def score_articles(
@@ -52,10 +53,12 @@ def annotated_replies(
     annotations: DataFrame, posts: DataFrame, articles: DataFrame, min_votes: int = 2, part_rows: int = 50_000
 ) -> DataFrame:
     """Comments with enough hate votes that have replies, with these, their article and top categories."""
-    hateful = annotations.where(P.votes_at_least(min_votes)).withColumns(A.most_voted())
-    replies = posts.where(P.is_reply()).select(P.PARENT, "id", F.col("text").alias("reply_text"))
+    # Written, as annotations are few and three steps need these: their replies are pruned by a list of known size.
+    hateful = materialise(annotations.where(P.votes_at_least(min_votes)).withColumns(A.most_voted()), "hateful")
+    replies = P.only_keys(posts.where(P.is_reply()), hateful, P.PARENT, "tweet_id")
+    replies = replies.select(P.PARENT, F.struct(F.col("id").alias("tweet_id"), "text").alias("reply"), "id")
     nested = nest_in_parts(
-        hateful, "tweet_id", replies, P.PARENT, F.struct(F.col("id").alias("tweet_id"), F.col("reply_text").alias("text")), ["id"], "replies", part_rows
+        hateful, "tweet_id", replies, P.PARENT, F.col("reply"), ["id"], "replies", part_rows
     ).where(F.size("replies") > 0)
     titles = articles.select(F.col("tweet_id").alias("_article"), F.col("title").alias("article_title"))
     return nested.join(titles, F.col("article_id") == F.col("_article")).drop("_article")
