@@ -136,5 +136,21 @@ def test_snapshots(spark, tmp_path):
     assert (first.count(), second.count()) == (3, 2)
 
 
-def test_work_root_is_the_one_named(spark):
-    assert work_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+def test_work_root(spark):
+    root = work_root(spark)
+    assert root == work_root(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert root == named.rstrip("/") if named else root == spark.sparkContext.getCheckpointDir()
+
+
+def test_work_root_of_a_cluster_has_to_be_named():
+    class Bare:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_root(Bare)

@@ -29,19 +29,19 @@ def build_session(app: str = "threadloom", master: str | None = None, **conf: st
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, or the checkpoint folder set in code.
 
     Only a local master may fall back on a temporary folder: on a cluster the executors would not
     share it, and losing one of them would lose its part of the table.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="threadloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
-    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="threadloom-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
