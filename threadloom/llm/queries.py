@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import decontamination, exact, licenses, packing, pages, quality, toxicity, warc
+from threadloom.llm import decontamination, exact, jaccard, licenses, lines, packing, pages, quality, toxicity, warc
 from threadloom.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +146,44 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def lines_sql() -> str:
+    """Lines as lists of words; sets as lists of runs; the join by any shared run, nothing else left out."""
+    return rf"""
+WITH numbered AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+line AS (
+  SELECT doc_id, unnest(range(len(parts))) AS ln, string_split(trim(lower(unnest(parts)), ' '), ' ') AS w FROM numbered),
+sets AS (
+  SELECT doc_id, ln, list_sort(list_distinct([array_to_string(w[i + 1:i + {lines.SIZE}], ' ') FOR i IN range(len(w) - {lines.SIZE - 1})])) AS s
+  FROM line WHERE len(w) >= {lines.SIZE}),
+classes AS (
+  SELECT s, min((doc_id, ln)) AS first, row_number() OVER () AS c, len(s) AS n FROM sets GROUP BY s),
+runs AS (SELECT c, first, n, unnest(s) AS run FROM classes),
+linked AS (
+  SELECT b.c FROM runs a JOIN runs b ON a.run = b.run AND a.first < b.first AND a.c <> b.c
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= {lines.PERCENT} * (a.n + b.n - count(*))),
+removed AS (
+  SELECT DISTINCT sets.doc_id, sets.ln FROM sets JOIN classes USING (s)
+  WHERE (doc_id, ln) <> first OR c IN (SELECT c FROM linked)),
+gone AS (SELECT doc_id, list(ln) AS lns FROM removed GROUP BY 1)
+SELECT doc_id, len(parts)::BIGINT AS n_lines, coalesce(len(lns), 0)::BIGINT AS n_removed,
+       array_to_string([parts[i + 1] FOR i IN range(len(parts)) IF NOT coalesce(list_contains(lns, i), false)], chr(10)) AS text
+FROM numbered LEFT JOIN gone USING (doc_id)"""
+
+
+@query("op7_lines", lines_sql())
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that match an earlier one."""
+    found = lines.without_matching_lines(table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", "text")
+
+
+@query("op8_jaccard")
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle counts and near-duplicate components of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op9_decontamination",
     rf"""
