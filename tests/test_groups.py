@@ -21,7 +21,7 @@ def replies(spark):
 @pytest.mark.parametrize("part_rows", [100, 1000, 50_000])
 def test_parts_hold_every_child_once(spark, replies, part_rows):
     parents = spark.range(1, 510).withColumnRenamed("id", "pid")
-    nested = nest_in_parts(parents, "pid", replies, "parent", F.struct("created_at", "id"), ["id"], "kids", part_rows).cache()
+    nested = nest_in_parts(parents, "pid", replies, "parent", F.struct("created_at", "id"), ["created_at", "id"], "kids", part_rows).cache()
     assert nested.select(F.sum(F.size("kids"))).first()[0] == 30_000
     assert nested.where("part = 0").count() == 509
     assert nested.groupBy("pid", "part").count().where("count > 1").isEmpty()
@@ -30,11 +30,28 @@ def test_parts_hold_every_child_once(spark, replies, part_rows):
     parts = nested.where("pid = 1").count()
     assert parts == -(-20_000 // part_rows)
     if part_rows < 20_000:
-        assert nested.where("pid = 1").agg(F.max(F.size("kids"))).first()[0] < 1.6 * part_rows
+        assert nested.where("pid = 1").agg(F.max(F.size("kids"))).first()[0] == part_rows
     assert nested.where("kids <> array_sort(kids)").isEmpty()
     assert nested.where("pid = 509").first().kids == []
 
 
+def test_blocks_follow_each_other(spark, replies):
+    parents = spark.range(1, 510).withColumnRenamed("id", "pid")
+    for hot_rows in (1000, 10**9):
+        nested = nest_in_parts(parents, "pid", replies, "parent", F.struct("created_at", "id"), ["created_at", "id"], "kids", 700, hot_rows)
+        rows = nested.where("pid = 1").orderBy("part").collect()
+        kids = [tuple(k) for r in rows for k in r.kids]
+        assert kids == sorted(kids) and [len(r.kids) for r in rows[:-1]] == [700] * (len(rows) - 1)
+
+
+def test_null_groups_are_split_too(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 1).alias("parent"))
+    numbered = number_within(df, ["parent"], ["id"], hot_rows=10)
+    got = {(r.parent, r.n, r.last) for r in numbered.groupBy("parent").agg(F.count("*").alias("n"), F.max("position").alias("last")).collect()}
+    assert got == {(1, 1000, 1000), (None, 2000, 2000)}
+    assert numbered.groupBy("parent", "position").count().where("count > 1").isEmpty()
+
+
 @pytest.mark.parametrize("hot_rows", [50, 5000, 10**9])
 def test_numbers_are_exact(replies, hot_rows):
     numbered = number_within(replies, ["parent"], ["created_at", "id"], hot_rows=hot_rows)

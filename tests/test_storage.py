@@ -77,13 +77,15 @@ def articles_and_comments(spark):
 @pytest.mark.parametrize("part_rows", [10, 1000])
 def test_release_roundtrip(spark, tmp_path, part_rows):
     articles, comments = articles_and_comments(spark)
-    release = cut_release(articles, comments, part_rows=part_rows)
+    release = cut_release(articles, comments, block_rows=part_rows)
     writers.write_release(release, str(tmp_path / "out"))
     back = readers.read_release(spark, str(tmp_path / "out"))
     assert model.missing_fields(back.schema, release.schema) == []
     sizes = {r.tweet_id: r.n for r in back.groupBy("tweet_id").agg(F.sum(F.size("comments")).alias("n")).collect()}
     assert sizes == {1: 95, 2: 5, 3: 0}
-    assert back.where("part = 0").count() == 3
+    whole, flat = readers.release_tables(back)
+    assert whole.count() == 3 and flat.count() == 100
+    assert flat.where(f"article_id = 1 and place >= {part_rows}").isEmpty()
     line = json.loads(next(x for f in (tmp_path / "out").glob("part-*") for x in f.read_text().splitlines()))
     assert set(line) == set(model.RELEASE_FIELDS) | {"part"} and "$date" in line["created_at"]
 

@@ -79,6 +79,18 @@ def test_rounds_close_the_chain(spark):
     assert state(again) == state(closed) and len(more) == 1
 
 
+def test_a_chain_of_300_levels_closes(spark):
+    posts = posts_of(spark, [(1000, 999)])
+    responses = responses_of(spark, [(i, i - 1 if i > 700 else None) for i in range(700, 1000)], [])
+    closed, failed, summaries = upstream.resolve_upstream(posts, errors_of(spark, []), responses)
+    assert state(closed) == {i: False for i in range(700, 1001)} and failed.isEmpty() and len(summaries) == 301
+
+
+def test_repeated_ids_give_one_root(spark):
+    edges = [(i, i - 1 if i > 1 else None) for i in range(1, 8)] * 3
+    assert G.thread_roots(posts_of(spark, edges)).count() == 7
+
+
 def test_one_answer_counts(spark):
     posts = posts_of(spark, [(2, 1)])
     responses = responses_of(spark, [(1, None), (1, None)], [(1, 422)])

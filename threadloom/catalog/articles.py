@@ -28,6 +28,10 @@ SPEC_WHERE = f"""
     AND list_has_any({sql_tokens("title || ' ' || body")}, {SPEC_WORDS})"""
 LIST = "coalesce(string_agg(c.text, ',' ORDER BY c.created_at, c.tweet_id, c.text), '')"
 
+# Small, so that the test tables have articles with several blocks; the oracles count by the same number.
+BLOCK = 5
+IN_BLOCKS = "(SELECT *, (row_number() OVER (PARTITION BY article_id ORDER BY created_at, tweet_id, text) - 1) // 5 AS part FROM comments)"
+
 
 def comment_texts(rows: DataFrame) -> DataFrame:
     """Nested comments as one string and a number, comparable across engines."""
@@ -46,15 +50,15 @@ def worded(t: Tables) -> DataFrame:
 
 
 def released(t: Tables, spec: readers.QuerySpec | None = SPEC) -> DataFrame:
-    return R.cut_release(worded(t), t.comments, spec)
+    return R.cut_release(worded(t), t.comments, spec, BLOCK)
 
 
 @query(
     "release_cut",
     f"""
-    SELECT n.tweet_id, n."user", n.title, n.body, n.created_at, CAST(0 AS BIGINT) AS part,
+    SELECT n.tweet_id, n."user", n.title, n.body, n.created_at, coalesce(c.part, 0) AS part,
            count(c.text) AS n_comments, {LIST} AS comment_list
-    FROM (SELECT * FROM news WHERE {SPEC_WHERE}) n LEFT JOIN comments c ON c.article_id = n.tweet_id
+    FROM (SELECT * FROM news WHERE {SPEC_WHERE}) n LEFT JOIN {IN_BLOCKS} c ON c.article_id = n.tweet_id
     GROUP BY ALL""",
 )
 def release_cut(t):
@@ -86,7 +90,7 @@ def release_roundtrip(t):
     writers.write_release(released(t), path)
     back = readers.read_release(t.spark, path)
     scores = F.aggregate("comments", F.lit(0.0), lambda a, c: a + c["hateful_value"])
-    # Parts of a large article add up to one row again.
+    # Blocks of an article add up to one row again.
     return back.groupBy("tweet_id", "user", "created_at", "body").agg(
         F.sum(F.size("comments")).cast("long").alias("n_comments"), F.round(F.sum(scores), 6).alias("score_sum")
     )
@@ -119,28 +123,30 @@ def rebuilt_table(t):
 
 
 NESTED_SQL = f"""
-    SELECT a.tweet_id, CAST(0 AS BIGINT) AS part, count(c.text) AS n_comments,
+    SELECT a.tweet_id, coalesce(c.part, 0) AS part, count(c.text) AS n_comments,
            {LIST} AS comment_list
-    FROM articles a LEFT JOIN comments c ON c.article_id = a.tweet_id GROUP BY a.tweet_id"""
+    FROM articles a LEFT JOIN {IN_BLOCKS} c ON c.article_id = a.tweet_id GROUP BY ALL"""
 
 
 @query("nested_comments", NESTED_SQL)
 def nested_comments(t):
-    rows = build.with_comments(t.articles, t.comments)
+    rows = build.with_comments(t.articles, t.comments, BLOCK)
     return comment_texts(rows).select("tweet_id", "part", "n_comments", "comment_list")
 
 
 @query(
     "reply_lists",
     """
-    SELECT l_orderkey AS parent_id, count(*) AS n, string_agg(l_partkey, ',' ORDER BY l_partkey) AS ids
-    FROM lineitem GROUP BY 1""",
+    SELECT parent_id, part, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT l_orderkey AS parent_id, l_partkey AS id, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey) - 1) // 5 AS part
+          FROM lineitem)
+    GROUP BY 1, 2""",
 )
 def reply_lists(t):
-    """Reply ids grouped by parent, in bounded parts."""
+    """Reply ids grouped by parent, in blocks."""
     parents = t.comment_posts.select(F.col("in_reply_to_status_id").alias("parent_id")).distinct()
-    rows = nest_in_parts(parents, "parent_id", t.comment_posts, "in_reply_to_status_id", F.col("id"), ["id", "text"], "ids")
-    return rows.select("parent_id", F.size("ids").cast("long").alias("n"), F.array_join("ids", ",").alias("ids"))
+    rows = nest_in_parts(parents, "parent_id", t.comment_posts, "in_reply_to_status_id", F.col("id"), ["id", "text"], "ids", BLOCK)
+    return rows.select("parent_id", "part", F.size("ids").cast("long").alias("n"), F.array_join("ids", ",").alias("ids"))
 
 
 @query(
@@ -158,12 +164,12 @@ def comments_exploded(t):
 @query(
     "comments_unnested",
     """
-    SELECT article_id, CAST(0 AS BIGINT) AS part, text,
-           row_number() OVER (PARTITION BY article_id ORDER BY created_at, tweet_id, text) AS position
-    FROM comments WHERE article_id IN (SELECT tweet_id FROM news)""",
+    SELECT article_id, (position - 1) // 5 AS part, text, position
+    FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY created_at, tweet_id, text) AS position FROM comments)
+    WHERE article_id IN (SELECT tweet_id FROM news)""",
 )
 def comments_unnested(t):
-    return exploded_comments(released(t, None)).select("article_id", "part", "text", "position")
+    return exploded_comments(released(t, None), block_rows=BLOCK).select("article_id", "part", "text", "position")
 
 
 # ---- pages and bodies

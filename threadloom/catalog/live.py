@@ -164,15 +164,42 @@ def article_stream(t):
 @query(
     "upstream_stream",
     """
-    SELECT DISTINCT p.id, p.parent IS NOT NULL AS look_for_upstream FROM threads p JOIN caught c ON c.parent = p.id
-    WHERE p.user_name = 'assistant' AND p.id NOT IN (SELECT tweet_id FROM errors)""",
+    WITH RECURSIVE reached AS (
+      SELECT p.id, p.parent FROM threads p JOIN caught c ON c.parent = p.id
+      WHERE p.user_name = 'assistant' AND p.id NOT IN (SELECT tweet_id FROM errors)
+      UNION
+      SELECT p.id, p.parent FROM threads p JOIN reached r ON r.parent = p.id
+      WHERE p.user_name = 'assistant' AND p.id NOT IN (SELECT tweet_id FROM errors))
+    SELECT id, parent IS NOT NULL AS look_for_upstream FROM reached""",
 )
 def upstream_stream(t):
-    """Posts found by one lookup round over landed responses."""
+    """Posts found over landed responses that come in several files, the top of every thread first."""
     folder = run_dir(t.spark, "upstream")
-    t.responses.coalesce(1).write.parquet(f"{folder}/responses")
-    landed = t.spark.readStream.schema(model.RESPONSE).parquet(f"{folder}/responses")
+    t.responses.repartitionByRange(3, "id").write.parquet(f"{folder}/responses")
+    landed = t.spark.readStream.schema(model.RESPONSE).option("maxFilesPerTrigger", 1).parquet(f"{folder}/responses")
     _drain(ingest.upstream_stream(landed, t.caught, t.errors, folder, f"{folder}/log", period=None))
     return t.spark.read.parquet(f"{folder}/found").select("id", "look_for_upstream")
 
 
+TRACKS = ["@Click", "@View", "@Signup", "@Purchase", "@Error", "@Quiet"]
+GRID = f"""
+    SELECT q.query, p.period_start FROM (SELECT unnest({TRACKS!r}) AS query) q
+    CROSS JOIN (SELECT unnest(generate_series(min(period_start), max(period_start), INTERVAL 10 MINUTE)) AS period_start FROM ({RATES})) p"""
+
+
+@query(
+    "rate_report_tracks",
+    f"""
+    SELECT period_start, period_start + INTERVAL 10 MINUTE AS period_end, query, coalesce(n, 0) AS n,
+           CAST(sum(coalesce(n, 0)) OVER w AS BIGINT) AS total, CAST(sum(coalesce(n, 0)) OVER w AS BIGINT) - coalesce(n, 0) AS before
+    FROM ({GRID}) LEFT JOIN ({RATES}) USING (query, period_start)
+    WINDOW w AS (PARTITION BY query ORDER BY period_start)""",
+)
+def rate_report_tracks(t):
+    """Every track in every period, also with no post; one track never has any."""
+    return rates.report(rates.with_silence(rates.flat(rates.rates(t.live)), TRACKS))
+
+
+@query("stall_tracks", f"SELECT query, period_start FROM ({GRID}) ANTI JOIN ({RATES}) USING (query, period_start)")
+def stall_tracks(t):
+    return rates.stalls(rates.flat(rates.rates(t.live)), tracks=TRACKS)

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from threadloom.operators.groups import block_totals
 from threadloom.catalog.registry import query, sql_tokens
 from threadloom.operators import filters as P
 from threadloom.operators import threads as G
@@ -49,12 +50,9 @@ def flagged_roots(t):
     FROM (SELECT a.tweet_id, count(c.text) AS n FROM articles a LEFT JOIN comments c ON c.article_id = a.tweet_id GROUP BY 1)""",
 )
 def array_sizes(t):
-    rows = with_comments(t.articles, t.comments)
-    return rows.agg(
-        F.count_if(P.has_none("comments")).alias("none"),
-        F.count_if(P.has_more_than("comments", 5)).alias("more_than_5"),
-        F.count_if(P.has_more_than("comments", 10)).alias("has_eleventh"),
-    )
+    rows = with_comments(t.articles, t.comments, 5)
+    rows = block_totals(rows, "tweet_id", n=F.sum(F.size("comments")))
+    return rows.agg(F.count_if(F.col("n") == 0).alias("none"), F.count_if(F.col("n") > 5).alias("more_than_5"), F.count_if(F.col("n") > 10).alias("has_eleventh"))
 
 
 @query(
@@ -66,7 +64,8 @@ def array_sizes(t):
 def unscored_articles(t):
     """Articles none of whose comments has a score; a discount of 0 stands for no score."""
     comments = t.comments.withColumn("hateful_value", F.when(F.col("score") > 0, F.col("hateful_value")))
-    return with_comments(t.articles, comments).where(P.unscored()).select("tweet_id")
+    blocks = with_comments(t.articles, comments, 5)
+    return block_totals(blocks, "tweet_id", unscored=F.bool_and(P.unscored())).where("unscored").select("tweet_id")
 
 
 @query("point_lookup", "SELECT tweet_id, \"user\" FROM articles WHERE tweet_id IN (SELECT tweet_id FROM errors)")

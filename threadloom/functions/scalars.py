@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.text import TOKEN, fold
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+ISO_Z_FRACTION = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]'Z'"
 LONG_DATE = "dd-MMM-yyyy (HH:mm:ss)"
 # What stripping removes: every blank of the basic plane.
 BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -19,8 +20,8 @@ def screen_name(query: Column | str) -> Column:
 
 
 def from_iso(text: Column | str) -> Column:
-    """``2020-02-10T00:00:00Z`` as a zone-free UTC timestamp; null where it does not parse."""
-    return F.try_to_timestamp(text, F.lit(ISO_Z)).cast("timestamp_ntz")
+    """``2020-02-10T00:00:00Z``, with or without a fraction, as a zone-free UTC timestamp; null where it does not parse."""
+    return F.try_to_timestamp(text, F.lit(ISO_Z_FRACTION)).cast("timestamp_ntz")
 
 
 def to_iso(ts: Column | str) -> Column:

@@ -104,14 +104,21 @@ def article_scores(comments: DataFrame, parent: str, score: Column, threshold: f
     )
 
 
-def nested_scores(comments: Column | str, threshold: float = 0.5) -> dict[str, Column]:
-    """The same three numbers from a nested array, without exploding it."""
+def nested_scores(nested: DataFrame, key: str = "tweet_id", comments: str = "comments", threshold: float = 0.5) -> DataFrame:
+    """The same three numbers per article from nested blocks, without exploding them: every block is added up."""
     scores = F.filter(F.transform(comments, lambda c: c["hateful_value"]), lambda v: v.isNotNull())
-    return {
-        "n_comments": F.size(comments).cast("long"),
-        "n_over": F.size(F.filter(scores, lambda v: v > threshold)).cast("long"),
-        "mean_value": F.try_divide(F.aggregate(scores, F.lit(0.0), lambda a, v: a + v), F.size(scores)),
-    }
+    blocks = nested.select(
+        key,
+        F.size(comments).cast("long").alias("n_comments"),
+        F.size(F.filter(scores, lambda v: v > threshold)).cast("long").alias("n_over"),
+        F.size(scores).alias("_scored"),
+        F.aggregate(scores, F.lit(0.0), lambda a, v: a + v).alias("_sum"),
+    )
+    return blocks.groupBy(key).agg(
+        F.sum("n_comments").alias("n_comments"),
+        F.sum("n_over").alias("n_over"),
+        F.try_divide(F.sum("_sum"), F.sum("_scored")).alias("mean_value"),
+    )
 
 
 def most_voted(sizes: dict[str, Column] | None = None) -> dict[str, Column]:

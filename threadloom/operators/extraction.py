@@ -26,22 +26,37 @@ UNREADABLE = (AssertionError, ValueError, RecursionError)
 Rule = Callable[[H.Node], str | None]
 
 
+def _ruled(rule: Rule | None, tree: H.Node) -> str | None:
+    """What a rule makes of a page; a rule that fails, however it fails, does not apply."""
+    try:
+        return rule(tree) if rule else None
+    except Exception:  # noqa: BLE001  rules are given by the caller, and one bad page must not end the job
+        return None
+
+
+def _outline(page: str | None) -> H.Node | None:
+    try:
+        return None if page is None else H.outline(page)
+    except UNREADABLE:
+        return None  # a page that cannot be read has no page part
+
+
 def _whole_pages(functions: Mapping[str, Rule]):
-    """(html, rule name) -> title and body; a rule that does not apply leaves the default body."""
+    """(html, rule name) -> title and body; a rule that does not apply or fails leaves the default body."""
 
     def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for pages, rules in batches:
             titles, bodies = [], []
             for page, rule in zip(pages, rules):
                 title = body = None
-                if page is not None:
+                tree = _outline(page)
+                if tree is not None:
+                    body = _ruled(functions[rule] if rule else None, tree)
                     try:
-                        tree = H.outline(page)
                         title = H.title_of(tree)
-                        body = functions[rule](tree) if rule else None
                         body = H.default_body(tree) if body is None else body
                     except UNREADABLE:
-                        pass  # a page that cannot be read has no page part
+                        pass
                 titles.append(title)
                 bodies.append(body)
             yield pd.DataFrame({"title": titles, "body": bodies})
@@ -50,17 +65,12 @@ def _whole_pages(functions: Mapping[str, Rule]):
 
 
 def _bodies_by_rule(functions: Mapping[str, Rule]):
-    """(html, rule name) -> body, null where the rule does not apply."""
+    """(html, rule name) -> body, null where the rule does not apply or fails."""
 
     def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for pages, rules in batches:
-            out = []
-            for page, rule in zip(pages, rules):
-                try:
-                    out.append(functions[rule](H.outline(page)))
-                except UNREADABLE:
-                    out.append(None)
-            yield pd.Series(out, dtype=object)
+            trees = [(_outline(page), functions[rule]) for page, rule in zip(pages, rules)]
+            yield pd.Series([None if tree is None else _ruled(rule, tree) for tree, rule in trees], dtype=object)
 
     return F.pandas_udf(read, T.StringType())
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from threadloom.session import materialise
 
-PART_ROWS = 50_000
+BLOCK_ROWS = 50_000
 HOT_ROWS = 5_000_000
 
 
@@ -35,55 +36,35 @@ def nest_in_parts(
     children: DataFrame,
     parent: str,
     element: Column,
-    salt: Sequence[str],
+    order: Sequence[str],
     into: str = "comments",
-    part_rows: int = PART_ROWS,
+    block_rows: int = BLOCK_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Every parent row with its children as an array, in as many rows as their number needs.
+    """Every parent row with its children as arrays of ``block_rows``, one row per array.
 
-    A parent with up to ``part_rows`` children gives one row, ``part`` 0. A larger one gives several
-    rows, the children spread over them by a hash of ``salt``; together they hold every child once.
-    No task gathers more than about ``part_rows`` children of one parent. The array is sorted by
-    ``element``, so put what it is to be ordered by first. ``parents`` must be unique by ``key``.
-
-    The list of large parents is worked out first, from the key column alone, and written: where it is
-    empty, as it mostly is, the children are shuffled once and by the parent; where it is not, Spark
-    knows its size when it decides whether to broadcast it.
+    The children of a parent are numbered exactly by ``order``, plain columns of ``children``; numbers 1 to
+    ``block_rows`` are ``part`` 0, the next as many part 1, and so on, each array in that order. All parts
+    but a parent's last are full, so a child's number is ``part * block_rows`` plus its place. A parent
+    without children has an empty part 0. The shape is the same at every size, and no row or task gathers
+    more than a block. ``parents`` must be unique by ``key``; children without a parent are left out.
     """
-    sizes = children.groupBy(F.col(parent).alias("_large")).agg(F.count(F.lit(1)).alias("_n"))
-    large = materialise(
-        sizes.where(F.col("_n") > part_rows).select("_large", F.ceil(F.col("_n") / part_rows).cast("int").alias("_parts")),
-        "large-parents",
+    numbered = number_within(children.where(F.col(parent).isNotNull()), [parent], order, "_number", hot_rows)
+    placed = numbered.select(
+        F.col(parent).alias("_owner"),
+        F.floor((F.col("_number") - 1) / block_rows).cast("long").alias("_part"),
+        F.struct("_number", element.alias("item")).alias("_item"),
     )
-    if large.isEmpty():
-        # Shuffled first: building lists in the map tasks would only sort the rows once more.
-        placed = children.select(F.col(parent).alias("_owner"), element.alias("_item")).repartition("_owner")
-        packed = placed.groupBy("_owner").agg(F.sort_array(F.collect_list("_item")).alias(into))
-        # Lists look small next to the compressed files they come from; merging never has to hold them all.
-        joined = parents.join(packed.hint("merge"), F.col(key) == F.col("_owner"), "left")
-        joined = joined.drop("_owner").withColumn("part", F.lit(0))
-    else:
-        part = F.coalesce(F.pmod(F.xxhash64(*salt), F.col("_parts")).cast("int"), F.lit(0))
-        spread = children.join(large, F.col(parent) == F.col("_large"), "left").select(
-            F.col(parent).alias("_owner"), part.alias("_owner_part"), element.alias("_item")
-        )
-        # Explicit: after a shuffled join on the parent alone, grouping by (parent, part) would be
-        # satisfied by that partitioning and leave all parts of a parent in one task.
-        packed = (
-            spread.repartition("_owner", "_owner_part")
-            .groupBy("_owner", "_owner_part")
-            .agg(F.sort_array(F.collect_list("_item")).alias(into))
-        )
-        last = F.coalesce(F.col("_parts"), F.lit(1)) - 1
-        rows = (
-            parents.join(large, F.col(key) == F.col("_large"), "left")
-            .withColumn("part", F.explode(F.sequence(F.lit(0), last)))
-            .drop("_large", "_parts")
-        )
-        joined = rows.join(
-            packed.hint("merge"), (F.col(key) == F.col("_owner")) & (F.col("part") == F.col("_owner_part")), "left"
-        ).drop("_owner", "_owner_part")
-    return joined.withColumn(into, F.coalesce(into, F.array())).withColumn("part", F.col("part").cast("long"))
+    packed = placed.groupBy("_owner", "_part").agg(F.array_sort(F.collect_list("_item")).alias("_items"))
+    # Lists look small next to the compressed files they come from; merging never has to hold them all.
+    joined = parents.join(packed.hint("merge"), F.col(key) == F.col("_owner"), "left")
+    joined = joined.withColumns({into: F.coalesce(F.col("_items.item"), F.array()), "part": F.coalesce("_part", F.lit(0).cast("long"))})
+    return joined.drop("_owner", "_part", "_items")
+
+
+def block_totals(nested: DataFrame, key: str, **totals: Column) -> DataFrame:
+    """One row per ``key`` of nested rows: ``totals`` over all its blocks. Blocks are added up, none is picked."""
+    return nested.groupBy(key).agg(*[c.alias(n) for n, c in totals.items()])
 
 
 def number_within(
@@ -91,7 +72,7 @@ def number_within(
 ) -> DataFrame:
     """1-based position of each row within its group, by a total order of plain columns.
 
-    Groups up to ``hot_rows`` take a window. The rows of larger ones are sorted by (group, order)
+    A null key is a group like any other. Groups up to ``hot_rows`` take a window. The rows of larger ones are sorted by (group, order)
     across all tasks, written with their place in their slice, and the places before each slice are
     added up from a table of one row per (slice, group): exact, and no task sees a whole hot group.
     """
@@ -100,8 +81,9 @@ def number_within(
     window = Window.partitionBy(*keys).orderBy(*order)
     if hot.isEmpty():
         return df.withColumn(into, F.row_number().over(window).cast("long"))
-    cold = df.join(hot, list(keys), "left_anti").withColumn(into, F.row_number().over(window).cast("long"))
-    spread = df.join(hot, list(keys), "left_semi").orderBy(*keys, *order)
+    same = functools.reduce(lambda x, y: x & y, [df[k].eqNullSafe(hot[k]) for k in keys])
+    cold = df.join(hot, same, "left_anti").withColumn(into, F.row_number().over(window).cast("long"))
+    spread = df.join(hot, same, "left_semi").orderBy(*keys, *order)
     spread = materialise(
         spread.withColumns({"_slice": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}),
         "hot-rows",
@@ -113,8 +95,10 @@ def number_within(
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
+    starts = starts.withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(keys)}).withColumnRenamed("_slice", "_of")
+    mine = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)])
     numbered = (
-        spread.join(starts, ["_slice", *keys])
+        spread.join(starts, (F.col("_slice") == F.col("_of")) & mine)
         .withColumn(into, F.col("_place") - F.col("_first") + F.col("_before") + 1)
         .drop("_slice", "_place", "_first", "_before")
     )

@@ -113,13 +113,37 @@ def resolved_replies(pending: DataFrame, outcomes: DataFrame) -> DataFrame:
     return P.only_keys(pending, outcomes.where(F.col("outcome").isin("found", "error")), PARENT, "id").select("id")
 
 
-def thread_roots(posts: DataFrame, max_rounds: int = 32, name: str = "roots") -> DataFrame:
-    """Topmost known ancestor and depth of every post, as (id, root_id, depth).
+def answers_upward(frontier: DataFrame, edges: DataFrame, name: str = "reached") -> DataFrame:
+    """``id`` and ``level`` of every post asked for when lookups climb from ``frontier`` along ``edges`` (id, up).
+
+    Pointer doubling: with pointers 2^k levels up, everything within 2^k levels of the frontier reaches
+    twice as far, so a chain of depth d takes log2(d) rounds; it ends when a round reaches nothing new. Only
+    the edges of the answers are joined, never the store.
+    """
+    reached = materialise(frontier.select("id", F.lit(0).cast("long").alias("level")).distinct(), name)
+    jumps = materialise(edges.select("id", "up").distinct(), name)
+    step, n = 1, reached.count()
+    while True:
+        further = reached.join(jumps, "id").select(F.col("up").alias("id"), (F.col("level") + step).alias("level"))
+        reached = materialise(reached.unionByName(further).groupBy("id").agg(F.min("level").alias("level")), name)
+        now = reached.count()
+        if now == n:
+            return reached
+        n, step = now, 2 * step
+        above = jumps.select(F.col("id").alias("up"), F.col("up").alias("_above"))
+        jumps = materialise(jumps.join(above, "up").select("id", F.col("_above").alias("up")), name)
+
+
+def thread_roots(posts: DataFrame, name: str = "roots") -> DataFrame:
+    """Topmost known ancestor and depth of every post, as (id, root_id, depth): one row per id.
 
     Pointer doubling: each round joins the rows still under way with the table of ancestors, so a
     thread of depth d takes log2(d) rounds, and rows that have reached their root leave. Each round
-    is written to the shared folder. Posts on or below a cycle have no root: null root and depth.
+    is written to the shared folder. It ends when nobody is under way but posts on or below a cycle;
+    these have no root: null root and depth. Of several rows with one id the first by parent counts.
     """
+    posts = first_wins(posts.select("id", PARENT).where(F.col("id").isNotNull()), ["id"], [F.col(PARENT).asc_nulls_last()])
+    posts = materialise(posts, name)
     ids = posts.select(F.col("id").alias("_known"))
     replies = posts.where(P.is_reply()).select("id", F.col(PARENT).alias("up"))
     first = posts.where(~F.coalesce(P.is_reply(), F.lit(False))).select("id", F.col("id").alias("up"), F.lit(0).cast("long").alias("depth"))
@@ -131,7 +155,7 @@ def thread_roots(posts: DataFrame, max_rounds: int = 32, name: str = "roots") ->
     state = materialise(first.unionByName(linked), name)
     finished = state.where("depth = 0")
     moving = state.where("depth > 0")
-    for _ in range(max_rounds):
+    while True:
         above = finished.unionByName(moving).select(
             F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("depth").alias("_depth")
         )
@@ -181,7 +205,9 @@ def latest_labels(labels: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 def recheck(posts: DataFrame, errors: DataFrame, responses: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
     """Posts without errors are looked up again: (stamps for those still there, errors for the rest)."""
-    answers = P.only_keys(responses, without_errors(posts, errors), "id")
+    # The store is narrowed to the few ids that were answered before anything else is done with it.
+    asked = P.only_keys(posts.select("id"), responses, "id")
+    answers = P.only_keys(responses, without_errors(asked, P.only_keys(errors, responses, "tweet_id", "id")), "id")
     stamps = answers.where(F.col("payload").isNotNull()).select("id", now.alias("last_checked_for_errors")).distinct()
     failed = answers.where(F.col("payload").isNull() & F.col("api_code").isNotNull())
     failed = first_wins(failed, ["id"], [F.col("api_code"), F.col("message")])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import scalars as X
 from threadloom.operators import filters as P
 from threadloom.operators.extraction import BODY_RULES, extract_pages, repaired_bodies, rule_for
-from threadloom.operators.groups import first_wins, nest_in_parts
+from threadloom.operators.groups import BLOCK_ROWS, first_wins, nest_in_parts
 from threadloom.operators.threads import screen_names, short_list
 from threadloom.sources.writers import updated
 
@@ -95,17 +95,17 @@ def comments_of(posts: DataFrame, articles: DataFrame, scorer: Callable[[Column]
     )
 
 
-def with_comments(articles: DataFrame, comments: DataFrame, part_rows: int = 50_000, prune: bool = False) -> DataFrame:
-    """Articles with nested comments, oldest first, large articles in several parts.
+def with_comments(articles: DataFrame, comments: DataFrame, block_rows: int = BLOCK_ROWS, prune: bool = False) -> DataFrame:
+    """Articles with nested comments, oldest first, in blocks of ``block_rows`` (column ``part``).
 
     ``prune`` drops the comments of other articles before they are shuffled: for a selection of articles.
     """
     if prune:
         comments = P.only_keys(comments, articles, "article_id", "tweet_id")
-    element = F.struct("created_at", "tweet_id", "text", "hateful_value")
-    nested = nest_in_parts(articles, "tweet_id", comments, "article_id", element, ["tweet_id"], part_rows=part_rows)
-    shaped = F.transform("comments", lambda c: F.struct(c["tweet_id"], c["text"], c["hateful_value"]))
-    return nested.withColumn("comments", shaped)
+    comments = comments.withColumn("_comment_id", F.col("tweet_id"))
+    element = F.struct(F.col("_comment_id").alias("tweet_id"), "text", "hateful_value")
+    order = ["created_at", "_comment_id", "text", "hateful_value"]
+    return nest_in_parts(articles, "tweet_id", comments, "article_id", element, order, block_rows=block_rows)
 
 
 def repair_bodies(articles: DataFrame, rules: dict[str, str] = BODY_RULES) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from threadloom.model import RELEASE_FIELDS
 from threadloom.operators.aggregates import count_by
+from threadloom.operators.groups import BLOCK_ROWS
 from threadloom.plans.articles import with_comments
 from threadloom.session import materialise
 from threadloom.sources.readers import QuerySpec
@@ -17,18 +18,19 @@ def select_articles(articles: DataFrame, spec: QuerySpec | None) -> DataFrame:
 
 
 def cut_release(
-    articles: DataFrame, comments: DataFrame, spec: QuerySpec | None = None, part_rows: int = 50_000
+    articles: DataFrame, comments: DataFrame, spec: QuerySpec | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """The articles a spec selects, with their comments; no spec selects everything.
 
-    A selection is written once: its texts are searched in one scan, although both the articles and
+    Only the fields of a release are read. A selection is written once: its texts are searched in one scan, although both the articles and
     the pruning of their comments need it, and its size is known when the comments are joined.
     """
-    chosen = select_articles(articles, spec)
+    fields = [c for c in RELEASE_FIELDS if c != "comments"]
+    chosen = select_articles(articles, spec).select(*fields)
     selective = spec is not None and spec != QuerySpec()
     if selective:
         chosen = materialise(chosen, "selection")
-    return with_comments(chosen, comments, part_rows, prune=selective).select(*RELEASE_FIELDS, "part")
+    return with_comments(chosen, comments, block_rows, prune=selective).select(*RELEASE_FIELDS, "part")
 
 
 def release_counts(articles: DataFrame, spec: QuerySpec | None = None) -> DataFrame:

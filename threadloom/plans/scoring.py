@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.functions import text as TX
 from threadloom.operators import aggregates as A
 from threadloom.operators import filters as P
-from threadloom.operators.groups import nest_in_parts, number_within
+from threadloom.operators.groups import BLOCK_ROWS, nest_in_parts, number_within
 from threadloom.session import materialise
 
 
@@ -36,29 +36,29 @@ def numbered_comments(comments: DataFrame, parent: str, order: list[str], score:
     return numbered.withColumn("over", score > threshold)
 
 
-def exploded_comments(release: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The same from nested comments; positions run within each part of an article."""
+def exploded_comments(release: DataFrame, threshold: float = 0.5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The same from nested comments in blocks of ``block_rows``; positions run through all blocks of an article."""
     return release.select(
         F.col("tweet_id").alias("article_id"), "part", F.posexplode("comments").alias("pos", "comment")
     ).select(
         "article_id",
         "part",
-        (F.col("pos") + 1).cast("long").alias("position"),
+        (F.col("part") * block_rows + F.col("pos") + 1).cast("long").alias("position"),
         "comment.*",
         (F.col("comment.hateful_value") > threshold).alias("over"),
     )
 
 
 def annotated_replies(
-    annotations: DataFrame, posts: DataFrame, articles: DataFrame, min_votes: int = 2, part_rows: int = 50_000
+    annotations: DataFrame, posts: DataFrame, articles: DataFrame, min_votes: int = 2, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Comments with enough hate votes that have replies, with these, their article and top categories."""
     # Written, as annotations are few and three steps need these: their replies are pruned by a list of known size.
     hateful = materialise(annotations.where(P.votes_at_least(min_votes)).withColumns(A.most_voted()), "hateful")
     replies = P.only_keys(posts.where(P.is_reply()), hateful, P.PARENT, "tweet_id")
-    replies = replies.select(P.PARENT, F.struct(F.col("id").alias("tweet_id"), "text").alias("reply"), "id")
+    replies = replies.select(P.PARENT, F.struct(F.col("id").alias("tweet_id"), "text").alias("reply"), "id", "text")
     nested = nest_in_parts(
-        hateful, "tweet_id", replies, P.PARENT, F.col("reply"), ["id"], "replies", part_rows
+        hateful, "tweet_id", replies, P.PARENT, F.col("reply"), ["id", "text"], "replies", block_rows
     ).where(F.size("replies") > 0)
     titles = articles.select(F.col("tweet_id").alias("_article"), F.col("title").alias("article_title"))
     return nested.join(titles, F.col("article_id") == F.col("_article")).drop("_article")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom import model
+from threadloom.operators import filters as P
 from threadloom.operators import threads as G
 from threadloom.session import materialise
 from threadloom.sources.readers import payloads
@@ -43,24 +44,36 @@ def settled_posts(posts: DataFrame, found: DataFrame, marked: DataFrame) -> Data
     return updated(posts.unionByName(found), settled, "id", ["look_for_upstream"])
 
 
+def close_upward(posts: DataFrame, errors: DataFrame, marked: DataFrame | None, responses: DataFrame) -> Round:
+    """All that repeated rounds over ``responses`` would add, whatever the depth; ``outcomes`` has the level of each.
+
+    The answers are judged once against the store. Which of them would be asked for is worked out along
+    their own parent edges, by doubling.
+    """
+    pending = G.pending_replies(posts, marked)
+    asked = P.without_keys(responses.select("id").distinct(), errors, "id", "tweet_id")
+    judged = materialise(G.epoch_outcomes(asked, responses, posts), "judged")
+    up = judged.where("outcome = 'found'").select("id", F.from_json("payload", model.POST)[G.PARENT].alias("up"))
+    reached = G.answers_upward(G.upstream_frontier(pending, errors), up.where("up <> 0"))
+    outcomes = materialise(judged.join(reached, "id"), "outcomes")
+    found = payloads(outcomes.where("outcome = 'found'"))
+    found = found.withColumn("look_for_upstream", F.coalesce(F.col(G.PARENT) != 0, F.lit(False))).select(*posts.columns)
+    failed = outcomes.where("outcome = 'error'").select("message", "api_code", F.col("id").alias("tweet_id"))
+    waiting = pending.select("id", G.PARENT).unionByName(G.pending_replies(found).select("id", G.PARENT))
+    return Round(outcomes, found, failed, materialise(G.resolved_replies(waiting, outcomes), "marked"))
+
+
 def resolve_upstream(
-    posts: DataFrame, errors: DataFrame, responses: DataFrame, max_rounds: int = 100
+    posts: DataFrame, errors: DataFrame, responses: DataFrame
 ) -> tuple[DataFrame, DataFrame, list[dict[str, int]]]:
-    """Rounds until one finds and records nothing new: (posts, errors, summary per round)."""
-    found, failed = posts.limit(0), errors.limit(0)
-    marked = posts.select("id").limit(0)
-    summaries = []
-    for _ in range(max_rounds):
-        step = lookup_round(posts.unionByName(found), errors.unionByName(failed), marked, responses)
-        summary = G.epoch_summary(step.outcomes).first().asDict()
-        summaries.append(summary)
-        if not any(summary.values()):
-            break
-        # Found posts and errors are projections of the written outcomes already.
-        found = found.unionByName(step.found)
-        failed = failed.unionByName(step.errors)
-        marked = marked.unionByName(materialise(step.marked, "marked"))
-    return settled_posts(posts, found, marked), errors.unionByName(failed), summaries
+    """The store and the errors once no round finds or records anything new, and what each round would have added."""
+    step = close_upward(posts, errors, None, responses)
+    rounds = step.outcomes.groupBy("level").agg(
+        F.count_if(F.col("outcome") == "found").alias("new_tweets"), F.count_if(F.col("outcome") == "error").alias("new_errors")
+    )
+    summaries = [r.asDict() for r in rounds.where("new_tweets + new_errors > 0").orderBy("level").drop("level").collect()]
+    summaries.append({"new_tweets": 0, "new_errors": 0})
+    return settled_posts(posts, step.found, step.marked), errors.unionByName(step.errors), summaries
 
 
 def check_removed(posts: DataFrame, errors: DataFrame, responses: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:

@@ -53,6 +53,13 @@ def read_release(spark: SparkSession, path: str, array: bool = False) -> DataFra
     )
 
 
+def release_tables(release: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of nested rows as read: the articles, one row each, and their comments, flat, with the block they stood in."""
+    articles = release.drop("comments", "part").dropDuplicates(["tweet_id"])
+    comments = release.select(F.col("tweet_id").alias("article_id"), "part", F.posexplode("comments").alias("place", "c"))
+    return articles, comments.select("article_id", "part", "place", "c.*")
+
+
 def broken_records(spark: SparkSession, path: str, schema: T.StructType, array: bool = False, key: str = "tweet_id") -> DataFrame:
     """Records that do not parse, with their text, and those without a key."""
     return read_json(spark, path, schema, array).where(~_whole(key))

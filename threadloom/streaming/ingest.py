@@ -18,7 +18,7 @@ from threadloom.functions import text as TX
 from threadloom.operators import filters as P
 from threadloom.operators.groups import first_wins
 from threadloom.plans.articles import build_articles
-from threadloom.plans.upstream import lookup_round
+from threadloom.plans.upstream import close_upward
 from threadloom.sources.writers import absent_rows, narrowed, write_batch
 from threadloom.streaming.batches import Work, start, stored
 
@@ -144,20 +144,23 @@ def article_stream(
 def upstream_stream(
     responses: DataFrame, posts: Table, errors: Table, folder: str, checkpoint: str, period: str | None = "300 seconds"
 ) -> StreamingQuery:
-    """One lookup round per batch of landed responses.
+    """Threads closed upward with every answer that has landed so far, batch by batch.
 
-    Adds to three tables under ``folder``: ``found``, ``errors`` and ``marked``.
+    Answers are kept under ``folder``: one that came before anybody asked for it is used when its reply
+    turns up. Adds to the tables ``answers``, ``found``, ``errors`` and ``marked`` there.
     """
     marks = T.StructType([T.StructField("id", T.LongType())])
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        write_batch(batch, f"{folder}/answers", number)
         base = current(posts)
-        step = lookup_round(
-            base.unionByName(stored(spark, f"{folder}/found", base.schema, number)),
-            current(errors).unionByName(stored(spark, f"{folder}/errors", model.API_ERROR, number)),
-            stored(spark, f"{folder}/marked", marks, number),
-            batch,
+        found = stored(spark, f"{folder}/found", base.schema, number)
+        failed = stored(spark, f"{folder}/errors", model.API_ERROR, number)
+        landed = stored(spark, f"{folder}/answers", batch.schema, number + 1)
+        unused = P.without_keys(P.without_keys(landed, found, "id"), failed, "id", "tweet_id")
+        step = close_upward(
+            base.unionByName(found), current(errors).unionByName(failed), stored(spark, f"{folder}/marked", marks, number), unused
         )
         for name, rows in (("found", step.found), ("errors", step.errors), ("marked", step.marked)):
             write_batch(rows, f"{folder}/{name}", number)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from threadloom.operators import filters as P
 from threadloom.session import materialise
 from threadloom.sources.writers import write_batch
-from threadloom.streaming.batches import start, stored
+from threadloom.streaming.batches import latest, start
 
 REPORT_PERIOD = "600 seconds"
 
@@ -48,35 +52,82 @@ def period_totals(posts: DataFrame, every: str = REPORT_PERIOD) -> DataFrame:
     return flat(per_query.unionByName(whole))
 
 
-def stalls(counted: DataFrame, every: str = REPORT_PERIOD) -> DataFrame:
-    """Periods between the first and last one seen in which a query had no post at all.
+def _interval(every: str):
+    return F.expr(f"INTERVAL '{every.split()[0]}' {every.split()[1].rstrip('s')}")
+
+
+def grid(spark: SparkSession, tracks: Sequence[str] | DataFrame, first: Column, last: Column, every: str) -> DataFrame:
+    """Every track in every period from ``first`` to ``last``."""
+    tracks = tracks if isinstance(tracks, DataFrame) else spark.createDataFrame([(t,) for t in dict.fromkeys(tracks)], "query string")
+    return tracks.select("query").withColumn("period_start", F.explode(F.sequence(first, last, _interval(every))))
+
 
-    The counts are written first: ends, queries and gaps all read them, and the posts are scanned once.
+def with_silence(counted: DataFrame, tracks: Sequence[str] | None = None, every: str = REPORT_PERIOD) -> DataFrame:
+    """A row for every track and period between the first and last one seen, 0 where there was no post.
+
+    Without ``tracks`` those that occur count. The counts are written first: ends and grid read them again.
     """
-    counted = materialise(counted.select("query", "period_start"), "rates")
+    counted = materialise(counted.select("query", "period_start", "n"), "rates")
+    first, last = _ends(counted)
+    slots = grid(counted.sparkSession, counted.select("query").distinct() if tracks is None else tracks, first, last, every)
+    full = slots.join(counted, ["query", "period_start"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
+    return full.withColumn("period_end", F.col("period_start") + _interval(every))
+
+
+def _ends(counted: DataFrame) -> tuple[Column, Column]:
     ends = counted.agg(F.min("period_start").alias("a"), F.max("period_start").alias("b"))
-    first, last = ends.select("a").scalar(), ends.select("b").scalar()
-    periods = F.sequence(first, last, F.expr(f"INTERVAL '{every.split()[0]}' {every.split()[1].rstrip('s')}"))
-    grid = counted.select("query").distinct().withColumn("period_start", F.explode(periods))
-    return grid.join(counted, ["query", "period_start"], "left_anti")
+    return ends.select("a").scalar(), ends.select("b").scalar()
+
+
+def stalls(counted: DataFrame, every: str = REPORT_PERIOD, tracks: Sequence[str] | None = None) -> DataFrame:
+    """Periods between the first and last one seen in which a track had no post at all.
+
+    Without ``tracks`` those that occur are watched. The counts are written first: ends, tracks and gaps all
+    read them, and the posts are scanned once.
+    """
+    counted = materialise(counted.select("query", "period_start"), "rates")
+    first, last = _ends(counted)
+    slots = grid(counted.sparkSession, counted.select("query").distinct() if tracks is None else tracks, first, last, every)
+    return slots.join(counted, ["query", "period_start"], "left_anti")
+
+
+WATCHED = T.StructType([T.StructField("query", T.StringType()), T.StructField("last", T.TimestampNTZType()), T.StructField("first", T.TimestampNTZType())])
 
 
-def watch(counted: DataFrame, folder: str, checkpoint: str, every: str = REPORT_PERIOD, period: str | None = None) -> StreamingQuery:
+def watch(
+    counted: DataFrame,
+    folder: str,
+    checkpoint: str,
+    every: str = REPORT_PERIOD,
+    period: str | None = None,
+    tracks: Sequence[str] | None = None,
+) -> StreamingQuery:
     """Live rates and stalls: adds closed periods to ``rates`` and, with them, the silent ones to ``stalls``.
 
     A period is closed for all queries at once, so what is missing in it when it comes is missing for
-    good. A query is watched from the batch on in which it first shows up. Only the small table of
-    counts is read again.
+    good. The tracks given are watched from the first period on; without a list a query is watched once it
+    shows up, the periods before that included. What a batch needs of the past is one row per track, kept
+    in ``watched``: the history of counts is not read again.
     """
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         write_batch(batch, f"{folder}/rates", number)
-        known = stored(spark, f"{folder}/rates", counted.schema, number + 1)
-        seen = stored(spark, f"{folder}/rates", counted.schema, number).agg(F.max("period_start")).first()[0]
-        silent = stalls(known, every)
-        if seen is not None:
-            silent = silent.where(F.col("period_start") > F.lit(seen).cast("timestamp_ntz"))
-        write_batch(silent, f"{folder}/stalls", number)
+        batch = spark.read.schema(batch.schema).parquet(f"{folder}/rates/batch={number}").select("query", "period_start")
+        before = materialise(latest(spark, f"{folder}/watched", WATCHED, number), "watched")
+        new = batch.groupBy("query").agg(F.min("period_start").alias("first"), F.max("period_start").alias("last"))
+        known = before.unionByName(new)
+        if tracks is not None:
+            listed = spark.createDataFrame([(t, None, None) for t in dict.fromkeys(tracks)], WATCHED)
+            known = P.only_keys(known, listed, "query").unionByName(listed)
+        ends = before.unionByName(new).agg(F.max("last").alias("last"), F.min("first").alias("first"))
+        state = known.groupBy("query").agg(F.max("last").alias("own")).select("query", ends.select("last").scalar().alias("last"), ends.select("first").scalar().alias("first"))
+        write_batch(state, f"{folder}/watched", number)
+        old = before.select("query", F.col("last").alias("_old")).groupBy("query").agg(F.max("_old").alias("_old"))
+        # A track that was watched before goes on after the last closed period, a new one starts with the first.
+        since = state.join(old, "query", "left").where(F.col("last").isNotNull())
+        from_ = F.coalesce(F.col("_old") + _interval(every), F.col("first"))
+        slots = since.where(from_ <= F.col("last")).select("query", F.explode(F.sequence(from_, F.col("last"), _interval(every))).alias("period_start"))
+        write_batch(slots.join(batch, ["query", "period_start"], "left_anti"), f"{folder}/stalls", number)
 
     return start(counted, work, checkpoint, period)
