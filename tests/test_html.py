@@ -67,3 +67,19 @@ def test_python_runs_only_here(spark):
     df = spark.createDataFrame([("<p>a</p>",)], "html string")
     plan = extract_pages(df, F.lit(None).cast("string"))._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan
+
+
+@pytest.mark.parametrize("failure", [IndexError, AttributeError, ValueError, ZeroDivisionError])
+def test_a_failing_rule_keeps_the_default_body(spark, failure):
+    def rule(page):
+        if "bad" in H.title_of(page):
+            raise failure("odd page")
+        return "by rule"
+
+    rows = [(1, "<title>good</title><article><p>a</p></article>"), (2, "<title>bad</title><article><p>b</p></article>")]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    got = extract_pages(df, F.lit("mine"), functions={"mine": rule}).select("page_id", "title", "body").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "good", "by rule"), (2, "bad", "b")]
+    stored = df.select(F.col("page_id").alias("tweet_id"), F.lit("paper").alias("user"), "html")
+    fixed = repaired_bodies(stored, {"paper": "mine"}, {"mine": rule}).collect()
+    assert [tuple(r) for r in fixed] == [(1, "by rule")]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.catalog.registry import query, sql_tokens
+from threadloom.catalog.registry import query, sql_tokens, sql_unescape
+from threadloom.functions import html as H
 from threadloom.functions import scalars as X
 from threadloom.operators import extraction as E
 from threadloom.operators import filters as P
@@ -208,6 +209,38 @@ def page_default_bodies(t):
     return E.extract_pages(t.pages, F.lit(None).cast("string")).select("page_id", "body")
 
 
+def _moody(page):
+    """A rule that fails on every page whose title has an odd number of characters."""
+    title = H.title_of(page)
+    if len(title) % 2:
+        return [][0]
+    return f"by rule: {title}"
+
+
+@query(
+    "failing_rules",
+    r"""
+    SELECT page_id, CASE WHEN length(title) % 2 = 0 THEN 'by rule: ' || title
+      ELSE array_to_string([x FOR x IN string_split(body, chr(10) || chr(10)) IF x <> ''], chr(10) || chr(10)) END AS body
+    FROM page_parts""",
+)
+def failing_rules(t):
+    """Where the rule fails the default body stands, elsewhere what the rule gives."""
+    return E.extract_pages(t.pages, F.lit("moody"), functions={"moody": _moody}).select("page_id", "body")
+
+
+@query(
+    "content_bodies",
+    rf"""
+    SELECT q.page_id, trim(regexp_replace({sql_unescape("regexp_extract(p.html, '(?s)<h1>(.*?)</h1>', 1)")}, '<[^>]*>', '', 'g')) || chr(10) || chr(10) || q.body AS body
+    FROM pages p JOIN page_parts q ON q.page_id = p.page_id""",
+)
+def content_bodies(t):
+    """Pages whose text stands in a content block instead of an article element."""
+    html = F.replace(F.replace("html", F.lit("<article>"), F.lit('<div id="article-content">')), F.lit("</article>"), F.lit("</div>"))
+    return E.extract_pages(t.pages.withColumn("html", html), F.lit("article")).select("page_id", "body")
+
+
 # Every source of the test tables follows the article rule.
 ALL_SOURCES = {f"src{i}": "article" for i in range(20)}
 

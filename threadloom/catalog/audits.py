@@ -396,6 +396,18 @@ def user_and_title(t):
     return t.docs.where((F.col("user") == "src3") & ~P.is_empty("title")).orderBy("created_at", "tweet_id").select("tweet_id")
 
 
+@query(
+    "user_title_lookup",
+    """
+    SELECT tweet_id, title FROM docs WHERE "user" = 'src3'
+      AND title = (SELECT title FROM docs WHERE "user" = 'src3' ORDER BY created_at, tweet_id LIMIT 1)""",
+)
+def user_title_lookup(t):
+    """All posts of a newspaper that have the title of its oldest one."""
+    oldest = t.docs.where(F.col("user") == "src3").orderBy("created_at", "tweet_id").limit(1).select("title").scalar()
+    return t.docs.where(P.titled("src3", oldest)).select("tweet_id", "title")
+
+
 @query(
     "newest_per_user",
     """

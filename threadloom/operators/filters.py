@@ -91,6 +91,11 @@ def not_empty(text: Column | str) -> Column:
     return F.length(text) > 0
 
 
+def titled(user: str, title: Column | str) -> Column:
+    """Posts of one newspaper under exactly this title."""
+    return (F.col("user") == user) & (F.col("title") == title)
+
+
 def newspapers(allowed: Sequence[str] = (), barred: Sequence[str] = (), column: str = "user") -> Column:
     """White list first (empty means all), then black list."""
     keep = F.col(column).isin(list(allowed)) if allowed else F.lit(True)
