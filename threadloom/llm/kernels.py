@@ -75,3 +75,22 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 def shingle_set(text: bytes | None, size: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
     return np.unique(span_hashes(spaced_words(text), size))
+
+
+def taken(chars: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``chars`` that the chosen rows have, and their new ends. ``ends`` starts with where the first begins."""
+    runs = ends[chosen + 1] - ends[chosen]
+    new = np.concatenate([[0], np.cumsum(runs)])
+    return chars[np.repeat(ends[chosen] - new[:-1], runs) + np.arange(new[-1])], new
+
+
+def runs_of(texts: list[bytes | None], size: int = 1_000_000):
+    """(first, end) of runs of texts with about ``size`` bytes."""
+    first, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t or b"")
+        if held > size:
+            yield first, i + 1
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)

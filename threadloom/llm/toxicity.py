@@ -22,7 +22,6 @@ WORD_SLOTS, CHAR_SLOTS = 1 << 14, 1 << 14
 SAMPLE = {1: 800, 0: 1600}
 UPDATES = 300
 CHUNK = 1024
-RUN_BYTES = 1_000_000
 
 
 class Words:
@@ -52,7 +51,7 @@ class Words:
             [np.searchsorted(hashes, x.hashes)[x.ids].astype(np.int32) for x in (self, other)]
         )
         chars, ends = np.concatenate([self.chars, other.chars]), np.concatenate([self.ends, self.ends[-1] + other.ends[1:]])
-        self.chars, self.ends = taken(chars, ends, first)
+        self.chars, self.ends = K.taken(chars, ends, first)
         self.hashes, self.counts = hashes, np.concatenate([self.counts, other.counts])
 
     def windows(self) -> tuple[list[np.ndarray], np.ndarray]:
@@ -69,13 +68,6 @@ class Words:
         return (self.hashes % np.uint64(WORD_SLOTS)).astype(np.int32)
 
 
-def taken(chars: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs of the chosen words, and the new ends."""
-    runs = ends[chosen + 1] - ends[chosen]
-    new = np.concatenate([[0], np.cumsum(runs)])
-    return chars[np.repeat(ends[chosen] - new[:-1], runs) + np.arange(new[-1])], new
-
-
 def char_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed runs of four bytes of every word, its edges marked as in <word>>, and where each word's runs end."""
     ends = np.concatenate([[0], np.cumsum(lengths)])
@@ -88,18 +80,6 @@ def char_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tupl
     return ((runs * np.uint32(2654435761)) >> np.uint32(18)).astype(np.int32), ends
 
 
-def runs_of(texts: list[bytes | None], size: int = RUN_BYTES):
-    """(first, end) of runs of texts with about ``size`` bytes."""
-    first, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t or b"")
-        if held > size:
-            yield first, i + 1
-            first, held = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def window_starts(n: int) -> range:
     """Overlapping windows over all n words; the last one reaches the end."""
     return range(0, max(1, n - WINDOW + STRIDE), STRIDE)
@@ -241,7 +221,7 @@ def train(texts: list[bytes], labels: list[int], updates: int = UPDATES, seed: i
     squares = {k: np.full_like(v, 1e-4) for k, v in model.items()}
     y = np.array(labels, np.float32)
     words = None
-    for first, end in runs_of(texts):
+    for first, end in K.runs_of(texts):
         some = Words(texts[first:end])
         words = words.merged(some) or words if words else some
     flat, sizes = words.windows()
@@ -259,7 +239,7 @@ def train(texts: list[bytes], labels: list[int], updates: int = UPDATES, seed: i
             ids, mask = laid_out([flat[i] for i in firsts[part] + chosen[part]])
             used, local = np.unique(ids, return_inverse=True)
             local = local.reshape(ids.shape).astype(np.int32)
-            grams, local_ends = taken(chars, ends, used)
+            grams, local_ends = K.taken(chars, ends, used)
             runs = np.diff(local_ends)
             made = vectors(model, word[used], grams, local_ends)
             logits, kept = forward(model, projections(model, made), local, mask, keep=True)
@@ -288,9 +268,9 @@ def _sum_rows(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 
 def score_texts(model: dict, texts: list[bytes | None]) -> np.ndarray:
-    """Scores of whole texts: the highest of all their windows. Memory follows the longest text and ``RUN_BYTES``."""
+    """Scores of whole texts: the highest of all their windows. Memory follows the longest text and the size of a run."""
     out = np.empty(len(texts))
-    for first, end in runs_of(texts):
+    for first, end in K.runs_of(texts):
         words = Words(texts[first:end])
         table = projections(model, vectors(model, words.word_slots(), words.chars, words.ends))
         flat, sizes = words.windows()
