@@ -15,7 +15,7 @@ def tables(spark):
     for i in range(60):
         parts = [word() for _ in range(rng.randrange(0, 40))]
         if i % 3 == 0:
-            parts[3:3] = rng.choice(items)[1].split() if items[i % 30][1] else []
+            parts[3:3] = (rng.choice(items)[1] or "").split()
         docs.append((i, " ".join(parts)))
     docs += [(100, None), (101, "...")]
     return docs, items, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")

@@ -17,7 +17,7 @@ def ids_of(text):
 
 def test_chunks_give_the_tokenizers_ids():
     texts = ["It's  a\ttest of　spaces\x1cand\x1dmore", "Été ǅ ẞ ΣΣ x́", "<|endoftext|> a<|startoftext|>b", "", "\x85  123 !?!"]
-    got = [np.frombuffer(x, "<u4").tolist() for x in P.ChunkEncoder(tokenizer_path(), cached=3).encode(texts)]
+    got = [x.tolist() for x in P.ChunkEncoder(tokenizer_path(), cached=3).encode([t.encode() for t in texts])]
     assert got == [ids_of(t)[:-1] for t in texts]
 
 

@@ -18,7 +18,7 @@ from threadloom.session import materialise
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SIZE, PERCENT = 5, 80
-FLUSH = 2_000_000
+FLUSH = 500_000
 BUCKET_POSTINGS = 4_000_000
 FREQUENT, LEAST_FREQUENT = 200_000, 8
 BLOCK_TOKENS = 4_000_000
@@ -329,7 +329,10 @@ def _search_runs(percent: int):
 
 
 def keep_one_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest, all columns kept."""
+    """The rows of ``docs`` whose id is their component's smallest, all columns kept.
+
+    Rows with one id are one document and stay or go together; rows without an id stay.
+    """
     found = near_duplicates(docs, doc_id, text, **settings)
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
     keyed = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("key"))

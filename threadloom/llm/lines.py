@@ -18,11 +18,14 @@ def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), lines)
 
 
-def line_shingles(line: Column, size: int) -> Column:
-    """Distinct hashes of all runs of ``size`` words of a lower-cased line, sorted; none if it has fewer words."""
-    words = F.transform(F.split(F.trim(F.lower(line)), " "), lambda w: F.xxhash64(w))
-    runs = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
-    return F.when(F.size(words) >= size, F.sort_array(F.array_distinct(runs)))
+def line_sets(lines: DataFrame, size: int, *kept: str) -> DataFrame:
+    """``kept`` and ``set``: distinct hashes of all runs of ``size`` words of a lower-cased line, sorted; null if it has fewer words.
+
+    The hashed words are a column of their own: written into the lambda they would be made anew for every run.
+    """
+    words = lines.select(*kept, F.transform(F.split(F.trim(F.lower("line")), " "), lambda w: F.xxhash64(w)).alias("words"))
+    runs = F.transform(F.sequence(F.lit(0), F.size("words") - size), lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(size)]))
+    return words.select(*kept, F.when(F.size("words") >= size, F.sort_array(F.array_distinct(runs))).alias("set"))
 
 
 def need(n: Column, percent: int) -> Column:
@@ -59,12 +62,15 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     are not read, whatever their names.
     """
     lines = numbered_lines(docs, doc_id, text)
-    sets = lines.select("doc_id", "at", line_shingles(F.col("line"), size).alias("set")).where("set is not null")
-    sets = sets.select("doc_id", "at", "set", F.size("set").alias("n"))
-    sets = sets.withColumn("prefix", F.col("n") - need(F.col("n"), percent) + 1)
+    sets = line_sets(lines, size, "doc_id", "at")
+    n = F.size("set")
+    prefix = n - need(n, percent) + 1
     # Half as many again as the prefix has: enough to fill it when some of them turn out frequent.
-    head = F.slice("set", F.lit(1), F.floor(F.col("prefix") * 3 / 2).cast("int") + 1)
-    heads = materialise(sets.select("doc_id", "at", F.xxhash64("set").alias("class_id"), "n", "prefix", head.alias("head")), "line-heads")
+    head = F.slice("set", F.lit(1), F.floor(prefix * 3 / 2).cast("int") + 1)
+    heads = sets.select("doc_id", "at", F.xxhash64("set").alias("class_id"), F.when(F.col("set").isNotNull(), n).alias("n"), head.alias("head"))
+    # Short lines are left out when the table is read: a filter here would make every set twice.
+    heads = materialise(heads, "line-heads").where("n is not null")
+    heads = heads.withColumn("prefix", F.col("n") - need(F.col("n"), percent) + 1)
 
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "at")
     classes = heads.groupBy("class_id").agg(F.min(place).alias("first"), F.max("n").alias("n"), F.count("*").alias("copies"))
@@ -115,7 +121,7 @@ def _sets_at(lines: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """class_id and the whole set of the lines at the places ``first``."""
     wanted = sent_if_small(wanted.select("class_id", F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at")))
     at = lines.join(wanted.withColumnsRenamed({"doc_id": "wanted_id", "at": "wanted_at"}), F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("at") == F.col("wanted_at")))
-    return at.select("class_id", line_shingles(F.col("line"), size).alias("set")).where(F.xxhash64("set") == F.col("class_id"))
+    return line_sets(at, size, "class_id").where(F.xxhash64("set") == F.col("class_id"))
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:

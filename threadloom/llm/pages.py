@@ -62,16 +62,17 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
 
 
-def _names(attributes: str) -> tuple[str, bool]:
-    """The part of a role that comes from the attributes, and whether they name something other than text."""
-    label, junk = "", False
+def _names(attributes: str) -> tuple[str, bool, bool]:
+    """The part of a role that comes from the attributes; whether they name something other than text, or the main text."""
+    label, junk, main = "", False, False
     for kind, *values in ATTRIBUTE.findall(attributes):
         value = references.unescape(next((v for v in values if v), ""))
         if kind.lower() == "class":
             label += "." + ".".join(sorted(value.lower().split()))
         names = NAME.findall(CAMEL.sub(" ", value).lower())
         junk |= not NOT_TEXT_NAMES.isdisjoint(names)
-    return label, junk
+        main |= kind.lower() == "role" and names == ["main"]
+    return label, junk, main
 
 
 def read_page(html: str) -> Page:
@@ -134,7 +135,10 @@ def read_page(html: str) -> Page:
                     break
                 if stack[i][0] not in INLINE:
                     break
-        label, junk = _names(attributes) if "=" in attributes else ("", False)
+        label, junk, is_main = _names(attributes) if "=" in attributes else ("", False, False)
+        # What the whole page is called says nothing about its parts.
+        junk &= name not in ("html", "body", "main")
+        is_main |= name in MAIN
         _, role, inside, main, link = stack[-1]
         role = f"{role}/{name}{label}"
         page.roles.append(role)
@@ -145,7 +149,7 @@ def read_page(html: str) -> Page:
         if name in VOID or attributes.endswith("/") and name not in INLINE and name not in ("p", "div"):
             continue
         header = name == "header" and not main
-        stack.append((name, role, inside or junk or header or name in NOT_TEXT, main or name in MAIN and not inside and not junk, link or name == "a"))
+        stack.append((name, role, inside or junk or header or name in NOT_TEXT, main or is_main and not inside and not junk, link or name == "a"))
     flush()
     return page
 

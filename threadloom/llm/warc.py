@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 import sys
 import uuid
@@ -18,8 +19,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VERSION = "WARC/1.1"
 STAMP = "2024-01-01T00:00:00Z"
 NAMESPACE = uuid.UUID("5f2b1c9e-7a53-4b0e-9d55-0f6c2f1e8a11")
-FIELDS = "record_id string, warc_type string, refers_to string, target_uri string, date string, content_type string, " \
-    "payload_digest string, block_digest string, content_length long, headers array<struct<name:string,value:string>>, block binary"
 
 
 def digest(block: Column) -> Column:
@@ -102,10 +101,11 @@ def _charset(headers: list[tuple[str, str]]) -> str:
         found = re.search(r"charset\s*=\s*\"?([\w.:\-]+)", value, re.I) if name.lower() == "content-type" else None
         if found:
             try:
-                return b"".decode(found[1]) or found[1]
+                return codecs.lookup(found[1]).name
             except LookupError:
                 return "utf-8"
     return "utf-8"
+    return "utf-8"
 
 
 def _read_blocks(blocks: pd.Series) -> pd.DataFrame:
@@ -187,7 +187,7 @@ def parse_records(data: bytes) -> list[tuple[dict[str, str], bytes]]:
 
 
 def serialised(records: DataFrame) -> DataFrame:
-    """The records' bytes, column ``value``: ``.write.format("binaryFile")``-like sinks and streams take them as they are."""
+    """The records' bytes, column ``value``, each as it stands in a file."""
 
     def render(batches):
         for batch in batches:
