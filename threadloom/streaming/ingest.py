@@ -133,10 +133,15 @@ def article_stream(
     schema = T.StructType([T.StructField("tweet_id", T.LongType())])
 
     def work(batch: DataFrame, number: int) -> None:
-        before = stored(batch.sparkSession, table, schema, number)
-        posts = first_wins(batch, ["id"], [F.col("created_at"), F.xxhash64(*batch.columns)])
-        built = narrowed(before, batch.select(F.col("id").alias("tweet_id")), "tweet_id")
-        write_batch(build_articles(posts, current(pages), built, current(accounts), **more), table, number)
+        # Bounds, links and articles all read the batch: it is computed once.
+        batch.persist()
+        try:
+            before = stored(batch.sparkSession, table, schema, number)
+            posts = first_wins(batch, ["id"], [F.col("created_at"), F.xxhash64(*batch.columns)])
+            built = narrowed(before, batch.select(F.col("id").alias("tweet_id")), "tweet_id")
+            write_batch(build_articles(posts, current(pages), built, current(accounts), **more), table, number)
+        finally:
+            batch.unpersist()
 
     return start(stream, work, checkpoint, period)
 
