@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import hashlib
 import re
 import sys
 import uuid
@@ -36,17 +37,21 @@ def record_id(*parts: Column) -> Column:
 
 def responses_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", date: str = STAMP) -> DataFrame:
     """Response records of a table of pages: an HTTP message whose payload is the page. Null html: an empty payload."""
-    payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
+    # Payload and digest are columns of their own, so that each is made once.
+    rows = pages.select(
+        F.col(page_id).alias("page_id"), F.col(url).alias("target_uri"), F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8").alias("payload")
+    )
+    rows = rows.select("*", digest(F.col("payload")).alias("payload_digest"))
     head = F.concat(
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(payload).cast("string"), F.lit("\r\n\r\n")
+        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("payload").cast("string"), F.lit("\r\n\r\n")
     )
-    return pages.select(
-        F.col(page_id).alias("page_id"),
-        record_id(F.lit("response"), F.col(page_id), F.col(url), digest(payload)).alias("record_id"),
-        F.col(url).alias("target_uri"),
+    return rows.select(
+        "page_id",
+        record_id(F.lit("response"), F.col("page_id"), F.col("target_uri"), F.col("payload_digest")).alias("record_id"),
+        "target_uri",
         F.lit(date).alias("date"),
-        digest(payload).alias("payload_digest"),
-        F.concat(F.encode(head, "UTF-8"), payload).alias("block"),
+        "payload_digest",
+        F.concat(F.encode(head, "UTF-8"), F.col("payload")).alias("block"),
     )
 
 
@@ -109,12 +114,13 @@ def _charset(headers: list[tuple[str, str]]) -> str:
 
 
 def _read_blocks(blocks: pd.Series) -> pd.DataFrame:
+    """Status line, headers, payload digest and visible text of HTTP messages."""
     rows = []
     for block in blocks:
         status, headers, payload = split_http(block or b"")
         text = plain_text(payload.decode(_charset(headers), "replace"))
-        rows.append((status, [{"name": n, "value": v} for n, v in headers], text))
-    return pd.DataFrame(rows, columns=["status", "headers", "text"])
+        rows.append((status, [{"name": n, "value": v} for n, v in headers], f"sha1:{hashlib.sha1(payload).hexdigest()}", text))
+    return pd.DataFrame(rows, columns=["status", "headers", "digest", "text"])
 
 
 def derivatives(responses: DataFrame) -> DataFrame:
@@ -131,34 +137,42 @@ def derivatives(responses: DataFrame) -> DataFrame:
     Repeated responses give repeated records with the same ids. An empty table gives no rows. Other columns
     are not read, whatever their names.
     """
-    source = responses.select("record_id", "target_uri", "date", "payload_digest", F.coalesce("block", F.lit(b"")).alias("block"))
-    read = F.pandas_udf(_read_blocks, "status string, headers array<struct<name:string,value:string>>, text string")
-    source = source.withColumn("read", read("block"))
-    cut = F.when(F.col("read.status") != "", F.locate("\r\n\r\n", F.decode("block", "ISO-8859-1")) + 4).otherwise(1)
-    payload = F.substring(F.col("block"), cut, F.octet_length("block"))
-    source = source.withColumn("source_digest", F.coalesce("payload_digest", digest(payload))).drop("block", "payload_digest")
-    text = F.encode("read.text", "UTF-8")
-    meta_id, text_id = record_id(F.lit("metadata"), F.col("record_id")), record_id(F.lit("conversion"), F.col("record_id"))
-    lines = F.concat_ws(
+    read = F.pandas_udf(_read_blocks, "status string, headers array<struct<name:string,value:string>>, digest string, text string")
+    source = responses.select("record_id", "target_uri", "date", "payload_digest", read("block").alias("read"))
+    source = source.select(
+        "record_id",
+        "target_uri",
+        "date",
+        "read",
+        F.coalesce("payload_digest", "read.digest").alias("source_digest"),
+        record_id(F.lit("metadata"), F.col("record_id")).alias("metadata_id"),
+        record_id(F.lit("conversion"), F.col("record_id")).alias("conversion_id"),
+        F.encode("read.text", "UTF-8").alias("conversion"),
+    )
+    fields = F.concat_ws(
         "",
-        F.concat(F.lit("derived-conversion: "), text_id, F.lit("\r\n")),
+        F.concat(F.lit("derived-conversion: "), F.col("conversion_id"), F.lit("\r\n")),
         F.concat(F.lit("source-payload-digest: "), F.col("source_digest"), F.lit("\r\n")),
         F.when(F.col("read.status") != "", F.concat(F.lit("http-status: "), F.col("read.status"), F.lit("\r\n"))),
         F.array_join(F.transform("read.headers", lambda h: F.concat(F.lit("http-header-"), F.lower(h["name"]), F.lit(": "), h["value"], F.lit("\r\n"))), ""),
         F.concat(F.lit("text-characters: "), F.char_length("read.text").cast("string"), F.lit("\r\n")),
     )
+    source = source.select("*", F.encode(fields, "UTF-8").alias("metadata"))
+    # Blocks and digests are made before the rows are doubled.
+    source = source.select(
+        "*",
+        *[digest(F.col(k)).alias(f"{k}_digest") for k in ("metadata", "conversion")],
+        *[F.octet_length(k).cast("long").alias(f"{k}_length") for k in ("metadata", "conversion")],
+    )
 
-    def record(own, kind, content_type, block):
+    def record(kind: str, content_type: str) -> Column:
         return F.struct(
-            own.alias("record_id"), F.lit(kind).alias("warc_type"), F.col("record_id").alias("refers_to"), "target_uri", "date",
-            F.lit(content_type).alias("content_type"), F.col("source_digest").alias("payload_digest"), digest(block).alias("block_digest"),
-            F.octet_length(block).cast("long").alias("content_length"), F.col("read.headers").alias("headers"), block.alias("block"),
+            F.col(f"{kind}_id").alias("record_id"), F.lit(kind).alias("warc_type"), F.col("record_id").alias("refers_to"), "target_uri", "date",
+            F.lit(content_type).alias("content_type"), F.col("source_digest").alias("payload_digest"), F.col(f"{kind}_digest").alias("block_digest"),
+            F.col(f"{kind}_length").alias("content_length"), F.col("read.headers").alias("headers"), F.col(kind).alias("block"),
         )
 
-    both = F.array(
-        record(meta_id, "metadata", "application/warc-fields", F.encode(lines, "UTF-8")),
-        record(text_id, "conversion", "text/plain; charset=utf-8", text),
-    )
+    both = F.array(record("metadata", "application/warc-fields"), record("conversion", "text/plain; charset=utf-8"))
     return source.select(F.inline(both))
 
 
