@@ -23,7 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CAPACITY = 2048
 SLACK = 8
 TASK_ITEMS = 200_000
-CACHED_CHUNKS = 800_000
+CACHED_CHUNKS = 600_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -42,7 +42,6 @@ class Chunks:
 
     def __init__(self):
         self.slots: dict[int, int] = {}
-        self.pieces: dict[str, bytes] = {}
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def add(self, hashes: list[int], found: list[bytes]) -> None:
@@ -65,7 +64,7 @@ class ChunkEncoder:
     The tokenizer drops white space and never joins what it parts, so a text's ids are those of its chunks
     between ASCII white space, one after the other. A chunk is encoded once and kept in a table of bounded
     size. New chunks of plain Latin characters are cut into the tokenizer's pieces here, and its model encodes
-    the pieces that are new, many in one call; all other chunks go through the whole tokenizer.
+    the distinct pieces of many in one call; all other chunks go through the whole tokenizer.
     """
 
     def __init__(self, path: str, cached: int = CACHED_CHUNKS):
@@ -104,34 +103,36 @@ class ChunkEncoder:
         new = [i for i, h in enumerate(names) if h not in chunks.slots]
         if new:
             strings = [blob[a:b].decode() for a, b in zip(starts[at[new]].tolist(), stops[at[new]].tolist(), strict=True)]
-            chunks.add([names[i] for i in new], self._learn(strings, chunks.pieces))
+            chunks.add([names[i] for i in new], self._learn(strings))
         slots = np.fromiter(map(chunks.slots.__getitem__, names), np.int64, len(names))
         ids, ends = K.taken(chunks.ids, chunks.ends, slots[which])
         ends = ends[last]
         for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
             yield ids[a:b]
 
-    def _learn(self, chunks: list[str], pieces: dict[str, bytes]) -> list[bytes]:
-        plain, other, known = [], [], {}
-        for chunk in chunks:
-            if NOT_PLAIN.search(chunk):
-                other.append(chunk)
-            else:
-                low = chunk.lower()
-                plain.append((chunk, [low] if low.isalpha() else PIECE.findall(low)))
-        new = list({p for _, parts in plain for p in parts if p not in pieces})
-        if new:
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        low = [c.lower() for c in chunks]
+        parts: list = [w if c.isascii() and w.isalpha() else None for c, w in zip(chunks, low, strict=True)]
+        pieces, whole = set(parts), []
+        for i, part in enumerate(parts):
+            if part is None:
+                if NOT_PLAIN.search(chunks[i]):
+                    whole.append(i)
+                else:
+                    parts[i] = PIECE.findall(low[i])
+                    pieces.update(parts[i])
+        pieces.discard(None)
+        known: dict = {}
+        if pieces:
+            new = list(pieces)
             ids = np.array(self.model.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-            ends, data, at = 4 * (np.flatnonzero(self.closes[ids]) + 1), ids.tobytes(), 0
-            for piece, end in zip(new, ends.tolist(), strict=True):
-                pieces[piece] = data[at:end]
-                at = end
-        for chunk, parts in plain:
-            known[chunk] = pieces[parts[0]] if len(parts) == 1 else b"".join([pieces[p] for p in parts])
-        if other:
-            for chunk, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-                known[chunk] = np.array(found.ids, "<u4").tobytes()
-        return [known[c] for c in chunks]
+            ends, data = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist(), ids.tobytes()
+            known = dict(zip(new, [data[x:y] for x, y in zip([0, *ends], ends)], strict=True))
+        out = [known[p] if isinstance(p, str) else b"".join([known[q] for q in p]) if p else b"" for p in parts]
+        if whole:
+            for i, found in zip(whole, self.tokenizer.encode_batch_fast([chunks[i] for i in whole], add_special_tokens=False), strict=True):
+                out[i] = np.array(found.ids, "<u4").tobytes()
+        return out
 
 
 PIECES = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
@@ -164,14 +165,15 @@ def tokenise(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
             if rows:
                 yield _frame(rows)
 
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    # As text, since pandas would make floats of ids among which there are nulls.
+    source = docs.select(F.col(doc_id).cast("long").cast("string").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return materialise(source.mapInPandas(pieces, PIECES), "pieces")
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     columns = [x.split()[0] for x in PIECES.split(", ")]
     out = pd.DataFrame(rows, columns=columns)
-    out["doc_id"] = pd.array([None if pd.isna(x) else int(x) for x in out["doc_id"]], dtype="Int64")
+    out["doc_id"] = pd.array([None if x is None else int(x) for x in out["doc_id"]], dtype="Int64")
     return out
 
 

@@ -232,9 +232,9 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
     source = pages.select(
-        F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"), host.alias("host")
+        F.col(page_id).cast("string").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"), host.alias("host")
     ).withColumn("spread", F.xxhash64("page_id", "url"))
-    kind = dict(source.dtypes)["page_id"]
+    kind = pages.schema[page_id].dataType
 
     def extract(batches):
         held: list[tuple] = []
@@ -243,13 +243,11 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         def out():
             texts, template = extract_group([r[2] for r in held])
             return pd.DataFrame(
-                {"page_id": pd.Series([r[0] for r in held], dtype=dtype), "url": [r[1] for r in held], "text": texts, "template": template}
+                {"page_id": [r[0] for r in held], "url": [r[1] for r in held], "text": texts, "template": template}
             )
 
         for batch in batches:
-            dtype = "Int64" if kind in ("bigint", "int") else object
             for row in zip(batch["page_id"], batch["url"], batch["html"], batch["host"], strict=True):
-                row = (None if pd.isna(row[0]) else row[0], *row[1:])
                 if held and (row[3] != current or len(held) >= group_pages or chars > GROUP_CHARS):
                     yield out()
                     held, chars = [], 0
@@ -260,4 +258,5 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
             yield out()
 
     dealt = source.repartitionByRange("host", "spread").sortWithinPartitions("host", "spread")
-    return dealt.mapInPandas(extract, f"page_id {kind}, url string, text string, template string")
+    found = dealt.mapInPandas(extract, "page_id string, url string, text string, template string")
+    return found.withColumn("page_id", F.col("page_id").cast(kind))
