@@ -79,6 +79,26 @@ def test_records_link_and_survive_a_round_trip(spark, folder):
     assert W.serialised(W.derivatives(W.responses_of(pages))).count() == len(records)
 
 
+def host_pages():
+    menu = "<div class=a><p>Start of the menu</p><p>All rights are ours</p></div>"
+    rows = [(i, "http://large/" + str(i), f"<body>{menu}<div class=b><p>Own text {i}</p></div></body>") for i in range(66)]
+    rows.append((66, "http://large/66", "<body><table><tr><td>Another layout</td></tr></table></body>"))
+    copies = [(100 + i, "http://copies/" + str(i), "<body><p>The same page</p></body>") for i in range(9)]
+    return rows + copies
+
+
+def test_all_pages_of_a_host_count(spark, monkeypatch):
+    rows = host_pages()
+    wanted = {i: "The same page" if i >= 100 else "Another layout" if i == 66 else f"Own text {i}" for i, _, _ in rows}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    assert {r.page_id: r.text for r in P.extract_pages(df).collect()} == wanted
+    assert texts([h for _, u, h in rows if "large" in u]) == [wanted[i] for i in range(67)]
+    monkeypatch.setattr(P, "SENT_ROWS", 0)
+    monkeypatch.setattr(P, "COUNTED", 10)
+    got = P.extract_pages(df, group_pages=2).collect()
+    assert {r.page_id: r.text for r in got} == wanted and len({r.template for r in got}) == 2
+
+
 def test_http_blocks():
     block = b"HTTP/1.1 200 OK\r\nX-A: 1\r\nX-A: 2\r\nX-B: long\r\n  folded\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>\xe9</p>"
     status, headers, payload = W.split_http(block)

@@ -14,10 +14,15 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.session import materialise
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GROUP_PAGES = 64
-GROUP_CHARS = 8_000_000
+# A text belongs to the template if it is on so many pages, and on this share of the pages that have its slot.
+LEAST, SHARE = 3, 0.5
+# Keys a task counts before it hands them on; rows of host tables that are sent to all tasks.
+COUNTED, SENT_ROWS = 200_000, 500_000
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,7 +73,7 @@ def _names(attributes: str) -> tuple[str, bool, bool]:
     for kind, *values in ATTRIBUTE.findall(attributes):
         value = references.unescape(next((v for v in values if v), ""))
         if kind.lower() == "class":
-            label += "." + ".".join(sorted(value.lower().split()))
+            label += "." + ".".join(sorted(value.lower().replace("/", ":").split()))
         names = NAME.findall(CAMEL.sub(" ", value).lower())
         junk |= not NOT_TEXT_NAMES.isdisjoint(names)
         main |= kind.lower() == "role" and names == ["main"]
@@ -154,39 +159,81 @@ def read_page(html: str) -> Page:
     return page
 
 
+def key_of(value: str) -> int:
+    """A 64-bit hash of a role or text."""
+    return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def slot_key(slot: int, text: int) -> int:
+    """A 64-bit key of a text in a slot."""
+    mixed = (slot * 0x9E3779B97F4A7C15 ^ text) & 0xFFFFFFFFFFFFFFFF
+    return mixed - (1 << 64) if mixed >> 63 else mixed
+
+
+def parents_of(roles: list[str]) -> list[int]:
+    """The place of every role's parent in ``roles``, -1 without one. Roles are in order of their first occurrence, so parents come first."""
+    at = {role: i for i, role in enumerate(roles)}
+    return [at.get(role.rpartition("/")[0], -1) for role in roles]
+
+
+def predecessors(roles, classes):
+    """Every role that has a class, with the role of its class before it on the page (0 for the first)."""
+    last: dict = {}
+    for role, kind in zip(roles, classes, strict=True):
+        if kind is not None:
+            yield role, last.get(kind, 0)
+            last[kind] = role
+
+
+def slots_of(parents, ordered) -> list[int]:
+    """The place of the innermost template role around each role, itself included; -1 for none.
+
+    ``ordered`` says which roles are in ordered classes; the template has those of them whose parent is in it (nested).
+    """
+    slots: list[int] = []
+    for i, parent in enumerate(parents):
+        around = slots[parent] if parent >= 0 else -1
+        slots.append(i if ordered[i] and around == parent else around)
+    return slots
+
+
+def is_fixed(text_pages, slot_pages):
+    """Whether a text belongs to the template: it is on enough of the pages that have its slot. Numbers or columns."""
+    return (text_pages >= LEAST) & (text_pages >= SHARE * slot_pages)
+
+
+def chosen(main, plain, fixed) -> list[int]:
+    """The places of the blocks that are a page's text."""
+    found = [i for i, m in enumerate(main) if m]
+    return found or [i for i, p in enumerate(plain) if p and not fixed[i]]
+
+
+def is_plain(block: Block) -> bool:
+    return 2 * block.link_chars < len(block.text)
+
+
 def deduce_template(pages: list[Page]) -> set[str]:
     """Roles of the template of these pages.
 
-    Roles with the same vector of occurrence counts over the pages form a class. A class is valid when its
-    roles come in one order on every page, and it is nested: every role's parent is in the template too.
-    Classes seen on a single page of several are no template.
+    Roles with the same vector of occurrence counts over the pages form a class; roles on a single page of
+    several are no template. Classes are ordered: a role stays if on more than half of its pages the same role
+    of its class comes before it. And nested: every role's parent is in the template too.
     """
-    vectors: dict[str, list[int]] = defaultdict(lambda: [0] * len(pages))
-    first: dict[str, list[int]] = defaultdict(lambda: [-1] * len(pages))
+    vectors: dict[str, dict[int, int]] = defaultdict(dict)
     for i, page in enumerate(pages):
-        for at, role in enumerate(page.roles):
-            vectors[role][i] += 1
-            if first[role][i] < 0:
-                first[role][i] = at
-    classes: dict[tuple, list[str]] = defaultdict(list)
-    for role, vector in vectors.items():
-        classes[tuple(vector)].append(role)
+        for role, n in Counter(page.roles).items():
+            vectors[role][i] = n
+    classes = {role: tuple(v.items()) for role, v in vectors.items() if len(v) >= min(2, len(pages))}
+    before: dict[str, Counter] = defaultdict(Counter)
+    for page in pages:
+        roles = list(dict.fromkeys(page.roles))
+        for role, previous in predecessors(roles, [classes.get(r) for r in roles]):
+            before[role][previous] += 1
+    ordered = {role for role, seen in before.items() if 2 * max(seen.values()) > len(vectors[role])}
     template: set[str] = set()
-    valid: list[list[str]] = []
-    for vector, roles in classes.items():
-        present = [i for i, n in enumerate(vector) if n]
-        if len(present) < min(2, len(pages)):
-            continue
-        order = sorted(roles, key=lambda r: first[r][present[0]])
-        kept: list[str] = []
-        for role in order:
-            if not kept or all(first[role][i] > first[kept[-1]][i] for i in present):
-                kept.append(role)
-        valid.append(kept)
-    for role in sorted((r for kept in valid for r in kept), key=lambda r: r.count("/")):
-        parent = role.rpartition("/")[0]
-        if not parent or parent in template:
-            template.add(role)
+    for page in pages:
+        roles = list(dict.fromkeys(page.roles))
+        template.update(roles[i] for i in slots_of(parents_of(roles), [r in ordered for r in roles]) if i >= 0)
     return template
 
 
@@ -198,34 +245,134 @@ def slot_of(role: str, template: set[str]) -> str:
 
 
 def extract_group(htmls: list[str]) -> tuple[list[str], str]:
-    """The main texts of pages of one host, and an id of their template."""
-    pages = [read_page(h) for h in htmls]
-    template = deduce_template(pages)
-    # Text that is the same in a slot of every page belongs to the template, unless it stands in the article.
+    """The main texts of all pages of one host, and an id of their template: what ``extract_pages`` does, for a small host."""
+    pages = {h: read_page(h) for h in htmls}
+    template = deduce_template(list(pages.values()))
     spread: Counter = Counter()
-    for page in pages:
-        spread.update({(slot_of(b.role, template), b.text) for b in page.blocks if not b.main})
+    for page in pages.values():
+        found = {(slot_of(b.role, template), b.text) for b in page.blocks}
+        spread.update(found | {(slot, None) for slot, _ in found})
     texts = []
-    for page in pages:
-        main = [b for b in page.blocks if b.main]
-        if not main:
-            main = [
-                b
-                for b in page.blocks
-                if 2 * b.link_chars < len(b.text) and (len(pages) < 3 or spread[slot_of(b.role, template), b.text] < len(pages))
-            ]
-        texts.append("\n".join(b.text for b in main))
+    for blocks in (pages[h].blocks for h in htmls):
+        slots = [slot_of(b.role, template) for b in blocks]
+        fixed = [is_fixed(spread[s, b.text], spread[s, None]) for s, b in zip(slots, blocks, strict=True)]
+        texts.append("\n".join(blocks[i].text for i in chosen([b.main for b in blocks], [is_plain(b) for b in blocks], fixed)))
     return texts, hashlib.sha1("\n".join(sorted(template)).encode()).hexdigest()
 
 
+PARSED = (
+    "page_id string, url string, host string, digest long, roles array<long>, counts array<int>, parents array<int>,"
+    " block_role array<int>, block_main array<boolean>, block_plain array<boolean>, block_key array<long>, block_text array<string>"
+)
+
+
+def _parsed(html: str) -> tuple:
+    """The columns of ``PARSED`` that come from the markup."""
+    page = read_page(html)
+    counts = Counter(page.roles)
+    roles = list(counts)
+    at = {role: i for i, role in enumerate(roles)}
+    return (
+        [key_of(r) for r in roles],
+        list(counts.values()),
+        parents_of(roles),
+        [at.get(b.role, -1) for b in page.blocks],
+        [b.main for b in page.blocks],
+        [is_plain(b) for b in page.blocks],
+        [key_of(b.text) for b in page.blocks],
+        [b.text for b in page.blocks],
+    )
+
+
+def _block_keys(roles, parents, ordered, block_role, block_key) -> list[tuple[int, int]]:
+    """The slot of every block (0 for none), and the key of its text in it."""
+    ordered = set(ordered)
+    slots = slots_of(parents, [r in ordered for r in roles])
+    places = [slots[r] if r >= 0 else -1 for r in block_role]
+    found = [int(roles[p]) if p >= 0 else 0 for p in places]
+    return [(slot, slot_key(slot, int(key))) for slot, key in zip(found, block_key, strict=True)]
+
+
+def _counted(columns: list[str], keys_of):
+    """A function for mapInPandas: how many rows have each of their keys, added up inside the task."""
+
+    def count(batches):
+        counts: Counter = Counter()
+
+        def out():
+            return pd.DataFrame([(*k, n) for k, n in counts.items()], columns=[*columns, "n"])
+
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                counts.update(keys_of(row))
+                if len(counts) > COUNTED:
+                    yield out()
+                    counts.clear()
+        if counts:
+            yield out()
+
+    return count
+
+
+def host_tables(parsed: DataFrame) -> DataFrame:
+    """host, ordered (keys of the roles in ordered classes), template (an id of them), fixed (keys of texts in slots): over all pages of each host.
+
+    Pages with the same markup count once, so copies of an article don't make its text a template. A class is
+    known by the sum without carry of the hashes of (page, count). Counts are added up inside tasks before they travel.
+    """
+    columns = ("host", "digest", "roles", "counts", "parents", "block_role", "block_key")
+    distinct = materialise(parsed.select(*columns).dropDuplicates(["host", "digest"]), "distinct-pages")
+    hosts = distinct.groupBy("host").agg(F.count("*").alias("n_pages"))
+    tokens = distinct.select("host", "digest", F.explode(F.arrays_zip("roles", "counts")).alias("t"))
+    vectors = tokens.groupBy("host", F.col("t.roles").alias("role")).agg(
+        F.bit_xor(F.xxhash64("digest", "t.counts")).alias("vector"), F.count("*").alias("pages")
+    )
+    vectors = materialise(vectors.join(hosts, "host").where("pages >= least(2, n_pages)"), "page-vectors")
+
+    by_host = vectors.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("role", "vector"))).alias("classes"))
+    known = distinct.select("host", "roles").join(_sent(by_host, vectors), "host")
+    known = known.select("host", "roles", F.transform("roles", lambda r: F.try_element_at("classes", r).cast("string")).alias("classes"))
+    before = known.mapInPandas(
+        _counted(["host", "role", "before"], lambda r: [(r.host, int(a), int(b)) for a, b in predecessors(r.roles, r.classes)]),
+        "host string, role long, before long, n long",
+    )
+    before = before.groupBy("host", "role", "before").agg(F.sum("n").alias("n")).groupBy("host", "role").agg(F.max("n").alias("same"))
+    ordered = materialise(before.join(vectors, ["host", "role"]).where("2 * same > pages").select("host", "role"), "page-roles")
+    roles = ordered.groupBy("host").agg(F.array_sort(F.collect_list("role")).alias("ordered"))
+    roles = materialise(hosts.select("host").join(roles, "host", "left").withColumn("ordered", F.coalesce("ordered", F.array().cast("array<long>"))), "host-roles")
+
+    def keys_of(r):
+        found = set(_block_keys(r.roles, r.parents, r.ordered, r.block_role, r.block_key))
+        return [(r.host, slot, key, False) for slot, key in found] + [(r.host, slot, 0, True) for slot in {slot for slot, _ in found}]
+
+    placed = distinct.join(_sent(roles, ordered), "host").withColumn("ordered", F.array_intersect("roles", "ordered"))
+    spread = placed.select("host", "roles", "parents", "ordered", "block_role", "block_key").mapInPandas(
+        _counted(["host", "slot", "key", "whole"], keys_of), "host string, slot long, key long, whole boolean, n long"
+    )
+    spread = spread.groupBy("host", "slot", "key", "whole").agg(F.sum("n").alias("n")).where(F.col("whole") | (F.col("n") >= LEAST))
+    spread = materialise(spread, "slot-texts")
+    slots = spread.where("whole").select("host", "slot", F.col("n").alias("slot_pages"))
+    fixed = spread.where("not whole").join(slots, ["host", "slot"]).where(is_fixed(F.col("n"), F.col("slot_pages")))
+    fixed = fixed.groupBy("host").agg(F.collect_list("key").alias("fixed"))
+    tables = roles.join(fixed, "host", "left").withColumn("fixed", F.coalesce("fixed", F.array().cast("array<long>")))
+    tables = tables.withColumn("template", F.sha1(F.array_join(F.col("ordered").cast("array<string>"), ",")))
+    return _sent(materialise(tables, "host-tables"), ordered)
+
+
+def _sent(by_host: DataFrame, rows: DataFrame) -> DataFrame:
+    """``by_host`` marked for broadcast if the rows in its lists are few; else the join splits hosts with many pages."""
+    return F.broadcast(by_host) if rows.count() <= SENT_ROWS else by_host
+
+
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", group_pages: int = GROUP_PAGES) -> DataFrame:
     """One row per row of ``pages``: page_id, url, text, template.
 
-    Pages are sorted by host over all tasks (one shuffle, by range, so that a large host spreads over many
-    tasks) and read in runs of at most ``group_pages`` pages of one host; each run yields a template of its
-    own. Every page's text is extracted whole. The text of a page with an article or main element is that
-    of its slots; otherwise that of all slots that are neither links, template text, nor named as something
-    else.
+    Markup is read once, ``group_pages`` pages at a time (this bounds memory and changes no result). Occurrence
+    vectors, order and repeated texts are counted over all pages of a host, however many (``host_tables``); the
+    markup itself isn't shuffled. A text on at least ``LEAST`` pages and a ``SHARE`` of the host's pages that
+    have its slot belongs to the template. Every page's text is extracted whole. The text of a page with an
+    article or main element is that of its slots; otherwise that of all slots that are neither links, template
+    text, nor named as something else.
 
     Null html: empty text. Null url, or none with a host: one nameless host. Repeated rows each give a row.
     An empty table gives no rows. Other columns are not read, whatever their names.
@@ -233,30 +380,27 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
     source = pages.select(
         F.col(page_id).cast("string").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"), host.alias("host")
-    ).withColumn("spread", F.xxhash64("page_id", "url"))
+    ).withColumn("digest", F.xxhash64("html"))
     kind = pages.schema[page_id].dataType
+    names = [c.split(" ")[0] for c in PARSED.split(", ")]
 
-    def extract(batches):
-        held: list[tuple] = []
-        chars, current = 0, None
-
-        def out():
-            texts, template = extract_group([r[2] for r in held])
-            return pd.DataFrame(
-                {"page_id": [r[0] for r in held], "url": [r[1] for r in held], "text": texts, "template": template}
-            )
-
+    def parse(batches):
         for batch in batches:
-            for row in zip(batch["page_id"], batch["url"], batch["html"], batch["host"], strict=True):
-                if held and (row[3] != current or len(held) >= group_pages or chars > GROUP_CHARS):
-                    yield out()
-                    held, chars = [], 0
-                current = row[3]
-                held.append(row)
-                chars += len(row[2])
-        if held:
-            yield out()
-
-    dealt = source.repartitionByRange("host", "spread").sortWithinPartitions("host", "spread")
-    found = dealt.mapInPandas(extract, "page_id string, url string, text string, template string")
-    return found.withColumn("page_id", F.col("page_id").cast(kind))
+            for at in range(0, len(batch), group_pages):
+                part = batch.iloc[at : at + group_pages]
+                rows = zip(part["page_id"], part["url"], part["host"], part["digest"], part["html"], strict=True)
+                yield pd.DataFrame([(*r[:4], *_parsed(r[4])) for r in rows], columns=names)
+
+    def choose(roles, parents, ordered, fixed, block_role, main, plain, keys):
+        out = []
+        for r, p, o, f, b, m, q, k in zip(roles, parents, ordered, fixed, block_role, main, plain, keys, strict=True):
+            f = set(f)
+            out.append(chosen(m, q, [key in f for _, key in _block_keys(r, p, o, b, k)]))
+        return pd.Series(out)
+
+    parsed = materialise(source.mapInPandas(parse, PARSED), "parsed-pages")
+    found = parsed.join(host_tables(parsed), "host", "left").withColumn("ordered", F.array_intersect("roles", "ordered"))
+    kept = F.pandas_udf(choose, "array<int>")("roles", "parents", "ordered", "fixed", "block_role", "block_main", "block_plain", "block_key")
+    found = found.select("page_id", "url", "block_text", "template", kept.alias("kept"))
+    text = F.array_join(F.transform("kept", lambda i: F.get("block_text", i)), "\n")
+    return found.select(F.col("page_id").cast(kind).alias("page_id"), "url", text.alias("text"), "template")
