@@ -99,6 +99,13 @@ def test_all_pages_of_a_host_count(spark, monkeypatch):
     assert {r.page_id: r.text for r in got} == wanted and len({r.template for r in got}) == 2
 
 
+def test_template_text_inside_the_article_is_left_out():
+    tail = "<div class=about><p>About the author</p></div><p>Give us money</p>"
+    pages = [f"<article><h1>Title {i}</h1><p>Own text {i}</p>{tail}</article>" for i in range(5)]
+    pages.append("<div><p>Plain text beside it</p></div><article><div class=about><p>About the author</p></div></article>")
+    assert texts(pages) == [f"Title {i}\nOwn text {i}" for i in range(5)] + ["Plain text beside it"]
+
+
 def test_http_blocks():
     block = b"HTTP/1.1 200 OK\r\nX-A: 1\r\nX-A: 2\r\nX-B: long\r\n  folded\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>\xe9</p>"
     status, headers, payload = W.split_http(block)

@@ -203,8 +203,8 @@ def is_fixed(text_pages, slot_pages):
 
 
 def chosen(main, plain, fixed) -> list[int]:
-    """The places of the blocks that are a page's text."""
-    found = [i for i, m in enumerate(main) if m]
+    """The places of the blocks that are a page's text: no fixed ones; those of the main element, if it has any, else the plain ones."""
+    found = [i for i, m in enumerate(main) if m and not fixed[i]]
     return found or [i for i, p in enumerate(plain) if p and not fixed[i]]
 
 
@@ -370,9 +370,9 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     Markup is read once, ``group_pages`` pages at a time (this bounds memory and changes no result). Occurrence
     vectors, order and repeated texts are counted over all pages of a host, however many (``host_tables``); the
     markup itself isn't shuffled. A text on at least ``LEAST`` pages and a ``SHARE`` of the host's pages that
-    have its slot belongs to the template. Every page's text is extracted whole. The text of a page with an
-    article or main element is that of its slots; otherwise that of all slots that are neither links, template
-    text, nor named as something else.
+    have its slot belongs to the template, inside article and main elements too. Every page's text is extracted
+    whole: the other texts in the slots of its article or main element; if there are none, those of all slots that
+    are neither links nor named as something else.
 
     Null html: empty text. Null url, or none with a host: one nameless host. Repeated rows each give a row.
     An empty table gives no rows. Other columns are not read, whatever their names.
