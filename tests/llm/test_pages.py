@@ -106,6 +106,22 @@ def test_template_text_inside_the_article_is_left_out():
     assert texts(pages) == [f"Title {i}\nOwn text {i}" for i in range(5)] + ["Plain text beside it"]
 
 
+def test_names_of_wrappers_do_not_lose_the_article():
+    article = "<article><p>Own text</p><div class=sidebar>Side</div></article>"
+    for page in (
+        f'<div class="layout has-sidebar">{article}</div>',
+        f'<div id="content" class="with-comments noSidebar">{article}</div>',
+        f'<div class="sidebar-left">{article}<p>Below it</p></div>',
+        '<article class="post social"><p>Own text</p><p class="share">Share</p></article>',
+        '<div class="promo"><div role="main">Own text</div></div>',
+        '<div class="social wrapper"><p>Own text</p><div class="sidebar">Side</div></div>',
+        f'{article}<div class="related"><article><p>Another title</p></article></div>',
+        f'{article}<article class="comment"><p>A comment that is longer than the article it is about</p></article>',
+    ):
+        assert texts([page]) == ["Own text"], page
+    assert texts(["<p>Own text of the page</p><div class=related>Other</div><div class=no-js><p>More</p></div>"]) == ["Own text of the page\nMore"]
+
+
 def test_http_blocks():
     block = b"HTTP/1.1 200 OK\r\nX-A: 1\r\nX-A: 2\r\nX-B: long\r\n  folded\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>\xe9</p>"
     status, headers, payload = W.split_http(block)

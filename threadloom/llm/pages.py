@@ -47,16 +47,21 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAME = re.compile(r"[a-z]+")
+# Names that say what an element has or lacks, not what it is.
+MODIFIER = re.compile(r"(?:[Hh]as|[Ww]ith|[Ww]ithout|[Nn]o)(?:[-_]|(?=[A-Z]))")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 SPACE = re.compile(r"\s+")
 
 
 @dataclass(slots=True)
 class Block:
+    """``named``: the elements around it whose names say that they are not text, by number, those around the main element only."""
+
     role: str
     main: bool
     text: str
     link_chars: int
+    named: tuple[int, ...] = ()
 
 
 @dataclass(slots=True)
@@ -74,17 +79,36 @@ def _names(attributes: str) -> tuple[str, bool, bool]:
         value = references.unescape(next((v for v in values if v), ""))
         if kind.lower() == "class":
             label += "." + ".".join(sorted(value.lower().replace("/", ":").split()))
-        names = NAME.findall(CAMEL.sub(" ", value).lower())
-        junk |= not NOT_TEXT_NAMES.isdisjoint(names)
-        main |= kind.lower() == "role" and names == ["main"]
+        plain = " ".join(v for v in value.split() if not MODIFIER.match(v))
+        junk |= not NOT_TEXT_NAMES.isdisjoint(NAME.findall(CAMEL.sub(" ", plain).lower()))
+        main |= kind.lower() == "role" and value.lower().split() == ["main"]
     return label, junk, main
 
 
+def settle(blocks: list[Block]) -> list[Block]:
+    """The blocks that may be article text, given what the elements around them are named.
+
+    Main elements inside named ones (or named so themselves) hold the main text only where no other does: there
+    a name is that of a page's wrapper, elsewhere that of teasers or comments. Outside of main elements a named
+    element is left out, unless it holds most of the page's text.
+    """
+    clean = any(b.main and not b.named for b in blocks)
+    held: Counter = Counter()
+    for b in blocks:
+        held.update(dict.fromkeys(b.named, len(b.text)))
+    total = sum(len(b.text) for b in blocks)
+    kept = []
+    for b in blocks:
+        if b.main and not (clean and b.named) or all(2 * held[n] > total for n in b.named):
+            kept.append(Block(b.role, b.main and not (clean and b.named), b.text, b.link_chars))
+    return kept
+
+
 def read_page(html: str) -> Page:
     """One pass over the markup. Unclosed elements end where their parent or the next block begins."""
     page = Page()
-    # Open elements: tag, role, inside something that is not text, inside the main element, in a link.
-    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
+    # Open elements: tag, role, inside something that is not text, inside the main element, in a link, named elements around the main one.
+    stack: list[tuple[str, str, bool, bool, bool, tuple[int, ...]]] = [("", "", False, False, False, ())]
     pieces: list[str] = []
     linked = 0
     at = 0
@@ -95,7 +119,7 @@ def read_page(html: str) -> Page:
             text = SPACE.sub(" ", references.unescape("".join(pieces))).strip()
             if text:
                 holder = next(x for x in reversed(stack) if x[0] not in INLINE)
-                page.blocks.append(Block(holder[1], holder[3], text, linked))
+                page.blocks.append(Block(holder[1], holder[3], text, linked, holder[5]))
             pieces.clear()
         linked = 0
 
@@ -144,7 +168,7 @@ def read_page(html: str) -> Page:
         # What the whole page is called says nothing about its parts.
         junk &= name not in ("html", "body", "main")
         is_main |= name in MAIN
-        _, role, inside, main, link = stack[-1]
+        _, role, inside, main, link, named = stack[-1]
         role = f"{role}/{name}{label}"
         page.roles.append(role)
         if name in RAW:
@@ -154,8 +178,14 @@ def read_page(html: str) -> Page:
         if name in VOID or attributes.endswith("/") and name not in INLINE and name not in ("p", "div"):
             continue
         header = name == "header" and not main
-        stack.append((name, role, inside or junk or header or name in NOT_TEXT, main or is_main and not inside and not junk, link or name == "a"))
+        inside = inside or header or name in NOT_TEXT
+        if junk and main:
+            inside = True
+        elif junk:
+            named = (*named, at)
+        stack.append((name, role, inside, main or is_main and not inside, link or name == "a", named))
     flush()
+    page.blocks = settle(page.blocks)
     return page
 
 
