@@ -64,6 +64,16 @@ def test_items_that_never_fit_together(spark):
     assert len(places) == 500
 
 
+def test_bins_of_different_tasks_meet(spark):
+    lengths = [90] * 400 + [60] * 3 + [40] * 3
+    items = spark.createDataFrame(list(enumerate(lengths)), "key long, length int")
+    got = P.pack(items, capacity=100, slack=0, task_items=50).collect()
+    assert sorted(r.key for r in got) == list(range(406))
+    assert len({r.sequence_id for r in got}) == 403
+    alone = spark.createDataFrame([(i, 90) for i in range(200)] + [(200, 40)], "key long, length int")
+    assert len({r.sequence_id for r in P.pack(alone, capacity=100, slack=0, task_items=50).collect()}) == 201
+
+
 def test_sequences(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(20)
     packed = P.pack_documents(docs, tokenizer_path(), capacity=64).persist()

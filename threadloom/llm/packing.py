@@ -209,10 +209,12 @@ def pack(items: DataFrame, key: str = "key", length: str = "length", capacity: i
 
     Every round deals the items to tasks of about ``task_items`` and packs each task's share by best fit,
     longest first. Bins with at most ``slack`` tokens free are done. The others go into the next round as
-    items as long as they are full, in fewer tasks, until one task has packed all that was left or a round
-    joined next to nothing. A task's memory is bounded by ``task_items``, whatever the size of the table;
-    each round reads only the open bins of the round before, from a written table, and only their number
-    comes to the driver. An empty table gives no rows.
+    items as long as they are full, in fewer tasks, until one task has packed all that was left. After a round
+    that joined next to nothing, only bins that can still be joined go on: best fit leaves at most one bin per
+    task that is half full or less, every join needs one of these, and if any bin can take them, so can as many
+    of the emptiest others. So at the end no two bins that are not nearly full fit together. A task's memory is
+    bounded by ``task_items``, whatever the size of the table; each round reads only the open bins of the round
+    before, from a written table, and only their number comes to the driver. An empty table gives no rows.
     """
     spark = items.sparkSession
     member = F.struct(F.col(key).cast("long").alias("key"), F.col(length).cast("int").alias("length"), F.lit(0).cast("long").alias("offset"))
@@ -221,7 +223,7 @@ def pack(items: DataFrame, key: str = "key", length: str = "length", capacity: i
     if not count:
         return items.select(F.col(key).cast("long").alias("key"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     while True:
-        tasks = -(-count // task_items)
+        tasks = -(-count // max(task_items, 4))
         last = tasks == 1
 
         def local(batches, number=number, last=last):
@@ -256,8 +258,18 @@ def pack(items: DataFrame, key: str = "key", length: str = "length", capacity: i
         if not count:
             break
         if count > 0.98 * before:
-            done.append(left.withColumn("done", F.lit(True)))
-            break
+            half = left.where(F.col("fill") <= capacity // 2).count()
+            place = F.struct("fill", "id")
+            others = left.where(F.col("fill") > capacity // 2).select(place.alias("place")).orderBy("place").limit(half)
+            edge = others.agg(F.max("place.fill"), F.max_by("place.id", "place")).first() if half else (None, None)
+            goes_on = F.col("fill") <= capacity // 2
+            if edge[0] is not None:
+                goes_on |= place <= F.struct(F.lit(edge[0]).alias("fill"), F.lit(edge[1]).alias("id"))
+            done.append(left.where(~goes_on).withColumn("done", F.lit(True)))
+            left = left.where(goes_on)
+            count = min(2 * half, count)
+            if not half:
+                break
     bins = done[0]
     for more in done[1:]:
         bins = bins.unionByName(more)
