@@ -76,6 +76,13 @@ def test_windows_cover_every_word():
         assert seen == set(range(n))
 
 
+def test_passages_of_half_a_window_are_whole_in_one():
+    for n in (33, 64, 65, 120, 121, 500):
+        starts = X.window_starts(n)
+        for at in range(n - X.WINDOW // 2 + 1):
+            assert any(s <= at and at + X.WINDOW // 2 <= min(s + X.WINDOW, n) for s in starts)
+
+
 def test_words_of_texts():
     words = X.Words([b"One two ONE", None, b"", b"...", b"two"])
     assert words.counts.tolist() == [3, 1, 1, 1, 1]

@@ -16,7 +16,8 @@ from threadloom.llm.samples import labelled_sample
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-WINDOW, STRIDE = 64, 56
+# Half a window: any 32 words or fewer in a row are whole in some window.
+WINDOW, STRIDE = 64, 32
 HIDDEN, WIDTH = 8, 12
 WORD_SLOTS, CHAR_SLOTS = 1 << 14, 1 << 14
 SAMPLE = {1: 800, 0: 1600}
