@@ -60,8 +60,8 @@ def kept_lines(rows, size=5, percent=80):
     earlier, out = [], {}
     for doc, text in sorted(rows, key=lambda r: r[0]):
         for at, line in enumerate((text or "").split("\n")):
-            words = line.lower().strip(" ").split(" ")
-            own = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+            words = re.findall(r"[^\x20\x09-\x0D]+", line.lower())
+            own = {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
             if not own:
                 continue
             if any(100 * len(own & s) >= percent * len(own | s) for s in earlier):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from threadloom.session import materialise
 
 SIZE, PERCENT = 5, 80
-FREQUENT = 5_000
+WORD = r"[^\x20\x09-\x0D]+"
+FREQUENT, SLOTS = 5_000, 1 << 18
 SENT_ROWS = 500_000
 
 
@@ -18,14 +19,29 @@ def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), lines)
 
 
-def line_sets(lines: DataFrame, size: int, *kept: str) -> DataFrame:
-    """``kept`` and ``set``: distinct hashes of all runs of ``size`` words of a lower-cased line, sorted; null if it has fewer words.
+def line_words(lines: DataFrame, *kept: str) -> DataFrame:
+    """``kept`` and ``words``: hashes of the words, split at white space, of a lower-cased line."""
+    words = F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))
+    return lines.select(*kept, F.transform(words, lambda w: F.xxhash64(w)).alias("words"))
 
-    The hashed words are a column of their own: written into the lambda they would be made anew for every run.
+
+def line_sets(words: DataFrame, size: int, *kept: str) -> DataFrame:
+    """``kept`` and ``set``: distinct hashes of all runs of ``size`` of the ``words``, sorted; fewer words are one run; null without words.
+
+    The hashed words must be a column of their own: written into the lambda they would be made anew for every
+    run. So nothing that reads ``set`` may be a filter or join key until the sets are written.
     """
-    words = lines.select(*kept, F.transform(F.split(F.trim(F.lower("line")), " "), lambda w: F.xxhash64(w)).alias("words"))
-    runs = F.transform(F.sequence(F.lit(0), F.size("words") - size), lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(size)]))
-    return words.select(*kept, F.when(F.size("words") >= size, F.sort_array(F.array_distinct(runs))).alias("set"))
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0))), lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(size)]))
+    return words.select(*kept, F.when(F.size("words") > 0, F.sort_array(F.array_distinct(runs))).alias("set"))
+
+
+def listed(hashes: list[int]):
+    """A test of a column for ``hashes``, or for others that share one of ``SLOTS`` slots with them: one bounded constant, looked up in place."""
+    slots = bytearray(SLOTS)
+    for h in hashes:
+        slots[h % SLOTS] = 1
+    table = F.lit(bytes(slots))
+    return lambda x: F.substring(table, F.pmod(x, F.lit(SLOTS)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
 
 
 def need(n: Column, percent: int) -> Column:
@@ -47,12 +63,13 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """doc_id and at (line number from 0) of every line that matches an earlier one.
 
     Lines are in order of document id, then number. Two lines match when their sets of runs of ``size`` words
-    have a Jaccard similarity of ``percent`` hundredths or more; lines with fewer words never match.
+    have a Jaccard similarity of ``percent`` hundredths or more. A line with fewer words is one run, so it
+    matches its exact copies, case and white space aside; a line without words never matches.
 
     Lines with equal sets are one class. The rest is a prefix join of classes: shingles are ordered by rarity
-    (by hash, with the ``FREQUENT`` most frequent after all others; only that bounded list is sent to the
-    tasks, and it sets the order, not the result), and matching lines must share one of their first
-    n - need + 1. A shared shingle's places in both orders bound the overlap that is still possible
+    (by hash, with the ``FREQUENT`` most frequent, and what shares a slot with them, after all others; only
+    that bounded table is sent to the tasks, and it sets the order, not the result), and matching lines must
+    share one of their first n - need + 1. A shared shingle's places in both orders bound the overlap that is still possible
     (positional filter), as do the sizes (length filter). What is left is compared set by set. The earliest
     class of each shingle is compared first, which is linear; only classes that found no match there are
     then compared with all others they meet, so that a large group of similar lines is not paired out.
@@ -62,13 +79,13 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     are not read, whatever their names.
     """
     lines = numbered_lines(docs, doc_id, text)
-    sets = line_sets(lines, size, "doc_id", "at")
+    sets = line_sets(line_words(lines, "doc_id", "at"), size, "doc_id", "at")
     n = F.size("set")
     prefix = n - need(n, percent) + 1
     # Half as many again as the prefix has: enough to fill it when some of them turn out frequent.
     head = F.slice("set", F.lit(1), F.floor(prefix * 3 / 2).cast("int") + 1)
     heads = sets.select("doc_id", "at", F.xxhash64("set").alias("class_id"), F.when(F.col("set").isNotNull(), n).alias("n"), head.alias("head"))
-    # Short lines are left out when the table is read: a filter here would make every set twice.
+    # Lines without words are left out when the table is read: a filter here would make every set twice.
     heads = materialise(heads, "line-heads").where("n is not null")
     heads = heads.withColumn("prefix", F.col("n") - need(F.col("n"), percent) + 1)
 
@@ -79,7 +96,7 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     often = heads.select(F.explode(F.slice("head", F.lit(1), F.col("prefix"))).alias("shingle")).groupBy("shingle").count()
     often = often.where("count >= 16").orderBy(F.desc("count"), "shingle").limit(FREQUENT)
     frequent = [r[0] for r in often.select("shingle").collect()]
-    is_frequent = (lambda x: x.isin(frequent)) if frequent else (lambda x: F.lit(False))
+    is_frequent = listed(frequent)
 
     rare = heads.withColumn("rare", F.filter("head", lambda x: ~is_frequent(x)))
     full = F.size("rare") >= F.col("prefix")
@@ -118,10 +135,17 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _sets_at(lines: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """class_id and the whole set of the lines at the places ``first``."""
-    wanted = sent_if_small(wanted.select("class_id", F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at")))
-    at = lines.join(wanted.withColumnsRenamed({"doc_id": "wanted_id", "at": "wanted_at"}), F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("at") == F.col("wanted_at")))
-    return line_sets(at, size, "class_id").where(F.xxhash64("set") == F.col("class_id"))
+    """class_id and the whole set of the lines at the places ``first``.
+
+    Words and sets are written before anything is compared: as part of a filter or join key, the sets of all
+    lines would be made, and the words anew for every run.
+    """
+    wanted = sent_if_small(wanted.select("class_id", F.col("first.doc_id").alias("wanted_id"), F.col("first.at").alias("wanted_at")))
+    at = lines.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("at") == F.col("wanted_at")))
+    words = materialise(line_words(at, "class_id"), "wanted-words")
+    sets = materialise(line_sets(words, size, "class_id"), "wanted-sets")
+    # A repeated id may have another line at the same place.
+    return sets.where(F.xxhash64("set") == F.col("class_id"))
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -136,7 +160,7 @@ def _verified(pairs: DataFrame, lines: DataFrame, classes: DataFrame, size: int,
     counted = materialise(counted.select("a", "b", "na", "nb"), "line-pairs")
     wanted = counted.select(F.col("a").alias("class_id")).unionByName(counted.select(F.col("b").alias("class_id"))).distinct()
     wanted = materialise(classes.join(wanted, "class_id", "left_semi").select("class_id", "first"), "wanted-lines")
-    sets = materialise(_sets_at(lines, wanted, size).dropDuplicates(["class_id"]), "line-sets")
+    sets = _sets_at(lines, wanted, size).dropDuplicates(["class_id"])
     both = counted.join(sets.select(F.col("class_id").alias("a"), F.col("set").alias("sa")), "a")
     both = both.join(sets.select(F.col("class_id").alias("b"), F.col("set").alias("sb")), "b")
     return both.where(F.size(F.array_intersect("sa", "sb")) >= least).select("a", "b")

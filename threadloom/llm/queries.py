@@ -152,10 +152,10 @@ def lines_sql() -> str:
 WITH numbered AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 line AS (
-  SELECT doc_id, unnest(range(len(parts))) AS ln, string_split(trim(lower(unnest(parts)), ' '), ' ') AS w FROM numbered),
+  SELECT doc_id, unnest(range(len(parts))) AS ln, regexp_extract_all(lower(unnest(parts)), '[^\x20\x09-\x0D]+') AS w FROM numbered),
 sets AS (
-  SELECT doc_id, ln, list_sort(list_distinct([array_to_string(w[i + 1:i + {lines.SIZE}], ' ') FOR i IN range(len(w) - {lines.SIZE - 1})])) AS s
-  FROM line WHERE len(w) >= {lines.SIZE}),
+  SELECT doc_id, ln, list_sort(list_distinct([array_to_string(w[i + 1:i + {lines.SIZE}], ' ') FOR i IN range(greatest(len(w) - {lines.SIZE - 1}, 1))])) AS s
+  FROM line WHERE len(w) > 0),
 classes AS (
   SELECT s, min((doc_id, ln)) AS first, row_number() OVER () AS c, len(s) AS n FROM sets GROUP BY s),
 runs AS (SELECT c, first, n, unnest(s) AS run FROM classes),
