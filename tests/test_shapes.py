@@ -8,7 +8,7 @@ from threadloom.operators import filters as P
 from threadloom.operators import threads as G
 from threadloom.sources.adapters import Tables
 
-PAGES = {"page_bodies", "page_default_bodies", "articles_built", "articles_with_page", "body_repair"}
+PAGES = {"page_bodies", "page_default_bodies", "articles_built", "articles_with_page", "body_repair", "content_bodies", "failing_rules"}
 # Rows that come straight out of written tables: their own work is in the jobs before.
 NO_PLAN = {"article_stream", "upstream_stream", "ingest_stream", "ingest_tagged", "ingest_replies", "rate_stream", "dedup_stream", "stall_stream"}
 
