@@ -35,7 +35,7 @@ def test_all_pairs(spark):
 
 def test_without_sending_lists(spark, monkeypatch):
     monkeypatch.setattr(L, "SENT_ROWS", 0)
-    monkeypatch.setattr(L, "FREQUENT", 3)
+    monkeypatch.setattr(L, "frequent_slots", lambda shingles: list(range(0, L.SLOTS, 3)))
     check(spark, texts(9))
 
 

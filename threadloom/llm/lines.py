@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.session import materialise
 
 SIZE, PERCENT = 5, 80
-WORD = r"[^\x20\x09-\x0D]+"
-FREQUENT, SLOTS = 5_000, 1 << 18
+FREQUENT, SLOTS, SALTS = 500, 1 << 14, 64
 SENT_ROWS = 500_000
 
 
@@ -21,7 +20,7 @@ def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def line_words(lines: DataFrame, *kept: str) -> DataFrame:
     """``kept`` and ``words``: hashes of the words, split at white space, of a lower-cased line."""
-    words = F.regexp_extract_all(F.lower("line"), F.lit(WORD), F.lit(0))
+    words = F.array_remove(F.split(F.translate(F.lower("line"), "\t\x0b\f\r", "    "), " "), "")
     return lines.select(*kept, F.transform(words, lambda w: F.xxhash64(w)).alias("words"))
 
 
@@ -35,13 +34,29 @@ def line_sets(words: DataFrame, size: int, *kept: str) -> DataFrame:
     return words.select(*kept, F.when(F.size("words") > 0, F.sort_array(F.array_distinct(runs))).alias("set"))
 
 
-def listed(hashes: list[int]):
-    """A test of a column for ``hashes``, or for others that share one of ``SLOTS`` slots with them: one bounded constant, looked up in place."""
-    slots = bytearray(SLOTS)
-    for h in hashes:
-        slots[h % SLOTS] = 1
-    table = F.lit(bytes(slots))
-    return lambda x: F.substring(table, F.pmod(x, F.lit(SLOTS)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+def listed(slots: list[int]):
+    """A test of a column for hashes in one of the ``slots``: one constant of ``SLOTS`` bits, looked up in place."""
+    words = [0] * (SLOTS // 64)
+    for slot in slots:
+        words[slot // 64] |= 1 << slot % 64
+    bits = F.lit([w - (1 << 64) if w >> 63 else w for w in words]).cast("array<bigint>")
+    return lambda x: F.getbit(F.get(bits, F.pmod(F.shiftright(x, 6), F.lit(SLOTS // 64)).cast("int")), F.pmod(x, F.lit(64)).cast("int")) == 1
+
+
+def slot_of(x: Column) -> Column:
+    return F.pmod(F.shiftright(x, 6), F.lit(SLOTS // 64)) * 64 + F.pmod(x, F.lit(64))
+
+
+def frequent_slots(shingles: DataFrame) -> list[int]:
+    """The fullest slots, ``FREQUENT`` at most, of those that hold far more shingles than chance gives a slot.
+
+    Counts are of all shingles, added up per task before they are shuffled: at most ``SLOTS`` rows a task.
+    """
+    counts = materialise(shingles.groupBy(slot_of(F.col("shingle")).alias("slot")).count(), "line-slots")
+    usual = counts.agg(F.sum("count")).first()[0] or 0
+    mean = usual / SLOTS
+    full = counts.where(F.col("count") >= mean + 8 * mean**0.5 + 16)
+    return [r[0] for r in full.orderBy(F.desc("count"), "slot").limit(FREQUENT).select("slot").collect()]
 
 
 def need(n: Column, percent: int) -> Column:
@@ -67,12 +82,13 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     matches its exact copies, case and white space aside; a line without words never matches.
 
     Lines with equal sets are one class. The rest is a prefix join of classes: shingles are ordered by rarity
-    (by hash, with the ``FREQUENT`` most frequent, and what shares a slot with them, after all others; only
-    that bounded table is sent to the tasks, and it sets the order, not the result), and matching lines must
-    share one of their first n - need + 1. A shared shingle's places in both orders bound the overlap that is still possible
+    (by hash, with those in the ``FREQUENT`` fullest of ``SLOTS`` slots after all others; only that bounded
+    table is sent to the tasks, and it sets the order, not the result), and matching lines must share one of
+    their first n - need + 1. A shared shingle's places in both orders bound the overlap that is still possible
     (positional filter), as do the sizes (length filter). What is left is compared set by set. The earliest
-    class of each shingle is compared first, which is linear; only classes that found no match there are
-    then compared with all others they meet, so that a large group of similar lines is not paired out.
+    class of each shingle (of each of ``SALTS`` parts of a frequent one) is compared first, which is linear;
+    only classes that found no match there are then compared with all others they meet, so that a large
+    group of similar lines is not paired out.
 
     Null and empty texts are one empty line. A null id comes after all others. Rows with the same id are one
     document that is there twice: equal places are the same line. An empty table gives no rows. Other columns
@@ -82,8 +98,8 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = line_sets(line_words(lines, "doc_id", "at"), size, "doc_id", "at")
     n = F.size("set")
     prefix = n - need(n, percent) + 1
-    # Half as many again as the prefix has: enough to fill it when some of them turn out frequent.
-    head = F.slice("set", F.lit(1), F.floor(prefix * 3 / 2).cast("int") + 1)
+    # More than the prefix has: enough to fill it when some of them turn out frequent.
+    head = F.slice("set", F.lit(1), F.floor(prefix * 5 / 4).cast("int") + 2)
     heads = sets.select("doc_id", "at", F.xxhash64("set").alias("class_id"), F.when(F.col("set").isNotNull(), n).alias("n"), head.alias("head"))
     # Lines without words are left out when the table is read: a filter here would make every set twice.
     heads = materialise(heads, "line-heads").where("n is not null")
@@ -92,37 +108,40 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "at")
     classes = heads.groupBy("class_id").agg(F.min(place).alias("first"), F.max("n").alias("n"), F.count("*").alias("copies"))
     classes = materialise(classes, "line-classes")
+    several = sent_if_small(classes.where("copies > 1").select("class_id", F.col("first").alias("earliest")))
+    # One line of each class; the lines of all other classes stay where they are.
+    heads_once = heads.withColumn("first", place).join(several, "class_id", "left").where(F.col("earliest").isNull() | (F.col("earliest") == F.col("first")))
 
-    often = heads.select(F.explode(F.slice("head", F.lit(1), F.col("prefix"))).alias("shingle")).groupBy("shingle").count()
-    often = often.where("count >= 16").orderBy(F.desc("count"), "shingle").limit(FREQUENT)
-    frequent = [r[0] for r in often.select("shingle").collect()]
-    is_frequent = listed(frequent)
-
-    rare = heads.withColumn("rare", F.filter("head", lambda x: ~is_frequent(x)))
+    is_frequent = listed(frequent_slots(heads.select(F.explode(F.slice("head", F.lit(1), F.col("prefix"))).alias("shingle"))))
+    rare = heads_once.withColumn("rare", F.filter("head", lambda x: ~is_frequent(x)))
     full = F.size("rare") >= F.col("prefix")
     ready = rare.where(full | (F.size("head") >= F.col("n")))
     in_order = F.when(full, F.col("rare")).otherwise(F.concat("rare", F.filter("head", is_frequent)))
-    ready = ready.select("class_id", "n", F.slice(in_order, F.lit(1), F.col("prefix")).alias("short"))
+    ready = ready.select("class_id", "n", "first", F.slice(in_order, F.lit(1), F.col("prefix")).alias("short"))
     # Lines with so many frequent shingles that their heads don't fill the prefix are read again.
-    lacking = materialise(rare.where(~(full | (F.size("head") >= F.col("n")))).groupBy("class_id").agg(F.min(place).alias("first")), "lacking-lines")
-    again = _sets_at(lines, lacking, size).withColumn("n", F.size("set"))
-    again_order = F.concat(F.filter("set", lambda x: ~is_frequent(x)), F.filter("set", is_frequent))
-    again = again.select("class_id", "n", F.slice(again_order, F.lit(1), F.col("n") - need(F.col("n"), percent) + 1).alias("short"))
-    postings = ready.unionByName(again).select(F.posexplode("short").alias("pos", "shingle"), "class_id", "n")
-
-    by_shingle = Window.partitionBy("shingle")
-    once = postings.repartition("shingle").dropDuplicates(["shingle", "class_id"])
-    met = once.withColumn("low", F.min("class_id").over(by_shingle)).withColumn("high", F.max("class_id").over(by_shingle)).where("low <> high")
-    met = met.select("shingle", "class_id", "pos", "n").join(classes.select("class_id", "first"), "class_id")
+    lacking = materialise(rare.where(~(full | (F.size("head") >= F.col("n")))).select("class_id", "first"), "lacking-lines")
+    if not lacking.isEmpty():
+        again = _sets_at(lines, lacking, size).withColumn("n", F.size("set"))
+        again_order = F.concat(F.filter("set", lambda x: ~is_frequent(x)), F.filter("set", is_frequent))
+        again = again.select("class_id", "n", "first", F.slice(again_order, F.lit(1), F.col("n") - need(F.col("n"), percent) + 1).alias("short"))
+        ready = ready.unionByName(again)
+    postings = ready.select(F.posexplode("short").alias("pos", "shingle"), "class_id", "n", "first")
+
+    # The classes of a frequent shingle are dealt over several tasks; each part has an earliest class of its own.
+    common = is_frequent(F.col("shingle"))
+    salted = postings.withColumn("salt", F.when(common, F.pmod(F.col("class_id"), F.lit(SALTS)).cast("int")).otherwise(-1))
+    part = Window.partitionBy("shingle", "salt").orderBy("first")
+    met = salted.withColumns(
+        {"a": F.first(F.struct("class_id", "n", "pos")).over(part), "before": F.lag("class_id").over(part), "after": F.lead("class_id").over(part)}
+    )
+    met = met.where("before is not null or after is not null or salt >= 0").drop("before", "after", "salt")
     met = materialise(met, "met-lines")
-
-    first_of = materialise(met.groupBy("shingle").agg(F.min(F.struct("first", "class_id", "pos", "n")).alias("a")), "first-lines")
-    early = met.join(first_of, "shingle").select(F.col("a.class_id").alias("a"), F.col("a.n").alias("na"), F.col("a.pos").alias("pa"), F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    early = met.select(F.col("a.class_id").alias("a"), F.col("a.n").alias("na"), F.col("a.pos").alias("pa"), F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     found = _verified(early.where("a <> b"), lines, classes, size, percent)
     gone = materialise(found.select(F.col("b").alias("class_id")).distinct(), "gone-early")
 
     open_ = met.join(gone, "class_id", "left_anti")
-    left, right = met.alias("l"), open_.alias("r")
+    left, right = met.drop("a").alias("l"), open_.drop("a").alias("r")
     late = left.join(right, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.first") < F.col("r.first")))
     late = late.select(F.col("l.class_id").alias("a"), F.col("l.n").alias("na"), F.col("l.pos").alias("pa"), F.col("r.class_id").alias("b"), F.col("r.n").alias("nb"), F.col("r.pos").alias("pb"))
     found = _verified(late, lines, classes, size, percent)
@@ -135,15 +154,15 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _sets_at(lines: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """class_id and the whole set of the lines at the places ``first``.
+    """class_id, first and the whole set of the lines at the places ``first``.
 
     Words and sets are written before anything is compared: as part of a filter or join key, the sets of all
     lines would be made, and the words anew for every run.
     """
-    wanted = sent_if_small(wanted.select("class_id", F.col("first.doc_id").alias("wanted_id"), F.col("first.at").alias("wanted_at")))
+    wanted = sent_if_small(wanted.select("class_id", "first", F.col("first.doc_id").alias("wanted_id"), F.col("first.at").alias("wanted_at")))
     at = lines.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("at") == F.col("wanted_at")))
-    words = materialise(line_words(at, "class_id"), "wanted-words")
-    sets = materialise(line_sets(words, size, "class_id"), "wanted-sets")
+    words = materialise(line_words(at, "class_id", "first"), "wanted-words")
+    sets = materialise(line_sets(words, size, "class_id", "first"), "wanted-sets")
     # A repeated id may have another line at the same place.
     return sets.where(F.xxhash64("set") == F.col("class_id"))
 
