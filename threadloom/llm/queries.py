@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import decontamination, exact, jaccard, licenses, lines, packing, pages, quality, toxicity, warc
+from threadloom.llm import decontamination, exact, jaccard, lexical, licenses, lines, mixing, packing, pages, quality, toxicity, warc
 from threadloom.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +222,64 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learns_toxicity())
     scored = docs.select("doc_id", (~learns_toxicity()).alias("held_out"), toxicity.toxicity_score(spark, model, F.col("text")).alias("score"))
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query(
+    "op11_lexical",
+    rf"""
+WITH tokens AS (
+  SELECT row_number() OVER () AS d, doc_id, {SQL_ALNUM} AS words FROM documents),
+docs AS (SELECT d, doc_id, words, len(words) AS n FROM tokens WHERE len(words) > 0),
+totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_words FROM docs),
+counts AS (SELECT d, w, count(*) AS tf FROM (SELECT d, unnest(words) AS w FROM docs) GROUP BY 1, 2),
+weights AS (
+  SELECT w, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT w, count(*) AS df FROM counts GROUP BY 1), totals),
+asked AS (SELECT DISTINCT item_id, unnest({SQL_ALNUM}) AS w FROM benchmark),
+scored AS (
+  SELECT item_id, d, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_words))))::BIGINT AS score
+  FROM asked JOIN weights USING (w) JOIN counts USING (w) JOIN docs USING (d), totals GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= {lexical.TOP}""",
+)
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that fit each benchmark item's words best."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def mixing_sql() -> str:
+    """The level by the order in which sources reach their caps, in one pass; the keys of each source in one window."""
+    weights, percent, epochs = list(mixing.WEIGHTS), mixing.PERCENT, mixing.EPOCHS
+    return rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size,
+         md5(concat('{mixing.SEED}:', coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))))) AS key FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS total FROM sized GROUP BY 1),
+weighed AS (
+  SELECT source, total, {epochs} * total AS cap, {weights}[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} + 1] AS weight FROM sources),
+sums AS (SELECT sum(total)::BIGINT AS words, sum(weight)::BIGINT AS weights FROM weighed),
+ranked AS (
+  SELECT *, row_number() OVER o AS pos, sum(cap) OVER o - cap AS caps, weights - sum(weight) OVER o + weight AS open
+  FROM weighed, sums WINDOW o AS (ORDER BY cap * 6 // weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+level AS (
+  SELECT {percent} * words - 100 * caps AS num, 100 * open AS den FROM ranked
+  WHERE weight * ({percent} * words - 100 * caps) <= 100 * open * cap ORDER BY pos LIMIT 1),
+targets AS (
+  SELECT source, total, CASE WHEN weight * num > cap * den THEN cap::DOUBLE ELSE (weight * num)::DOUBLE / den::DOUBLE END AS target FROM weighed, level),
+parts AS (
+  SELECT *, CASE WHEN total > 0 THEN floor(target / total)::BIGINT ELSE 0 END AS whole FROM targets),
+keys AS (
+  SELECT source, key, n, sum(n) OVER (PARTITION BY source ORDER BY key) AS until
+  FROM (SELECT source, key, sum(size)::BIGINT AS n FROM sized GROUP BY 1, 2)),
+more AS (
+  SELECT k.source, key, until <= rest OR (until - n <= rest AND 2 * (rest - (until - n)) >= n) AS again
+  FROM keys k JOIN (SELECT *, target - whole * total AS rest FROM parts) p ON k.source IS NOT DISTINCT FROM p.source)
+SELECT s.doc_id, s.size, p.total AS source_size, p.target, (s.size * (p.whole + CASE WHEN again THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
+JOIN more m ON s.source IS NOT DISTINCT FROM m.source AND s.key = m.key"""
+
+
+@query("op13_mixing", mixing_sql())
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document the mix takes."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
