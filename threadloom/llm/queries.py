@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import decontamination, exact, jaccard, lexical, licenses, lines, mixing, packing, pages, quality, toxicity, warc
+from threadloom.llm import decontamination, exact, jaccard, lexical, licenses, lines, mixing, packing, pages, quality, toxicity, warc, whitening
 from threadloom.llm.samples import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -247,12 +247,19 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's place on the sixteen components with the largest variance, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def mixing_sql() -> str:
     """The level by the order in which sources reach their caps, in one pass; the keys of each source in one window."""
     weights, percent, epochs = list(mixing.WEIGHTS), mixing.PERCENT, mixing.EPOCHS
     return rf"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS size,
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS size,
          md5(concat('{mixing.SEED}:', coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))))) AS key FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS total FROM sized GROUP BY 1),
 weighed AS (
