@@ -11,6 +11,8 @@ from threadloom.functions import scalars as X
 from threadloom.functions import text as TX
 from threadloom.operators import aggregates as A
 from threadloom.operators import filters as P
+from threadloom.plans.search_index import SearchIndex, build_index
+from threadloom.session import run_dir
 from threadloom.streaming.ingest import track_matches
 
 TOKENS = sql_tokens("body")
@@ -95,19 +97,60 @@ _FIRST = "CASE " + " ".join(f"WHEN list_has_any(toks, {w}) THEN {i}" for i, w in
 _LISTED = ", ".join(f"({i}, '{term}')" for i, term in enumerate(TERMS, 1))
 
 
+_YIELD = f"""
+WITH firsts AS (SELECT {_FIRST} AS position FROM (SELECT {TOKENS} AS toks FROM docs)),
+listed(position, term) AS (VALUES {_LISTED}),
+gains AS (SELECT l.position, l.term, count(f.position) AS gain
+          FROM listed l LEFT JOIN firsts f ON f.position = l.position GROUP BY 1, 2)
+SELECT position, term, gain, CAST(sum(gain) OVER (ORDER BY position) AS BIGINT) AS found,
+       gain > 50 AND position > 1 AS changes
+FROM gains"""
+
+
+@query("term_yield", _YIELD)
+def term_yield(t):
+    return A.term_yield(t.docs, "body", TERMS, over=50)
+
+
+def _index(t) -> SearchIndex:
+    """The search table of all documents, in a folder of its own."""
+    return build_index(t.docs, "tweet_id", "body", run_dir(t.spark, "search"), buckets=32, shards=4)
+
+
 @query(
-    "term_yield",
+    "index_search",
     f"""
-    WITH firsts AS (SELECT {_FIRST} AS position FROM (SELECT {TOKENS} AS toks FROM docs)),
-    listed(position, term) AS (VALUES {_LISTED}),
-    gains AS (SELECT l.position, l.term, count(f.position) AS gain
-              FROM listed l LEFT JOIN firsts f ON f.position = l.position GROUP BY 1, 2)
-    SELECT position, term, gain, CAST(sum(gain) OVER (ORDER BY position) AS BIGINT) AS found,
-           gain > 50 AND position > 1 AS changes
-    FROM gains""",
+    SELECT tweet_id FROM docs
+    WHERE (list_has_any({TOKENS}, ['que', 'und']) AND NOT list_has_any({TOKENS}, ['covid', '19', 'etre', 'fur']))
+       OR (list_has_any({TOKENS}, ['fur', 'etre']))""",
 )
-def term_yield(t):
-    return A.term_yield(t.docs, "body", TERMS, over=50)
+def index_search(t):
+    return _index(t).search("que und -covid-19 -étre -für", "für étre", "-que").withColumnRenamed("doc_id", "tweet_id")
+
+
+@query(
+    "index_phrase",
+    f"""
+    SELECT tweet_id FROM docs
+    WHERE contains(' ' || array_to_string({TOKENS}, ' ') || ' ', ' of the ')
+      AND NOT contains(' ' || array_to_string({TOKENS}, ' ') || ' ', ' to the ')""",
+)
+def index_phrase(t):
+    return _index(t).search('"Of, the" -"to the"').withColumnRenamed("doc_id", "tweet_id")
+
+
+@query(
+    "index_term_counts",
+    f"WITH listed AS (SELECT {TOKENS} AS toks FROM docs WHERE tweet_id NOT IN (SELECT tweet_id FROM errors)) {_COUNTS}",
+)
+def index_term_counts(t):
+    index = _index(t)
+    return index.term_counts(TERMS, within=P.without_keys(index.ids(), t.errors, "doc_id", "tweet_id"))
+
+
+@query("index_term_yield", _YIELD)
+def index_term_yield(t):
+    return _index(t).term_yield(TERMS, over=50)
 
 
 @query("doc_tokens", f"SELECT tweet_id, len({TOKENS}) AS n_tokens, len(list_distinct({TOKENS})) AS n_words FROM docs")
