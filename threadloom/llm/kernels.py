@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 
 import numpy as np
@@ -17,6 +18,7 @@ ALNUM = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65
 
 _GENERATOR = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_VALUES = _GENERATOR.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+LONG_RANGE = 64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
@@ -51,25 +53,40 @@ def mix(x: np.ndarray) -> np.ndarray:
 def span_hashes(words: list[bytes], size: int) -> np.ndarray:
     """64-bit hashes of every run of ``size`` words, in order; fewer words: the whole sequence as one; none: empty.
 
-    The words are laid out with one space between them, so a run is a byte range; its hash is the
-    difference of two running sums, brought back to offset zero.
+    Every word has a hash of its own, and a run mixes the hashes of its words, so what runs have in common
+    byte by byte plays no part.
     """
     if not words:
         return np.empty(0, np.uint64)
     data = np.frombuffer(b" ".join(words), np.uint8)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
+    single = range_hashes(data, ends - lengths, ends)
     size = min(size, len(words))
-    return range_hashes(data, starts[: len(words) - size + 1], ends[size - 1 :])
+    if size == 1:
+        return single
+    runs = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        runs = mix(runs + single[k : k + len(runs)])
+    return runs
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges of ``data``."""
+    """64-bit hashes of byte ranges of ``data``.
+
+    A short range takes the difference of two running sums, brought back to offset zero. Such sums modulo 2^64
+    are the same for certain long patterns of two letters, whatever the base, so ranges over ``LONG_RANGE``
+    bytes, which are rare, take a cryptographic hash.
+    """
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    far = np.flatnonzero(ends - starts > LONG_RANGE)
+    if len(far):
+        found = [hashlib.blake2b(data[a:b], digest_size=8).digest() for a, b in zip(starts[far].tolist(), ends[far].tolist())]
+        hashes[far] = np.frombuffer(b"".join(found), "<u8")
+    return hashes
 
 
 def shingle_set(text: bytes | None, size: int = 5) -> np.ndarray:
