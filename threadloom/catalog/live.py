@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from threadloom import model
 from threadloom.catalog.registry import query, sql_fold, sql_tokens
 from threadloom.operators import filters as P
+from threadloom.plans.articles import page_store, stored_pages
 from threadloom.session import run_dir
 from threadloom.streaming import ingest, rates
 
@@ -91,7 +92,7 @@ def ingest_stream(t):
     """Every event comes three times; one copy of each is kept."""
     stream = t.live_stream().withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     folder = run_dir(t.spark, "ingest")
-    _drain(ingest.ingest_stream(stream, f"{folder}/table", f"{folder}/log", tracks=None, languages=None))
+    _drain(ingest.ingest_stream(stream, f"{folder}/table", f"{folder}/log", tracks=None, languages=None, buckets=16))
     return t.spark.read.parquet(f"{folder}/table").select("id", "created_at", "query")
 
 
@@ -111,7 +112,7 @@ def ingest_tagged(t):
     posts = docs.select(F.col("doc_id").alias("id"), when.alias("created_at"), "text", "lang")
     folder = run_dir(t.spark, "tagged")
     _drain(
-        ingest.ingest_stream(posts, f"{folder}/table", f"{folder}/log", tracks=["Ciones", "que", "un"])
+        ingest.ingest_stream(posts, f"{folder}/table", f"{folder}/log", tracks=["Ciones", "que", "un"], buckets=16)
     )
     return t.spark.read.parquet(f"{folder}/table").select("id", "query")
 
@@ -131,7 +132,7 @@ def ingest_replies(t):
     )
     folder = run_dir(t.spark, "replies")
     _drain(
-        ingest.ingest_replies(posts, f"{folder}/table", f"{folder}/log", ["the", "und", "été"], languages=None)
+        ingest.ingest_replies(posts, f"{folder}/table", f"{folder}/log", ["the", "und", "été"], languages=None, buckets=16)
     )
     return t.spark.read.parquet(f"{folder}/table").select("id", F.col(P.PARENT).alias("parent"))
 
@@ -157,7 +158,9 @@ def article_stream(t):
     t.linked.repartition(2).write.parquet(f"{folder}/posts")
     stream = t.spark.readStream.schema(model.POST).option("maxFilesPerTrigger", 1).parquet(f"{folder}/posts")
     accounts = t.linked.select("user_name").distinct()
-    _drain(ingest.article_stream(stream, t.pages.drop("page_id"), f"{folder}/table", f"{folder}/log", accounts))
+    pages = page_store(t.spark, f"{folder}/pages", buckets=8)
+    pages.create(stored_pages(t.pages))
+    _drain(ingest.article_stream(stream, pages, f"{folder}/table", f"{folder}/log", accounts))
     return t.spark.read.parquet(f"{folder}/table").select("tweet_id", "url", "title")
 
 

@@ -16,6 +16,7 @@ from threadloom.plans import audit, upstream
 from threadloom.plans.articles import with_comments
 from threadloom.session import run_dir
 from threadloom.sources import writers
+from threadloom.sources.buckets import BucketStore
 
 
 @query("replies_only", "SELECT user_name, count(*) AS n FROM threads WHERE parent IS NOT NULL GROUP BY 1")
@@ -359,14 +360,12 @@ def first_wins_by_key(t):
 @query("insert_if_absent", "SELECT id, CASE WHEN created_at < TIMESTAMP '2024-01-16' THEN 'first' ELSE 'second' END AS run FROM live")
 def insert_if_absent(t):
     """Half of the posts are stored, then all come again: the stored ones stay as they are."""
-    table = run_dir(t.spark, "inserted")
     order = [F.col("created_at")]
     first = t.live.where(F.col("created_at") < F.expr("timestamp_ntz'2024-01-16 00:00:00'")).withColumn("run", F.lit("first"))
-    writers.write_batch(writers.absent_rows(first, first.limit(0), "id", order), table, 0)
-    before = t.spark.read.schema(first.schema).parquet(f"{table}/batch=0")
-    second = t.live.unionByName(t.live).withColumn("run", F.lit("second"))
-    writers.write_batch(writers.absent_rows(second, writers.narrowed(before, second, "id"), "id", order), table, 1)
-    return t.spark.read.parquet(table).select("id", "run")
+    store = BucketStore(t.spark, run_dir(t.spark, "inserted"), first.schema, "id", buckets=16)
+    store.insert(first, order)
+    store.insert(t.live.unionByName(t.live).withColumn("run", F.lit("second")), order)
+    return store.read().select("id", "run")
 
 
 @query(
@@ -394,5 +393,7 @@ def insert_errors(t):
 )
 def update_by_key(t):
     changes = t.errors.select("tweet_id", F.col("api_code").cast("string").alias("user"))
-    rows = writers.updated(t.articles, changes, "tweet_id", ["user"])
-    return writers.write_snapshot(rows, run_dir(t.spark, "articles"), 1).select("tweet_id", "user")
+    store = BucketStore(t.spark, run_dir(t.spark, "articles"), t.articles.schema, "tweet_id", buckets=16)
+    store.create(t.articles)
+    store.update(changes, ["user"])
+    return store.read().select("tweet_id", "user")

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.functions import scalars as X
 from threadloom.operators import filters as P
 from threadloom.operators.extraction import BODY_RULES, extract_pages, repaired_bodies, rule_for
 from threadloom.operators.groups import BLOCK_ROWS, first_wins, nest_in_parts
 from threadloom.operators.threads import screen_names, short_list
+from threadloom.sources.buckets import BUCKETS, BucketStore
 from threadloom.sources.writers import updated
 
 
@@ -24,6 +26,22 @@ def news_posts(posts: DataFrame, accounts: DataFrame | None = None, flagged_only
     return P.only_keys(roots, short_list(accounts), "user_name")
 
 
+def page_store(spark: SparkSession, path: str, buckets: int = BUCKETS) -> BucketStore:
+    """Landed pages in buckets of the links that lead to them."""
+    return BucketStore(spark, path, T.StructType.fromDDL("page_key string, url string, html string"), "page_key", buckets)
+
+
+def stored_pages(pages: DataFrame) -> DataFrame:
+    """Pages as a page store holds them."""
+    return pages.select(X.link_key("url").alias("page_key"), "url", "html")
+
+
+def pages_near(store: BucketStore, posts: DataFrame) -> DataFrame:
+    """The pages in the buckets that the first links of ``posts`` lead to: all pages these posts can have, and no folder more."""
+    links = posts.select(X.link_key(X.first_link("entities.urls")).alias("page_key")).where(F.col("page_key").isNotNull())
+    return store.near(links).select("url", "html")
+
+
 def with_pages(posts: DataFrame, pages: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
     """Every post with the landed page its first link points to; with ``rules``, also its title and body.
 
@@ -35,6 +53,7 @@ def with_pages(posts: DataFrame, pages: DataFrame, rules: dict[str, str] | None
     rule = F.lit(None).cast("string") if rules is None else rule_for("user.screen_name", rules)
     posts = posts.withColumn("link", X.first_link("entities.urls")).withColumn("_rule", F.coalesce(rule, F.lit("")))
     link = X.link_key("link")
+    # The pages are dealt once, by their key, for the first address, the rules, the reading and the posts.
     wanted = posts.where(F.col("link").isNotNull()).select(link.alias("_page_key"), "_rule").distinct()
     keyed = P.only_keys(pages.select("url", "html").withColumn("_page_key", X.link_key("url")), wanted, "_page_key")
     keyed = first_wins(keyed, ["_page_key"], [F.col("url"), F.xxhash64("html")])
@@ -42,7 +61,9 @@ def with_pages(posts: DataFrame, pages: DataFrame, rules: dict[str, str] | None
     if rules is not None:
         read = extract_pages(read, F.nullif(F.col("_page_rule"), F.lit("")))
     key = F.coalesce(link, F.concat(F.lit("no link "), F.col("id").cast("string")))
-    same = (key == F.col("_page_key")) & (F.col("_rule") == F.col("_page_rule"))
+    # Written as two comparisons, the rule is no join key: with one, the pages would be dealt out again by key and rule.
+    ruled = (F.col("_rule") >= F.col("_page_rule")) & (F.col("_rule") <= F.col("_page_rule"))
+    same = (key == F.col("_page_key")) & ruled
     return posts.join(read, same, "left").drop("_page_key", "_page_rule", "_rule")
 
 

@@ -1,7 +1,8 @@
 """Live ingest: track terms, first copies, replies-only mode, upstream rounds and article building.
 
-Every job writes what a batch adds to a folder named after the batch. A batch that runs again after a
-failure replaces its own folder and does not look at it, so each row lands exactly once.
+Posts go to a table in buckets of ids, where a batch that runs again adds nothing twice. Every other job writes what
+a batch adds to a folder named after the batch; run again after a failure it replaces its own folder and does not
+look at it. So each row lands exactly once.
 """
 
 from __future__ import annotations
@@ -17,9 +18,10 @@ from threadloom import model
 from threadloom.functions import text as TX
 from threadloom.operators import filters as P
 from threadloom.operators.groups import first_wins
-from threadloom.plans.articles import build_articles
+from threadloom.plans.articles import build_articles, pages_near
 from threadloom.plans.upstream import close_upward
-from threadloom.sources.writers import absent_rows, narrowed, write_batch
+from threadloom.sources.buckets import BUCKETS, BucketStore
+from threadloom.sources.writers import narrowed, write_batch
 from threadloom.streaming.batches import Work, start, stored
 
 # The accounts and the accusing words followed by default.
@@ -58,18 +60,19 @@ def tagged(posts: DataFrame, tracks: Sequence[str]) -> DataFrame:
     return posts.withColumn("query", F.get(TX.track_hits("text", tracks), F.lit(0))).where(F.col("query").isNotNull())
 
 
-def save_new(table: str, order: Sequence[str] = ("created_at",)) -> Work:
-    """Batch work that appends posts whose id is not in the table yet, the first copy of each."""
+def save_new(table: str, order: Sequence[str] = ("created_at",), buckets: int = BUCKETS) -> Work:
+    """Batch work that adds posts whose id is not in the table yet, the first copy of each.
+
+    The table is kept in buckets of ids (:class:`BucketStore`): a batch meets the buckets of its own ids, be
+    they new or years old, and a batch that runs again adds nothing twice.
+    """
 
     def work(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        ids = T.StructType([T.StructField("id", T.LongType())])
         batch.persist()
         try:
-            before = narrowed(stored(spark, table, ids, number), batch, "id")
             # The hash settles ties: copies that differ in anything still give the same winner every time.
             by = [*[F.col(c) for c in order], F.xxhash64(*batch.columns)]
-            write_batch(absent_rows(batch, before, "id", by), table, number)
+            BucketStore(batch.sparkSession, table, batch.schema, "id", buckets).insert(batch, by)
         finally:
             batch.unpersist()
 
@@ -93,13 +96,14 @@ def ingest_stream(
     only_replies: bool = False,
     work: Work | None = None,
     period: str | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Keep the first copy of every post in the languages that matches a track term.
+    """Keep the first copy of every post in the languages that matches a track term, in a table of ``buckets`` folders.
 
     ``tracks=None`` takes posts that carry their query already. ``work`` replaces the saving.
     """
     posts = selected(stream, tracks, languages, only_replies)
-    return start(posts, work or save_new(table), checkpoint, period)
+    return start(posts, work or save_new(table, buckets=buckets), checkpoint, period)
 
 
 def ingest_replies(
@@ -123,10 +127,12 @@ def drop_replays(stream: DataFrame, key: str = "id", horizon: str = "1 day", spr
 
 
 def article_stream(
-    stream: DataFrame, pages: Table, table: str, checkpoint: str, accounts: Table, period: str | None = None, **more
+    stream: DataFrame, pages: Table | BucketStore, table: str, checkpoint: str, accounts: Table, period: str | None = None, **more
 ) -> StreamingQuery:
     """Articles for the root posts of each batch that have none yet.
 
+    Of ``pages`` in a store (:func:`page_store`) a batch reads the buckets its links lead to; a plain table is read whole.
+
     Comments are not stored with them: they are the replies in the post table, joined when a release
     is cut, so a reply that comes years later needs no second run and no watermark can drop it.
     """
@@ -139,7 +145,8 @@ def article_stream(
             before = stored(batch.sparkSession, table, schema, number)
             posts = first_wins(batch, ["id"], [F.col("created_at"), F.xxhash64(*batch.columns)])
             built = narrowed(before, batch.select(F.col("id").alias("tweet_id")), "tweet_id")
-            write_batch(build_articles(posts, current(pages), built, current(accounts), **more), table, number)
+            landed = pages_near(pages, batch) if isinstance(pages, BucketStore) else current(pages)
+            write_batch(build_articles(posts, landed, built, current(accounts), **more), table, number)
         finally:
             batch.unpersist()
 
