@@ -96,3 +96,37 @@ def test_own_scorer(spark):
 
 def test_vocabulary():
     assert TX.vocabulary(["a", "b"], ["b", "c"], without=["a"]) == ["b", "c"]
+
+
+def test_pages_are_dealt_once(spark, t, capsys):
+    """One exchange carries HTML: the choice of the address, the rules, the reading and the posts share it."""
+    from threadloom.plans.articles import build_articles
+
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "-1")
+        spark.conf.set(names[1], "false")
+        build_articles(t.linked, t.pages, accounts=t.linked.select("user_name").distinct()).explain("formatted")
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    plan = capsys.readouterr().out
+    nodes = [part for part in plan.split("\n\n") if part.lstrip().startswith("(") and ") Exchange" in part.split("\n")[0] + part[:40]]
+    assert sum("html#" in part for part in nodes) == 1
+
+
+def test_posts_read_the_buckets_of_their_links(spark, t, tmp_path):
+    from threadloom.plans.articles import build_articles, page_store, pages_near, stored_pages
+
+    store = page_store(spark, str(tmp_path / "pages"), buckets=64)
+    store.create(stored_pages(t.pages))
+    few = t.linked.where("id in (3, 5)")
+    near = pages_near(store, few)
+    assert "PartitionFilters: [bucket" in near._jdf.queryExecution().executedPlan().toString()
+    assert 2 <= near.count() < t.pages.count() / 4
+    accounts = t.linked.select("user_name").distinct()
+    columns = ["tweet_id", "title", "url", "body"]
+    got, whole = (build_articles(few, p, accounts=accounts).select(*columns).collect() for p in (near, t.pages))
+    assert sorted(got) == sorted(whole) and len(got) == 2
+    assert pages_near(store, few.limit(0)).count() == 0

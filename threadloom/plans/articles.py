@@ -53,18 +53,21 @@ def with_pages(posts: DataFrame, pages: DataFrame, rules: dict[str, str] | None
     rule = F.lit(None).cast("string") if rules is None else rule_for("user.screen_name", rules)
     posts = posts.withColumn("link", X.first_link("entities.urls")).withColumn("_rule", F.coalesce(rule, F.lit("")))
     link = X.link_key("link")
-    # The pages are dealt once, by their key, for the first address, the rules, the reading and the posts.
     wanted = posts.where(F.col("link").isNotNull()).select(link.alias("_page_key"), "_rule").distinct()
     keyed = P.only_keys(pages.select("url", "html").withColumn("_page_key", X.link_key("url")), wanted, "_page_key")
     keyed = first_wins(keyed, ["_page_key"], [F.col("url"), F.xxhash64("html")])
-    read = keyed.join(wanted, "_page_key").withColumnsRenamed({"url": "page_url", "_rule": "_page_rule"})
-    if rules is not None:
-        read = extract_pages(read, F.nullif(F.col("_page_rule"), F.lit("")))
     key = F.coalesce(link, F.concat(F.lit("no link "), F.col("id").cast("string")))
-    # Written as two comparisons, the rule is no join key: with one, the pages would be dealt out again by key and rule.
-    ruled = (F.col("_rule") >= F.col("_page_rule")) & (F.col("_rule") <= F.col("_page_rule"))
-    same = (key == F.col("_page_key")) & ruled
-    return posts.join(read, same, "left").drop("_page_key", "_page_rule", "_rule")
+    found = posts.withColumn("_key", key).join(keyed.withColumnRenamed("url", "page_url"), F.col("_key") == F.col("_page_key"), "left")
+    found = found.drop("_page_key")
+    if rules is not None:
+        # Pages are dealt out once, by their key: the posts meet them there, and what was read of them, which Python
+        # hands back without a known order of keys, is dealt again without the page.
+        read = extract_pages(keyed.join(wanted, "_page_key"), F.nullif(F.col("_rule"), F.lit("")))
+        read = read.select("_page_key", F.col("_rule").alias("_page_rule"), "title", "body")
+        # Written as two comparisons, the rule is no join key: with one, the pages would be dealt again by key and rule.
+        ruled = (F.col("_rule") >= F.col("_page_rule")) & (F.col("_rule") <= F.col("_page_rule"))
+        found = found.join(read, (F.col("_key") == F.col("_page_key")) & ruled, "left").drop("_page_key", "_page_rule")
+    return found.drop("_key", "_rule")
 
 
 def build_articles(
