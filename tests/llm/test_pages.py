@@ -106,6 +106,17 @@ def test_template_text_inside_the_article_is_left_out():
     assert texts(pages) == [f"Title {i}\nOwn text {i}" for i in range(5)] + ["Plain text beside it"]
 
 
+def test_text_between_own_blocks_belongs_to_the_article():
+    pages = [f"<article><h1>Title {i}</h1><h2>Summary</h2><p>Own text {i}</p><h2>Details</h2><p>More of {i}</p></article>" for i in range(4)]
+    assert texts(pages) == [f"Title {i}\nSummary\nOwn text {i}\nDetails\nMore of {i}" for i in range(4)]
+
+
+def test_an_article_with_several_addresses_is_kept():
+    article = "<article><h1>The title</h1><p>The whole text of it, some words long.</p></article>"
+    pages = [f"<div>visit {i}</div>{article}" for i in range(4)]
+    assert texts(pages) == ["The title\nThe whole text of it, some words long."] * 4
+
+
 def test_names_of_wrappers_do_not_lose_the_article():
     article = "<article><p>Own text</p><div class=sidebar>Side</div></article>"
     for page in (

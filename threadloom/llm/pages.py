@@ -194,6 +194,9 @@ def key_of(value: str) -> int:
     return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
+OWN = 0.25
+
+
 def slot_key(slot: int, text: int) -> int:
     """A 64-bit key of a text in a slot."""
     mixed = (slot * 0x9E3779B97F4A7C15 ^ text) & 0xFFFFFFFFFFFFFFFF
@@ -232,10 +235,22 @@ def is_fixed(text_pages, slot_pages):
     return (text_pages >= LEAST) & (text_pages >= SHARE * slot_pages)
 
 
-def chosen(main, plain, fixed) -> list[int]:
-    """The places of the blocks that are a page's text: no fixed ones; those of the main element, if it has any, else the plain ones."""
-    found = [i for i, m in enumerate(main) if m and not fixed[i]]
-    return found or [i for i, p in enumerate(plain) if p and not fixed[i]]
+def chosen(main, plain, fixed, sizes) -> list[int]:
+    """The places of the blocks that are a page's text.
+
+    Of the blocks of a main element, template text (``fixed``) is left out at its beginning and end. What stands
+    between a page's own blocks, such as a heading that all articles have, is part of the article. If less than
+    ``OWN`` of the element's characters is left, the page is one of several addresses of an article: all its blocks
+    count, unless the plain blocks outside, without fixed ones, are longer. So do these without a main element.
+    """
+    inside = [i for i, m in enumerate(main) if m]
+    outside = [i for i, p in enumerate(plain) if p and not main[i] and not fixed[i]]
+    own = [n for n, i in enumerate(inside) if not fixed[i]]
+    kept = inside[own[0] : own[-1] + 1] if own else []
+    whole = sum(sizes[i] for i in inside)
+    if kept and sum(sizes[i] for i in kept) >= OWN * whole:
+        return kept
+    return inside if whole >= sum(sizes[i] for i in outside) else outside
 
 
 def is_plain(block: Block) -> bool:
@@ -286,7 +301,7 @@ def extract_group(htmls: list[str]) -> tuple[list[str], str]:
     for blocks in (pages[h].blocks for h in htmls):
         slots = [slot_of(b.role, template) for b in blocks]
         fixed = [is_fixed(spread[s, b.text], spread[s, None]) for s, b in zip(slots, blocks, strict=True)]
-        texts.append("\n".join(blocks[i].text for i in chosen([b.main for b in blocks], [is_plain(b) for b in blocks], fixed)))
+        texts.append("\n".join(blocks[i].text for i in chosen([b.main for b in blocks], [is_plain(b) for b in blocks], fixed, [len(b.text) for b in blocks])))
     return texts, hashlib.sha1("\n".join(sorted(template)).encode()).hexdigest()
 
 
@@ -383,10 +398,11 @@ def host_tables(parsed: DataFrame) -> DataFrame:
     spread = materialise(spread, "slot-texts")
     slots = spread.where("whole").select("host", "slot", F.col("n").alias("slot_pages"))
     fixed = spread.where("not whole").join(slots, ["host", "slot"]).where(is_fixed(F.col("n"), F.col("slot_pages")))
+    listed = ordered.select("host").unionByName(fixed.select("host"))
     fixed = fixed.groupBy("host").agg(F.collect_list("key").alias("fixed"))
     tables = roles.join(fixed, "host", "left").withColumn("fixed", F.coalesce("fixed", F.array().cast("array<long>")))
     tables = tables.withColumn("template", F.sha1(F.array_join(F.col("ordered").cast("array<string>"), ",")))
-    return _sent(materialise(tables, "host-tables"), ordered)
+    return _sent(materialise(tables, "host-tables"), listed)
 
 
 def _sent(by_host: DataFrame, rows: DataFrame) -> DataFrame:
@@ -400,9 +416,9 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     Markup is read once, ``group_pages`` pages at a time (this bounds memory and changes no result). Occurrence
     vectors, order and repeated texts are counted over all pages of a host, however many (``host_tables``); the
     markup itself isn't shuffled. A text on at least ``LEAST`` pages and a ``SHARE`` of the host's pages that
-    have its slot belongs to the template, inside article and main elements too. Every page's text is extracted
-    whole: the other texts in the slots of its article or main element; if there are none, those of all slots that
-    are neither links nor named as something else.
+    have its slot belongs to the template, at the beginning and end of article and main elements too. Every page's
+    text is extracted whole: the texts in the slots of its article or main element (:func:`chosen`); if it has
+    none, the others in all slots that are neither links nor named as something else.
 
     Null html: empty text. Null url, or none with a host: one nameless host. Repeated rows each give a row.
     An empty table gives no rows. Other columns are not read, whatever their names.
@@ -421,16 +437,17 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                 rows = zip(part["page_id"], part["url"], part["host"], part["digest"], part["html"], strict=True)
                 yield pd.DataFrame([(*r[:4], *_parsed(r[4])) for r in rows], columns=names)
 
-    def choose(roles, parents, ordered, fixed, block_role, main, plain, keys):
+    def choose(roles, parents, ordered, fixed, block_role, main, plain, keys, sizes):
         out = []
-        for r, p, o, f, b, m, q, k in zip(roles, parents, ordered, fixed, block_role, main, plain, keys, strict=True):
+        for r, p, o, f, b, m, q, k, n in zip(roles, parents, ordered, fixed, block_role, main, plain, keys, sizes, strict=True):
             f = set(f)
-            out.append(chosen(m, q, [key in f for _, key in _block_keys(r, p, o, b, k)]))
+            out.append(chosen(m, q, [key in f for _, key in _block_keys(r, p, o, b, k)], n))
         return pd.Series(out)
 
     parsed = materialise(source.mapInPandas(parse, PARSED), "parsed-pages")
     found = parsed.join(host_tables(parsed), "host", "left").withColumn("ordered", F.array_intersect("roles", "ordered"))
-    kept = F.pandas_udf(choose, "array<int>")("roles", "parents", "ordered", "fixed", "block_role", "block_main", "block_plain", "block_key")
+    sizes = F.transform("block_text", lambda t: F.char_length(t))
+    kept = F.pandas_udf(choose, "array<int>")("roles", "parents", "ordered", "fixed", "block_role", "block_main", "block_plain", "block_key", sizes)
     found = found.select("page_id", "url", "block_text", "template", kept.alias("kept"))
     text = F.array_join(F.transform("kept", lambda i: F.get("block_text", i)), "\n")
     return found.select(F.col("page_id").cast(kind).alias("page_id"), "url", text.alias("text"), "template")
