@@ -180,7 +180,7 @@ def upstream_stream(t):
     folder = run_dir(t.spark, "upstream")
     t.responses.repartitionByRange(3, "id").write.parquet(f"{folder}/responses")
     landed = t.spark.readStream.schema(model.RESPONSE).option("maxFilesPerTrigger", 1).parquet(f"{folder}/responses")
-    _drain(ingest.upstream_stream(landed, t.caught, t.errors, folder, f"{folder}/log", period=None))
+    _drain(ingest.upstream_stream(landed, t.caught, t.errors, folder, f"{folder}/log", period=None, buckets=8))
     return t.spark.read.parquet(f"{folder}/found").select("id", "look_for_upstream")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,6 +64,55 @@ def close_upward(posts: DataFrame, errors: DataFrame, marked: DataFrame | None,
     return Round(outcomes, found, failed, materialise(G.resolved_replies(waiting, outcomes), "marked"))
 
 
+@dataclass
+class Kept:
+    """What earlier batches have left, looked up by key: each function is given the ids it is asked about."""
+
+    known: Callable[[DataFrame], DataFrame]  # ids of posts in the store
+    failed: Callable[[DataFrame], DataFrame]  # tweet_id of recorded errors
+    settled: Callable[[DataFrame], DataFrame]  # ids found or failed in earlier batches
+    answers: Callable[[DataFrame], DataFrame]  # answers nobody has asked for so far
+    waiting: Callable[[DataFrame], DataFrame]  # id and parent of replies that wait for one of the ids
+
+
+def close_by_deltas(pending: DataFrame, answers: DataFrame, kept: Kept) -> tuple[Round, DataFrame]:
+    """What one batch adds, met with the rest by its own ids alone; and the replies that wait from now on.
+
+    ``pending`` are the replies (id, parent) that began to wait since the last batch, ``answers`` those that
+    landed since. New answers are joined with the replies kept waiting, new replies with the answers kept.
+    What is reached along the batch's own answers is worked out by doubling; every parent reached beyond them is
+    asked of the answers kept, until a round reaches none.
+    """
+    new_parents = P.without_keys(pending.select(F.col(G.PARENT).alias("id")).distinct(), kept.failed(pending.select(F.col(G.PARENT).alias("id"))), "id", "tweet_id")
+    landed = answers.select("id").distinct()
+    awaited = P.only_keys(landed, kept.waiting(landed), "id", G.PARENT)
+    active = materialise(new_parents.unionByName(awaited).distinct(), "active")
+    seen, n = active, active.count()
+    pool = materialise(answers.unionByName(P.only_keys(kept.answers(active), active, "id").select(*answers.columns)), "pool")
+    while True:
+        ids = materialise(pool.select("id").distinct(), "pool-ids")
+        asked = P.without_keys(P.without_keys(ids, kept.settled(ids), "id"), kept.failed(ids), "id", "tweet_id")
+        judged = materialise(G.epoch_outcomes(asked, pool, kept.known(ids)), "judged")
+        up = judged.where("outcome = 'found'").select("id", F.from_json("payload", model.POST)[G.PARENT].alias("up"))
+        reached = materialise(G.answers_upward(active, up.where("up <> 0")).select("id"), "reached")
+        now = reached.count()
+        if now == n:
+            break
+        frontier = materialise(P.without_keys(reached, seen, "id"), "frontier")
+        more = materialise(P.only_keys(kept.answers(frontier), frontier, "id").select(*pool.columns), "more-answers")
+        if more.isEmpty():
+            break
+        seen, n, pool = reached, now, pool.unionByName(more)
+    outcomes = materialise(P.only_keys(judged, reached, "id"), "outcomes")
+    found = payloads(outcomes.where("outcome = 'found'"))
+    found = found.withColumn("look_for_upstream", F.coalesce(F.col(G.PARENT) != 0, F.lit(False))).select(*[f.name for f in model.POST.fields])
+    failed = outcomes.where("outcome = 'error'").select("message", "api_code", F.col("id").alias("tweet_id"))
+    waits = materialise(pending.select("id", G.PARENT).unionByName(G.pending_replies(found).select("id", G.PARENT)), "waits")
+    before = kept.waiting(outcomes.select("id")).select("id", G.PARENT)
+    marked = materialise(G.resolved_replies(before.unionByName(waits), outcomes).distinct(), "marked")
+    return Round(outcomes, found, failed, marked), waits
+
+
 def resolve_upstream(
     posts: DataFrame, errors: DataFrame, responses: DataFrame
 ) -> tuple[DataFrame, DataFrame, list[dict[str, int]]]:

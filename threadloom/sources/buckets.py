@@ -73,6 +73,10 @@ class BucketStore:
         rows = self.bucketed(absent_rows(new, self.near(new).drop(BUCKET), self.key, order))
         rows.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(self.path)
 
+    def append(self, rows: DataFrame) -> None:
+        """Add rows as they are, keys that are there included."""
+        self.bucketed(rows).repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(self.path)
+
     def _replace(self, rows: DataFrame, name: str) -> None:
         """Put ``rows`` in place of all rows of their buckets. They are written to the work folder first: a loss while
         folders are exchanged leaves a whole copy there."""

@@ -19,7 +19,8 @@ from threadloom.functions import text as TX
 from threadloom.operators import filters as P
 from threadloom.operators.groups import first_wins
 from threadloom.plans.articles import build_articles, pages_near
-from threadloom.plans.upstream import close_upward
+from threadloom.operators.threads import pending_replies
+from threadloom.plans.upstream import Kept, close_by_deltas
 from threadloom.sources.buckets import BUCKETS, BucketStore
 from threadloom.sources.writers import narrowed, write_batch
 from threadloom.streaming.batches import Work, start, stored
@@ -153,28 +154,62 @@ def article_stream(
     return start(stream, work, checkpoint, period)
 
 
+WAITING = T.StructType([T.StructField(n, T.LongType()) for n in ("id", P.PARENT, "batch")])
+SETTLED = T.StructType([T.StructField(n, T.LongType()) for n in ("id", "batch")])
+
+
+def near_ids(table: Table | BucketStore) -> Callable[[DataFrame], DataFrame]:
+    """The rows of ``table`` that can have one of the ids asked for: the ids' buckets of a store, a plain table whole."""
+    return lambda ids: table.near(ids, "id") if isinstance(table, BucketStore) else current(table)
+
+
 def upstream_stream(
-    responses: DataFrame, posts: Table, errors: Table, folder: str, checkpoint: str, period: str | None = "300 seconds"
+    responses: DataFrame,
+    posts: Table | BucketStore,
+    errors: Table | BucketStore,
+    folder: str,
+    checkpoint: str,
+    period: str | None = "300 seconds",
+    arrivals: Callable[[int], DataFrame] | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Threads closed upward with every answer that has landed so far, batch by batch.
 
-    Answers are kept under ``folder``: one that came before anybody asked for it is used when its reply
-    turns up. Adds to the tables ``answers``, ``found``, ``errors`` and ``marked`` there.
+    A batch is met with what there is by its own ids: its answers with the replies kept waiting, new replies
+    with the answers kept. The first batch takes the pending replies of all ``posts``; later ones those of
+    ``arrivals(number)``, the posts that came since the batch before (none by default). Adds to the tables ``found``,
+    ``errors`` and ``marked`` under ``folder``, a folder for each batch; ``answers``, ``waiting`` and ``settled`` are kept there
+    in buckets of ids, with the number of the batch, so that a batch that runs again doesn't see its own rows.
     """
-    marks = T.StructType([T.StructField("id", T.LongType())])
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        write_batch(batch, f"{folder}/answers", number)
-        base = current(posts)
-        found = stored(spark, f"{folder}/found", base.schema, number)
-        failed = stored(spark, f"{folder}/errors", model.API_ERROR, number)
-        landed = stored(spark, f"{folder}/answers", batch.schema, number + 1)
-        unused = P.without_keys(P.without_keys(landed, found, "id"), failed, "id", "tweet_id")
-        step = close_upward(
-            base.unionByName(found), current(errors).unionByName(failed), stored(spark, f"{folder}/marked", marks, number), unused
+        answered = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+        answers = BucketStore(spark, f"{folder}/answers", answered, "id", buckets)
+        waiting = BucketStore(spark, f"{folder}/waiting", WAITING, P.PARENT, buckets)
+        settled = BucketStore(spark, f"{folder}/settled", SETTLED, "id", buckets)
+        earlier = F.col("batch") < number
+        if number == 0:
+            came = posts.read() if isinstance(posts, BucketStore) else current(posts)
+        else:
+            came = arrivals(number) if arrivals else spark.createDataFrame([], model.POST)
+        kept = Kept(
+            near_ids(posts),
+            near_ids(errors),
+            lambda ids: settled.near(ids, "id").where(earlier),
+            lambda ids: answers.near(ids, "id").where(earlier),
+            lambda ids: waiting.near(ids, "id").where(earlier),
         )
-        for name, rows in (("found", step.found), ("errors", step.errors), ("marked", step.marked)):
-            write_batch(rows, f"{folder}/{name}", number)
+        batch.persist()
+        try:
+            step, waits = close_by_deltas(pending_replies(came).select("id", P.PARENT), batch, kept)
+            for name, rows in (("found", step.found), ("errors", step.errors), ("marked", step.marked)):
+                write_batch(rows, f"{folder}/{name}", number)
+            mark = F.lit(number).cast("long")
+            done = step.outcomes.where("outcome <> 'refused'").select("id")
+            for store, rows in ((answers, batch), (waiting, waits), (settled, done)):
+                store.append(rows.withColumn("batch", mark))
+        finally:
+            batch.unpersist()
 
     return start(responses, work, checkpoint, period)
