@@ -97,6 +97,14 @@ def release_roundtrip(t):
     )
 
 
+@query("release_arrays", 'SELECT tweet_id, "user", title, body, created_at FROM news')
+def release_arrays(t):
+    """Read from files that hold one array each, printed over many lines."""
+    path = run_dir(t.spark, "arrays")
+    writers.write_arrays(t.news.select("tweet_id", "user", "title", "body", "created_at"), path, "tweet_id")
+    return readers.read_release(t.spark, path, array=True).select("tweet_id", "user", "title", "body", "created_at")
+
+
 @query(
     "dated_export",
     "SELECT tweet_id, strftime(created_at, '%d-%b-%Y (%H:%M:%S)') AS created_at, title FROM news",

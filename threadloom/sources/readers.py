@@ -14,6 +14,7 @@ from threadloom import model
 from threadloom.functions import scalars as X
 from threadloom.functions import text as TX
 from threadloom.operators import filters as P
+from threadloom.sources.arrays import array_records
 
 BROKEN = "_corrupt_record"
 
@@ -27,17 +28,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def read_json(spark: SparkSession, path: str, schema: T.StructType, array: bool) -> DataFrame:
     """JSON records; broken ones keep their text in ``_corrupt_record`` instead of vanishing.
 
-    ``array`` reads one pretty-printed array per file, which a single task has to parse: convert such
-    a file once with ``write_parquet``. Without it, one record per line, split over tasks.
+    ``array`` reads files of one array each, printed over lines or not, by a task per split (:func:`array_records`); of a file
+    that does not balance every piece is broken. Without it, one record per line, split over tasks.
     """
     with_broken = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
-    return (
-        spark.read.schema(with_broken)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BROKEN)
-        .option("multiLine", array)
-        .json(path)
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    if not array:
+        return spark.read.schema(with_broken).options(**options).json(path)
+    parsed = F.from_json("record", with_broken, options)
+    unsound = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields], F.col("record").alias(BROKEN))
+    return array_records(spark, path).select(F.when(F.col("sound"), parsed).otherwise(unsound).alias("r")).select("r.*")
 
 
 def _whole(key: str) -> Column:

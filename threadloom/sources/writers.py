@@ -84,6 +84,14 @@ def write_release(articles: DataFrame, path: str) -> None:
     release_rows(articles).write.mode("overwrite").json(path)
 
 
+def write_arrays(articles: DataFrame, path: str, key: str, records: int = 10_000) -> None:
+    """Files of one JSON array each, printed over lines, dates wrapped. Rows are dealt by hash of ``key``, about ``records`` to a file."""
+    files = articles.count() // records + 1
+    rows = articles.withColumn("created_at", X.wrap_date("created_at"))
+    dealt = rows.groupBy(F.pmod(F.xxhash64(key), F.lit(files)).alias("part")).agg(F.collect_list(F.struct(*rows.columns)).alias("all"))
+    dealt.select("part", F.to_json("all", {"pretty": "true"}).alias("value")).write.mode("overwrite").partitionBy("part").text(path)
+
+
 def dated_rows(articles: DataFrame, drop: Sequence[str] = ("_id",)) -> DataFrame:
     """Without the internal id, dates spelled out."""
     return articles.drop(*drop).withColumn("created_at", X.long_date("created_at"))
