@@ -9,7 +9,8 @@ from threadloom.catalog.registry import query, sql_fold, sql_tokens
 from threadloom.operators import filters as P
 from threadloom.plans.articles import page_store, stored_pages
 from threadloom.session import run_dir
-from threadloom.streaming import ingest, rates
+from threadloom.sources.adapters import EVENT
+from threadloom.streaming import ingest, rates, tracks
 
 RATES = """
     SELECT time_bucket(INTERVAL '600 seconds', created_at, TIMESTAMP '1970-01-01') AS period_start, query, count(*) AS n
@@ -206,3 +207,48 @@ def rate_report_tracks(t):
 @query("stall_tracks", f"SELECT query, period_start FROM ({GRID}) ANTI JOIN ({RATES}) USING (query, period_start)")
 def stall_tracks(t):
     return rates.stalls(rates.flat(rates.rates(t.live)), tracks=TRACKS)
+
+
+CLOSED = "(SELECT max(created_at) - INTERVAL 10 MINUTE FROM live)"
+
+
+@query(
+    "tracks_live",
+    f"""
+    WITH r AS ({RATES}), grid AS (
+      SELECT q.query, p.period_start FROM (SELECT unnest({TRACKS!r}) AS query) q
+      CROSS JOIN (SELECT unnest(generate_series(min(period_start), max(period_start), INTERVAL 10 MINUTE)) AS period_start FROM r) p
+      WHERE p.period_start + INTERVAL 10 MINUTE <= {CLOSED})
+    SELECT period_start, period_start + INTERVAL 10 MINUTE AS period_end, query, coalesce(n, 0) AS n,
+           CAST(sum(coalesce(n, 0)) OVER (PARTITION BY query ORDER BY period_start) AS BIGINT) AS total
+    FROM grid LEFT JOIN r USING (query, period_start)""",
+)
+def tracks_live(t):
+    """Totals and silent periods by state and timers, for the periods that the watermark has closed; one track never has a post."""
+    folder = run_dir(t.spark, "tracks")
+    _drain(tracks.start_tracked(tracks.tracked(t.live_stream(), TRACKS), f"{folder}/table", f"{folder}/log"))
+    return tracks.read_tracked(t.spark, f"{folder}/table")
+
+
+@query(
+    "trigger_totals",
+    f"""
+    SELECT query, count(e.id) AS n FROM (SELECT unnest({TRACKS!r}) AS query) q LEFT JOIN live e USING (query) GROUP BY 1
+    UNION ALL SELECT NULL, count(*) FROM live""",
+)
+def trigger_totals(t):
+    """Posts per track, counted while a stream writes them out, over several triggers."""
+    folder = run_dir(t.spark, "observed")
+    t.table("events").repartition(3).write.parquet(f"{folder}/in")
+    events = t.spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    totals = tracks.TriggerTotals(TRACKS)
+    t.spark.streams.addListener(totals)
+    try:
+        stream = tracks.observed(t.live_posts(events), TRACKS).writeStream.format("parquet").option("path", f"{folder}/out")
+        written = stream.option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start()
+        _drain(written)
+        totals.wait(written)
+    finally:
+        t.spark.streams.removeListener(totals)
+    counted = t.spark.createDataFrame(totals.rows(), "trigger long, query string, n long, total long")
+    return counted.groupBy("query").agg(F.sum("n").alias("n"))

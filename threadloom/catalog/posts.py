@@ -14,6 +14,7 @@ from threadloom.operators.aggregates import reply_counts
 from threadloom.operators.groups import first_wins
 from threadloom.plans import audit, upstream
 from threadloom.plans.articles import with_comments
+from threadloom.plans.kept_roots import RootTable
 from threadloom.session import run_dir
 from threadloom.sources import writers
 from threadloom.sources.buckets import BucketStore
@@ -210,15 +211,15 @@ def upstream_closed(t):
     return posts.select("id", "look_for_upstream")
 
 
-@query(
-    "thread_roots",
-    """
+ROOTS_SQL = """
     WITH RECURSIVE chain AS (
       SELECT id, id AS root_id, CAST(0 AS BIGINT) AS depth FROM threads WHERE parent IS NULL
       UNION ALL
       SELECT c.id, p.root_id, p.depth + 1 FROM threads c JOIN chain p ON c.parent = p.id)
-    SELECT id, root_id, depth FROM chain""",
-)
+    SELECT id, root_id, depth FROM chain"""
+
+
+@query("thread_roots", ROOTS_SQL)
 def thread_roots(t):
     return G.thread_roots(t.threads)
 
@@ -238,6 +239,16 @@ def orphan_roots(t):
     return G.thread_roots(t.caught)
 
 
+@query("roots_kept", ROOTS_SQL)
+def roots_kept(t):
+    """Roots added batch by batch, the ends of the threads first."""
+    table = RootTable(t.spark, run_dir(t.spark, "kept-roots"), buckets=8)
+    turn = (F.col("id") - 100) % 100
+    for number, part in enumerate([turn >= 2, turn < 2]):
+        table.add(t.threads.where(part), number)
+    return table.read()
+
+
 @query("direct_replies", "SELECT id, parent FROM threads WHERE parent IN (SELECT id FROM caught)")
 def direct_replies(t):
     return G.direct_replies(t.threads, t.caught).select("id", F.col(P.PARENT).alias("parent"))
