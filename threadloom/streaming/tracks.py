@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import threading
 from collections.abc import Iterator, Sequence
 
@@ -43,15 +44,25 @@ class TrackClock(StatefulProcessor):
         self.handle = handle
         self.kept = handle.getValueState("kept", "next long, total long")
 
-    def _rows(self, track, periods) -> pd.DataFrame:
-        starts = pd.to_datetime(pd.Series([p[0] for p in periods], dtype="int64"), unit="ms")
-        ends = starts + pd.Timedelta(milliseconds=self.every)
-        return pd.DataFrame({"query": track, "period_start": starts, "period_end": ends, "n": [p[1] for p in periods], "total": [p[2] for p in periods]})
+    def _frames(self, track, periods: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        """(start, n, total) as frames of at most ``ROWS`` rows."""
+        while part := list(itertools.islice(periods, self.ROWS)):
+            start, n, total = zip(*part)
+            starts = pd.to_datetime(pd.Series(start, dtype="int64"), unit="ms")
+            ends = starts + pd.Timedelta(milliseconds=self.every)
+            yield pd.DataFrame({"query": track, "period_start": starts, "period_end": ends, "n": n, "total": total})
 
-    def _silent(self, track, start: int, until: int, total: int) -> Iterator[pd.DataFrame]:
-        """Periods from ``start`` to before ``until``, in frames of bounded length."""
-        for at in range(start, until, self.every * self.ROWS):
-            yield self._rows(track, [(p, 0, total) for p in range(at, min(until, at + self.every * self.ROWS), self.every)])
+    def _silent(self, start: int, until: int, total: int) -> Iterator[tuple]:
+        return ((at, 0, total) for at in range(start, until, self.every))
+
+    def _periods(self, counts: dict[int, int], next_: int | None, total: int) -> Iterator[tuple]:
+        """Every period from the next one to the last that came."""
+        for start in sorted(counts):
+            if next_ is not None:
+                yield from self._silent(next_, start, total)
+            total += counts[start]
+            next_ = start + self.every
+            yield start, counts[start], total
 
     def _keep(self, old: int | None, next_: int, total: int) -> None:
         if old is not None:
@@ -65,24 +76,17 @@ class TrackClock(StatefulProcessor):
             for start, n in zip(frame["start_ms"], frame["n"]):
                 counts[int(start)] = counts.get(int(start), 0) + int(n)
         old, total = self.kept.get() if self.kept.exists() else (None, 0)
-        next_, out = old, []
-        for start in sorted(counts):
-            if next_ is not None and start < next_:
-                # Given out by the timer as silent: only a beat can come after that.
-                continue
-            if next_ is not None and start > next_:
-                yield from self._silent(key[0], next_, start, total)
-            total += counts[start]
-            next_ = start + self.every
-            yield self._rows(key[0], [(start, counts[start], total)])
-        if next_ is not None and next_ != old:
-            self._keep(old, next_, total)
+        # A period the timer has given out as silent had no post: only its beat can come after that.
+        counts = {start: n for start, n in counts.items() if old is None or start >= old}
+        if counts:
+            yield from self._frames(key[0], self._periods(counts, old, total))
+            self._keep(old, max(counts) + self.every, total + sum(counts.values()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         next_, total = self.kept.get()
         until = next_ + (timerValues.getCurrentWatermarkInMs() - next_) // self.every * self.every
         if until > next_:
-            yield from self._silent(key[0], next_, until, total)
+            yield from self._frames(key[0], self._silent(next_, until, total))
             self.kept.update((until, total))
             self.handle.registerTimer(until + self.every)
 
