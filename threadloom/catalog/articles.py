@@ -13,6 +13,7 @@ from threadloom.operators import filters as P
 from threadloom.operators.groups import nest_in_parts
 from threadloom.plans import articles as build
 from threadloom.plans import release as R
+from threadloom.plans.kept_blocks import COMMENT_ORDER, kept_blocks
 from threadloom.plans.scoring import exploded_comments, numbered_comments
 from threadloom.session import run_dir
 from threadloom.sources import readers, writers
@@ -143,6 +144,18 @@ def nested_comments(t):
     return comment_texts(rows).select("tweet_id", "part", "n_comments", "comment_list")
 
 
+@query("nested_kept", NESTED_SQL)
+def nested_kept(t):
+    """The same out of three batches: two in the order of time, then late ones from all times."""
+    comments = t.comments.select("article_id", *COMMENT_ORDER)
+    table = kept_blocks(t.spark, run_dir(t.spark, "blocks"), comments.schema, BLOCK, buckets=8)
+    late = F.pmod(F.xxhash64("text"), F.lit(7)) == 0
+    recent = F.col("created_at") >= F.lit("1996-01-01").cast("timestamp_ntz")
+    for number, part in enumerate([~late & ~recent, ~late & recent, late]):
+        table.add(comments.where(part), number)
+    return comment_texts(table.nested(t.articles, "tweet_id")).select("tweet_id", "part", "n_comments", "comment_list")
+
+
 @query(
     "reply_lists",
     """
