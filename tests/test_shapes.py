@@ -10,7 +10,7 @@ from threadloom.sources.adapters import Tables
 
 PAGES = {"page_bodies", "page_default_bodies", "articles_built", "articles_with_page", "body_repair", "content_bodies", "failing_rules"}
 # Rows that come straight out of written tables: their own work is in the jobs before.
-NO_PLAN = {"article_stream", "upstream_stream", "ingest_stream", "ingest_tagged", "ingest_replies", "rate_stream", "dedup_stream", "stall_stream", "tracks_live", "trigger_totals"}
+NO_PLAN = {"article_stream", "upstream_stream", "ingest_stream", "ingest_tagged", "ingest_replies", "rate_stream", "dedup_stream", "stall_stream", "tracks_live", "trigger_totals", "ingest_own_work"}
 
 
 def plan_of(df):

@@ -3,8 +3,10 @@
 import datetime as dt
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from threadloom.operators import distributions as D
 from threadloom.sources.readers import stream_files
 from threadloom.streaming import rates, tracks
 
@@ -119,3 +121,19 @@ def test_a_trigger_that_runs_again_counts_once():
     Event.progress.batchId = 1
     totals.onQueryProgress(Event)
     assert totals.rows() == [(1, None, 5, 10), (1, "@a", 2, 4)]
+
+
+def test_a_wrong_time_is_told_or_left_out(spark):
+    posts = spark.createDataFrame([*DATA, (9, dt.datetime(9998, 1, 1), "@a")], POSTS)
+    counted = rates.flat(rates.rates(posts))
+    for work in (rates.stalls, rates.with_silence):
+        with pytest.raises(Exception, match="more than 1000000 steps"):
+            work(counted, tracks=["@a"]).collect()
+        assert work(counted, tracks=["@a"], within=(minute(0), minute(200))).count() < 20
+
+
+def test_a_wrong_date_is_told_or_left_out(spark):
+    rows = spark.createDataFrame([("a", dt.datetime(2020, 1, d)) for d in (1, 3, 9)] + [("a", dt.datetime(9998, 1, 1))], "user string, created_at timestamp_ntz")
+    with pytest.raises(Exception, match="more than 36525 steps"):
+        D.date_density(rows).collect()
+    assert D.date_density(rows, within=(dt.date(2000, 1, 1), dt.date(2030, 1, 1))).count() == 9

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +77,14 @@ def release_counts(t):
     return R.release_counts(worded(t), SPEC)
 
 
+@query("release_counts_of_file", f'SELECT "user", count(*) AS n FROM news WHERE {SPEC_WHERE} GROUP BY 1')
+def release_counts_of_file(t):
+    """The same with the spec out of a file."""
+    path = run_dir(t.spark, "spec")
+    t.spark.createDataFrame([(json.dumps(asdict(SPEC), indent=2),)], "value string").coalesce(1).write.text(path)
+    return R.release_counts(worded(t), readers.QuerySpec.read(t.spark, path))
+
+
 @query("release_whole", 'SELECT "user", count(*) AS n FROM news GROUP BY 1')
 def release_whole(t):
     return R.release_counts(worded(t), readers.QuerySpec.of({}))

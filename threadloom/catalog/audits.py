@@ -343,6 +343,41 @@ def quality_counts(t):
     return audit.quality_counts(t.articles.join(t.docs.select("tweet_id", "body", "title"), "tweet_id", "left"))
 
 
+@query(
+    "audit_release",
+    f"""
+    WITH new AS (SELECT a.*, d.body, d.title FROM ({NEW}) a LEFT JOIN docs d ON d.tweet_id = a.tweet_id)
+    SELECT 'articles' AS name, count(*) AS n FROM new
+    UNION ALL SELECT 'no_bodies', count(*) FILTER (body IS NULL) FROM new
+    UNION ALL SELECT 'with_body', count(*) FILTER (length(body) > 0) FROM new
+    UNION ALL SELECT 'lost', count(*) FROM ({OLD}) WHERE tweet_id NOT IN (SELECT tweet_id FROM new)""",
+)
+def audit_release(t):
+    """Two of the tables of a whole audit, as names and numbers."""
+    old, new = old_new(t)
+    new = new.join(t.docs.select("tweet_id", "body", "title"), "tweet_id", "left")
+    tables = audit.audit_release(new, t.comment_counts, old)
+    lost = tables["lost_ids"].agg(F.lit("lost").alias("name"), F.count(F.lit(1)).alias("n"))
+    numbers = F.expr("stack(3, 'articles', n_articles, 'no_bodies', no_bodies, 'with_body', with_body) AS (name, n)")
+    return tables["quality"].select(numbers).unionByName(lost)
+
+
+@query(
+    "audit_titles",
+    """
+    WITH d AS (SELECT lang AS "user", title, created_at FROM docs)
+    SELECT 'counts' AS name, "user", count(DISTINCT title) AS n FROM d GROUP BY 2
+    UNION ALL
+    SELECT 'repeats', "user", count(*) FROM (
+      SELECT "user", title FROM d GROUP BY 1, 2
+      HAVING count(*) >= 20 OR (count(*) >= 2 AND floor(epoch(max(created_at) - min(created_at)) / 86400) > 2)) GROUP BY 2""",
+)
+def audit_titles(t):
+    tables = audit.audit_titles(t.docs.drop("user").withColumnRenamed("lang", "user"), t.comment_counts)
+    counts = tables["counts"].select(F.lit("counts").alias("name"), "user", F.col("n_titles").alias("n"))
+    return counts.unionByName(tables["repeats"].groupBy("user").agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit("repeats")))
+
+
 @query(
     "field_presence",
     """

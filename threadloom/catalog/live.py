@@ -10,6 +10,7 @@ from threadloom.operators import filters as P
 from threadloom.plans.articles import page_store, stored_pages
 from threadloom.session import run_dir
 from threadloom.sources.adapters import EVENT
+from threadloom.sources.writers import write_batch
 from threadloom.streaming import ingest, rates, tracks
 
 RATES = """
@@ -97,6 +98,15 @@ def ingest_stream(t):
     return t.spark.read.parquet(f"{folder}/table").select("id", "created_at", "query")
 
 
+@query("ingest_own_work", "SELECT id, query FROM live")
+def ingest_own_work(t):
+    """Each batch goes to a folder of its own instead of the post table."""
+    folder = run_dir(t.spark, "own-work")
+    work = lambda batch, number: write_batch(batch.select("id", "query"), f"{folder}/table", number)
+    _drain(ingest.ingest_stream(t.live_stream(), "", f"{folder}/log", tracks=None, languages=None, work=work))
+    return t.spark.read.parquet(f"{folder}/table").select("id", "query")
+
+
 _TRACKED = rf"regexp_extract_all({sql_fold('text')}, '@?[\p{{L}}\p{{N}}_]+')"
 
 

@@ -13,7 +13,7 @@ from threadloom.operators import threads as G
 from threadloom.operators.aggregates import reply_counts
 from threadloom.operators.groups import first_wins
 from threadloom.plans import audit, upstream
-from threadloom.plans.articles import with_comments
+from threadloom.plans.articles import comments_of, with_comments
 from threadloom.plans.kept_roots import RootTable
 from threadloom.session import run_dir
 from threadloom.sources import writers
@@ -249,6 +249,18 @@ def roots_kept(t):
     return table.read()
 
 
+@query(
+    "scored_replies",
+    """
+    SELECT parent AS article_id, id AS tweet_id, CAST(length(text) AS DOUBLE) AS hateful_value
+    FROM threads WHERE parent IN (SELECT id FROM threads WHERE parent IS NULL)""",
+)
+def scored_replies(t):
+    """Replies to root posts, scored by a function of their text."""
+    roots = t.threads.where(F.col(P.PARENT).isNull()).select(F.col("id").alias("tweet_id"))
+    return comments_of(t.threads, roots, scorer=F.char_length).select("article_id", "tweet_id", "hateful_value")
+
+
 @query("direct_replies", "SELECT id, parent FROM threads WHERE parent IN (SELECT id FROM caught)")
 def direct_replies(t):
     return G.direct_replies(t.threads, t.caught).select("id", F.col(P.PARENT).alias("parent"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -41,14 +42,32 @@ def histogram(
     )
 
 
+GRID_LIMIT = 1_000_000
+
+
+def bounded_sequence(first: Column, last: Column, step: Column, steps: Column, limit: int = GRID_LIMIT) -> Column:
+    """``sequence``, but the query fails, and says why, where it would have more than ``limit`` entries: a wrong date, not a long time."""
+    told = F.concat(F.lit(f"more than {limit} steps from "), first.cast("string"), F.lit(" to "), last.cast("string"), F.lit("; state a range with within="))
+    return F.when(steps > limit, F.raise_error(told)).otherwise(F.sequence(first, last, step))
+
+
 def date_density(
-    articles: DataFrame, key: str = "user", bandwidth: float | None = None, step_days: int = 1, margin_days: int = 0
+    articles: DataFrame,
+    key: str = "user",
+    bandwidth: float | None = None,
+    step_days: int = 1,
+    margin_days: int = 0,
+    within: tuple[dt.date, dt.date] | None = None,
+    limit: int = 36_525,
 ) -> DataFrame:
     """Gaussian density of publication days per key on a grid of days.
 
     Rows are first counted per (key, day); each of these meets the grid days of its own key, so the
     work is days x grid per key whatever the number of articles. Bandwidth in days; by default Scott's rule.
+    Dates outside of ``within`` (both ends included) are left out. A grid of more than ``limit`` days for a key fails.
     """
+    if within is not None:
+        articles = articles.where(F.to_date("created_at").between(*within))
     day = F.unix_date(F.to_date("created_at"))
     days = articles.groupBy(key, day.alias("d")).agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n")
@@ -64,7 +83,8 @@ def date_density(
     )
     # A key with a single day has no spread: one day then serves as bandwidth.
     shape = shape.withColumn("h", F.when(F.col("h") > 0, F.col("h")).otherwise(F.lit(1.0)))
-    grid = F.sequence(F.col("d0") - margin_days, F.col("d1") + margin_days, F.lit(step_days))
+    first, last = F.col("d0") - margin_days, F.col("d1") + margin_days
+    grid = bounded_sequence(first, last, F.lit(step_days), (last - first) / step_days, limit)
     kernel = F.col("n") * F.exp(-0.5 * F.pow((F.col("g") - F.col("d")) / F.col("h"), F.lit(2)))
     return (
         days.join(shape, key)

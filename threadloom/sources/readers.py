@@ -104,6 +104,11 @@ class QuerySpec:
         with open(path, encoding="utf-8") as f:
             return cls.of(json.load(f))
 
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> QuerySpec:
+        """From a file on any storage that Spark reads."""
+        return cls.of(json.loads(spark.read.text(path, wholetext=True).first()[0]))
+
     @classmethod
     def of(cls, spec: dict) -> QuerySpec:
         return cls(spec.get("users"), spec.get("min_date"), spec.get("search_terms"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from threadloom.operators import filters as P
+from threadloom.operators.distributions import bounded_sequence
 from threadloom.session import materialise
 from threadloom.sources.writers import write_batch
 from threadloom.streaming.batches import latest, start
@@ -56,18 +59,34 @@ def _interval(every: str):
     return F.expr(f"INTERVAL '{every.split()[0]}' {every.split()[1].rstrip('s')}")
 
 
+def _slots(first: Column, last: Column, every: str) -> Column:
+    """The periods from ``first`` to ``last``; more than ``GRID_LIMIT`` are taken for a wrong time and fail."""
+    seconds = pd.Timedelta(every).total_seconds()
+    steps = (F.unix_seconds(last.cast("timestamp")) - F.unix_seconds(first.cast("timestamp"))) / seconds
+    return F.explode(bounded_sequence(first, last, _interval(every), steps))
+
+
+def in_range(counted: DataFrame, within: tuple[dt.datetime, dt.datetime] | None) -> DataFrame:
+    """The periods that start in a stated range, both ends included; all of them without one."""
+    if within is None:
+        return counted
+    return counted.where(F.col("period_start").between(*[F.lit(w).cast("timestamp_ntz") for w in within]))
+
+
 def grid(spark: SparkSession, tracks: Sequence[str] | DataFrame, first: Column, last: Column, every: str) -> DataFrame:
     """Every track in every period from ``first`` to ``last``."""
     tracks = tracks if isinstance(tracks, DataFrame) else spark.createDataFrame([(t,) for t in dict.fromkeys(tracks)], "query string")
-    return tracks.select("query").withColumn("period_start", F.explode(F.sequence(first, last, _interval(every))))
+    return tracks.select("query").withColumn("period_start", _slots(first, last, every))
 
 
-def with_silence(counted: DataFrame, tracks: Sequence[str] | None = None, every: str = REPORT_PERIOD) -> DataFrame:
+def with_silence(
+    counted: DataFrame, tracks: Sequence[str] | None = None, every: str = REPORT_PERIOD, within: tuple[dt.datetime, dt.datetime] | None = None
+) -> DataFrame:
     """A row for every track and period between the first and last one seen, 0 where there was no post.
 
-    Without ``tracks`` those that occur count. The counts are written first: ends and grid read them again.
+    Without ``tracks`` those that occur count. Periods outside of ``within`` are left out. The counts are written first: ends and grid read them again.
     """
-    counted = materialise(counted.select("query", "period_start", "n"), "rates")
+    counted = materialise(in_range(counted, within).select("query", "period_start", "n"), "rates")
     first, last = _ends(counted)
     slots = grid(counted.sparkSession, counted.select("query").distinct() if tracks is None else tracks, first, last, every)
     full = slots.join(counted, ["query", "period_start"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
@@ -79,13 +98,15 @@ def _ends(counted: DataFrame) -> tuple[Column, Column]:
     return ends.select("a").scalar(), ends.select("b").scalar()
 
 
-def stalls(counted: DataFrame, every: str = REPORT_PERIOD, tracks: Sequence[str] | None = None) -> DataFrame:
+def stalls(
+    counted: DataFrame, every: str = REPORT_PERIOD, tracks: Sequence[str] | None = None, within: tuple[dt.datetime, dt.datetime] | None = None
+) -> DataFrame:
     """Periods between the first and last one seen in which a track had no post at all.
 
-    Without ``tracks`` those that occur are watched. The counts are written first: ends, tracks and gaps all
+    Without ``tracks`` those that occur are watched. Periods outside of ``within`` are left out. The counts are written first: ends, tracks and gaps all
     read them, and the posts are scanned once.
     """
-    counted = materialise(counted.select("query", "period_start"), "rates")
+    counted = materialise(in_range(counted, within).select("query", "period_start"), "rates")
     first, last = _ends(counted)
     slots = grid(counted.sparkSession, counted.select("query").distinct() if tracks is None else tracks, first, last, every)
     return slots.join(counted, ["query", "period_start"], "left_anti")
@@ -127,7 +148,7 @@ def watch(
         # A track that was watched before goes on after the last closed period, a new one starts with the first.
         since = state.join(old, "query", "left").where(F.col("last").isNotNull())
         from_ = F.coalesce(F.col("_old") + _interval(every), F.col("first"))
-        slots = since.where(from_ <= F.col("last")).select("query", F.explode(F.sequence(from_, F.col("last"), _interval(every))).alias("period_start"))
+        slots = since.where(from_ <= F.col("last")).select("query", _slots(from_, F.col("last"), every).alias("period_start"))
         write_batch(slots.join(batch, ["query", "period_start"], "left_anti"), f"{folder}/stalls", number)
 
     return start(counted, work, checkpoint, period)
