@@ -1,5 +1,6 @@
 """Token pieces against the tokenizer itself, and places that must fit."""
 
+import json
 import random
 import zlib
 
@@ -21,6 +22,46 @@ def test_chunks_give_the_tokenizers_ids():
     assert got == [ids_of(t)[:-1] for t in texts]
 
 
+def test_any_text_gives_the_tokenizers_ids():
+    signs = "ab stSTredlmv''\"#1230<|>ÉéßñÿÀ×÷ÞçḰ \u0000\x1c\x7f¿«Ωд字\n\tİſKªº²ł\u0301"
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(1, 40))) for _ in range(8000)]
+    texts += ["x" * 5000, "'" * 100 + "s", "don't'LL'rex'VE''s", "é" * 32, "é" * 33, "É" * 31 + "ab", "<|STARTOFTEXT|>"]
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    texts += [t.removesuffix(P.WORD_END) for t in tokenizer.get_vocab()]
+    got = [x.tolist() for x in P.ChunkEncoder(tokenizer_path()).encode([t.encode() for t in texts])]
+    assert got == [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def test_every_token_comes_out_of_its_own_bytes():
+    """So merging by the rank of the result is merging by the list: a token has one pair, and its bytes come to that pair."""
+    with open(tokenizer_path()) as file:
+        model = json.load(file)["model"]
+    merges = {tuple(m.split(" ") if isinstance(m, str) else m): n for n, m in enumerate(model["merges"])}
+    assert len({a + b for a, b in merges}) == len(merges)
+    for token in model["vocab"]:
+        body = token.removesuffix(P.WORD_END) or token
+        parts = [*body[:-1], body[-1] + token[len(body) :]]
+        while len(parts) > 1:
+            best = min(range(len(parts) - 1), key=lambda i: merges.get((parts[i], parts[i + 1]), len(merges)))
+            assert (parts[best], parts[best + 1]) in merges, token
+            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+        assert parts == [token]
+
+
+def test_tokenizers_without_rising_ids_take_the_other_way(tmp_path):
+    with open(tokenizer_path()) as file:
+        spec = json.load(file)
+    low, high = spec["model"]["vocab"], sorted(spec["model"]["vocab"].values())
+    spec["model"]["vocab"] = {t: high[-1] - i for t, i in low.items()}
+    path = str(tmp_path / "falling.json")
+    with open(path, "w") as file:
+        json.dump(spec, file)
+    encoder, text = P.ChunkEncoder(path), "It's Été 2024, no more! " + "long" * 40
+    assert encoder.kept["model"].ranked is None
+    assert next(encoder.encode([text.encode()])).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def check(packed, capacity):
     rows = [r.asDict() for r in packed.collect()]
     places = {}

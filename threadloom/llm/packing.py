@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import json
 import re
 import sys
 import types
@@ -24,6 +26,7 @@ CAPACITY = 2048
 SLACK = 8
 TASK_ITEMS = 200_000
 CACHED_CHUNKS = 600_000
+RUN_BYTES = 2_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -37,23 +40,162 @@ NOT_PLAIN = re.compile(f"[^{re.escape(''.join(_PLAIN))}]|<\\|")
 WORD_END = "</w>"
 
 
+# What is cut into pieces by whole arrays: printable ASCII and the letters U+00C0 to U+00FF, lower-cased; their UTF-8
+# bytes are the lead byte 0xC3 and one more. Kinds: 0 white space, 1 letters, 2 digits, 3 other signs, 4 all else.
+_LEAD = 0xC3
+_KIND = np.full(256, 4, np.uint8)
+_KIND[[ord(c) for c in map(chr, range(33, 127))]] = 3
+_KIND[[ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = 1
+_KIND[[ord(c) for c in "0123456789"]] = 2
+_KIND[_SPACE] = 0
+_ASCII_LOWER = np.frombuffer(K.LOWER, np.uint8)
+PIECE_BYTES = 64
+
+
+def cut(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, stops, whole) of the pieces of ``data``, which begins and ends with a space.
+
+    A chunk between white space of plain characters only is lower-cased and cut as the tokenizer does: contractions,
+    runs of letters, single digits, runs of other signs. Any other chunk is one piece, as it stands, and marked whole.
+    """
+    inside = ~_SPACE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    first, last = edges[::2], edges[1::2]
+    kind, low = _KIND[data], _ASCII_LOWER[data]
+    lead = data == _LEAD
+    if lead.any():
+        after = np.zeros(len(data), bool)
+        after[1:] = lead[:-1]
+        letter = after & (data != 0x97) & (data != 0xB7)
+        kind[lead | letter] = 1
+        low = low + (letter & (data < 0x9F)).astype(np.uint8) * np.uint8(32)
+    odd = kind == 4
+    odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    if odd.any():
+        odds = np.concatenate([[0], np.cumsum(odd)])
+        bad = odds[last] > odds[first]
+        turns = np.zeros(len(data) + 1, np.int8)
+        turns[first[bad]] = 1
+        turns[last[bad]] = -1
+        whole = np.cumsum(turns[:-1], dtype=np.int8) > 0
+        kind[whole] = 4
+        low = np.where(whole, data, low)
+    begins = inside.copy()
+    begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    marks = np.flatnonzero((low[1:-1] == ord("'")) & (kind[1:-1] == 3) & (kind[:-2] != 3)) + 1
+    if len(marks):
+        one, two = low[marks + 1], low[np.minimum(marks + 2, len(low) - 1)]
+        short = np.isin(one, list(b"stmd"))
+        long = (np.isin(one, list(b"rv")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+        begins[marks[short | long] + 1] = False
+        rests = np.concatenate([marks[short] + 2, marks[long] + 3])
+        begins[rests] = inside[rests]
+    starts = np.flatnonzero(begins)
+    stops = np.flatnonzero(inside[:-1] & (begins[1:] | ~inside[1:])) + 1
+    return low, starts, stops, kind[starts] == 4
+
+
+class PieceModel:
+    """Token ids of single pieces: those of up to ``PIECE_BYTES`` bytes by a table of ranks, others by the tokenizer.
+
+    A piece's last byte carries the end of a word, so in the table it is another byte, one that no plain piece has.
+    Merging by the rank of what comes out is the same as by the list of merges, since ids rise along that list and
+    every token comes out of its own bytes; a tokenizer whose ids don't rise takes the other way.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.ends, self.ranked = self._ranks(path)
+
+    def _ranks(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        ids = [model["vocab"][m] for m in merged]
+        if any(a >= b for a, b in zip(ids, ids[1:])):
+            return None, None
+        # A byte-level token is written with a printable character for each byte.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        byte_of = {chr(b): b for b in printable} | {chr(256 + n): b for n, b in enumerate(others)}
+        used = [b for b in range(33, 127) if not 65 <= b <= 90] + [_LEAD, *range(0x9F, 0xC0)]
+        free = [b for b in range(256) if b not in used]
+        end_of = dict(zip([b for b in used if b != _LEAD], free))
+        ranks = {}
+        for token, i in model["vocab"].items():
+            closed = token.endswith(WORD_END)
+            content = [byte_of[c] for c in token.removesuffix(WORD_END)]
+            if content and set(content) <= set(used) and (not closed or content[-1] in end_of):
+                ranks[bytes([*content[:-1], end_of[content[-1]] if closed else content[-1]])] = i
+        ends = [bytes([end_of[b]]) if b in end_of else b"" for b in range(256)]
+        return ends, tiktoken.Encoding("pieces", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe
+
+    def pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each of the distinct plain ``pieces``."""
+        if self.ranked is None:
+            return self._by_model(pieces)
+        encode, ends = self.ranked.encode_single_piece, self.ends
+        out = [encode(p[:-1] + ends[p[-1]]) if len(p) <= PIECE_BYTES else None for p in pieces]
+        far = [i for i, ids in enumerate(out) if ids is None]
+        if far:
+            for i, ids in zip(far, self._by_model([pieces[i] for i in far]), strict=True):
+                out[i] = ids
+        return out
+
+    def _by_model(self, pieces: list[bytes]) -> list[list[int]]:
+        if not pieces:
+            return []
+        ids = self.model.encode_batch_fast([b" ".join(pieces).decode()], add_special_tokens=False)[0].ids
+        ends = (np.flatnonzero(self.closes[np.array(ids)]) + 1).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def chunks(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of each of ``chunks``: plain Latin ones by their distinct pieces, all others by the whole tokenizer."""
+        parts, whole, pieces = [], [], set()
+        for i, chunk in enumerate(chunks):
+            if NOT_PLAIN.search(chunk):
+                whole.append(i)
+                parts.append([])
+            else:
+                parts.append([p.encode() for p in PIECE.findall(chunk.lower())])
+                pieces.update(parts[-1])
+        new = list(pieces)
+        known = dict(zip(new, self._by_model(new), strict=True))
+        out = [[x for p in ps for x in known[p]] for ps in parts]
+        if whole:
+            for i, found in zip(whole, self.tokenizer.encode_batch_fast([chunks[i] for i in whole], add_special_tokens=False), strict=True):
+                out[i] = found.ids
+        return out
+
+
 class Chunks:
-    """The ids of the chunks met so far, one stretch each, found by the chunk's 64-bit hash."""
+    """The ids of the pieces met so far, one stretch each, found by the piece's 64-bit hash."""
 
     def __init__(self):
         self.slots: dict[int, int] = {}
         self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def add(self, hashes: list[int], found: list[bytes]) -> None:
-        for h in hashes:
-            self.slots[h] = len(self.slots)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), "<u4")])
+    def add(self, hashes: list[int], found: list[list[int]]) -> None:
+        self.slots.update(zip(hashes, range(len(self.slots), len(self.slots) + len(hashes)), strict=True))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        self.ids = np.concatenate([self.ids, ids])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
 
 
-def worker_chunks(path: str) -> dict[str, Chunks]:
-    """What earlier tasks of this Python worker have met with this tokenizer, to be changed in place."""
+def worker_chunks(path: str) -> dict:
+    """What earlier tasks of this Python worker have made of this tokenizer and met with it, to be changed in place."""
     kept = sys.modules.setdefault("threadloom_worker_chunks", types.ModuleType("threadloom_worker_chunks"))
     return kept.__dict__.setdefault(path, {})
 
@@ -61,79 +203,44 @@ def worker_chunks(path: str) -> dict[str, Chunks]:
 class ChunkEncoder:
     """Token ids of texts.
 
-    The tokenizer drops white space and never joins what it parts, so a text's ids are those of its chunks
-    between ASCII white space, one after the other. A chunk is encoded once and kept in a table of bounded
-    size. New chunks of plain Latin characters are cut into the tokenizer's pieces here, and its model encodes
-    the distinct pieces of many in one call; all other chunks go through the whole tokenizer.
+    The tokenizer drops white space and never joins what it parts, so a text's ids are those of its pieces, one
+    after the other. Plain texts are cut into the tokenizer's own pieces, others into chunks between ASCII white
+    space (``cut``). A piece is encoded once and kept in a table of bounded size.
     """
 
     def __init__(self, path: str, cached: int = CACHED_CHUNKS):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tokenizer, self.cached = Tokenizer.from_file(path), cached
-        self.model = Tokenizer(self.tokenizer.model)
-        self.model.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.kept = worker_chunks(path)
+        self.cached, self.kept = cached, worker_chunks(path)
+        if "model" not in self.kept:
+            self.kept["model"] = PieceModel(path)
 
     def encode(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
-        for first, end in K.runs_of(texts):
+        for first, end in K.runs_of(texts, RUN_BYTES):
             yield from self._run([t or b"" for t in texts[first:end]])
 
     def _run(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        blob = b" %b " % b" ".join(texts)
-        data = np.frombuffer(blob, np.uint8)
-        inside = ~_SPACE[data]
-        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-        starts, stops = edges[::2], edges[1::2]
+        low, starts, stops, whole = cut(np.frombuffer(b" %b " % b" ".join(texts), np.uint8))
         if not len(starts):
             yield from (np.zeros(0, np.uint32) for _ in texts)
             return
         text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
         last = np.searchsorted(starts, text_ends, "right")
-        hashes, at, which = np.unique(K.range_hashes(data, starts, stops), return_index=True, return_inverse=True)
+        hashes, at, which = np.unique(K.range_hashes(low, starts, stops), return_index=True, return_inverse=True)
         chunks = self.kept.setdefault("chunks", Chunks())
         if len(chunks.slots) + len(hashes) > max(self.cached, len(hashes)):
             chunks = self.kept["chunks"] = Chunks()
-        names = hashes.tolist()
-        new = [i for i, h in enumerate(names) if h not in chunks.slots]
-        if new:
-            strings = [blob[a:b].decode() for a, b in zip(starts[at[new]].tolist(), stops[at[new]].tolist(), strict=True)]
-            chunks.add([names[i] for i in new], self._learn(strings))
-        slots = np.fromiter(map(chunks.slots.__getitem__, names), np.int64, len(names))
+        slots = np.fromiter(map(chunks.slots.get, hashes.tolist(), itertools.repeat(-1)), np.int64, len(hashes))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            blob, model = low.tobytes(), self.kept["model"]
+            for some, learn in ((new[~whole[at[new]]], model.pieces), (new[whole[at[new]]], lambda found: model.chunks([c.decode() for c in found]))):
+                found = [blob[a:b] for a, b in zip(starts[at[some]].tolist(), stops[at[some]].tolist(), strict=True)]
+                slots[some] = np.arange(len(chunks.slots), len(chunks.slots) + len(some))
+                chunks.add(hashes[some].tolist(), learn(found))
         ids, ends = K.taken(chunks.ids, chunks.ends, slots[which])
         ends = ends[last]
         for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
             yield ids[a:b]
 
-    def _learn(self, chunks: list[str]) -> list[bytes]:
-        low = [c.lower() for c in chunks]
-        parts: list = [w if c.isascii() and w.isalpha() else None for c, w in zip(chunks, low, strict=True)]
-        pieces, whole = set(parts), []
-        for i, part in enumerate(parts):
-            if part is None:
-                if NOT_PLAIN.search(chunks[i]):
-                    whole.append(i)
-                else:
-                    parts[i] = PIECE.findall(low[i])
-                    pieces.update(parts[i])
-        pieces.discard(None)
-        known: dict = {}
-        if pieces:
-            new = list(pieces)
-            ids = np.array(self.model.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-            ends, data = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist(), ids.tobytes()
-            known = dict(zip(new, [data[x:y] for x, y in zip([0, *ends], ends)], strict=True))
-        out = [known[p] if isinstance(p, str) else b"".join([known[q] for q in p]) if p else b"" for p in parts]
-        if whole:
-            for i, found in zip(whole, self.tokenizer.encode_batch_fast([chunks[i] for i in whole], add_special_tokens=False), strict=True):
-                out[i] = np.array(found.ids, "<u4").tobytes()
-        return out
-
 
 PIECES = "key long, doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
 
@@ -209,8 +316,9 @@ def pack(items: DataFrame, key: str = "key", length: str = "length", capacity: i
 
     Every round deals the items to tasks of about ``task_items`` and packs each task's share by best fit,
     longest first. Bins with at most ``slack`` tokens free are done. The others go into the next round as
-    items as long as they are full, in fewer tasks, until one task has packed all that was left. After a round
-    that joined next to nothing, only bins that can still be joined go on: best fit leaves at most one bin per
+    items as long as they are full, in fewer tasks, until one task has packed all that was left. In the first
+    rounds the items of open bins go on one by one, since a short one may fill a bin of another task to the
+    brim; this ends with the first round that leaves over four fifths of its items. After a later round that joined next to nothing, only bins that can still be joined go on: best fit leaves at most one bin per
     task that is half full or less, every join needs one of these, and if any bin can take them, so can as many
     of the emptiest others. So at the end no two bins that are not nearly full fit together. A task's memory is
     bounded by ``task_items``, whatever the size of the table; each round reads only the open bins of the round
@@ -219,21 +327,24 @@ def pack(items: DataFrame, key: str = "key", length: str = "length", capacity: i
     spark = items.sparkSession
     member = F.struct(F.col(key).cast("long").alias("key"), F.col(length).cast("int").alias("length"), F.lit(0).cast("long").alias("offset"))
     left = items.select(F.col(key).cast("long").alias("id"), F.col(length).cast("int").alias("fill"), F.array(member).alias("members"))
-    done, number, count = [], 0, left.count()
+    done, number, count, loose = [], 0, left.count(), True
     if not count:
         return items.select(F.col(key).cast("long").alias("key"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     while True:
         tasks = -(-count // max(task_items, 4))
         last = tasks == 1
 
-        def local(batches, number=number, last=last):
+        def local(batches, number=number, last=last, loose=loose):
             rows = pd.concat(list(batches), ignore_index=True)
             rows = rows.sort_values(["fill", "id"], ascending=[False, True], ignore_index=True)
             fills, members = rows["fill"].tolist(), rows["members"].tolist()
             base = (number << 56) + (TaskContext.get().partitionId() << 32)
             out = []
-            for at, bin_ in enumerate(best_fit(fills, capacity)):
-                fill = sum(fills[i] for i in bin_)
+            bins = [(bin_, sum(fills[i] for i in bin_)) for bin_ in best_fit(fills, capacity)]
+            if loose and not last:
+                apart = [b for b, fill in bins if len(b) > 1 and capacity - fill > slack]
+                bins = [x for x in bins if len(x[0]) == 1 or capacity - x[1] <= slack] + [([i], fills[i]) for b in apart for i in b]
+            for at, (bin_, fill) in enumerate(bins):
                 together, offset = [], 0
                 for m in (m for i in bin_ for m in members[i]):
                     together.append({"key": m["key"], "length": m["length"], "offset": offset})
@@ -257,7 +368,9 @@ def pack(items: DataFrame, key: str = "key", length: str = "length", capacity: i
         number += 1
         if not count:
             break
-        if count > 0.98 * before:
+        if loose:
+            loose = count <= 0.8 * before
+        elif count > 0.98 * before:
             half = left.where(F.col("fill") <= capacity // 2).count()
             place = F.struct("fill", "id")
             others = left.where(F.col("fill") > capacity // 2).select(place.alias("place")).orderBy("place").limit(half)
