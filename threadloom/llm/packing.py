@@ -311,40 +311,47 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 MEMBERS = "array<struct<key:long,length:int,offset:long>>"
 
 
+def dealt_by_fill(items: DataFrame, tasks: int) -> DataFrame:
+    """``items`` over ``tasks`` partitions: each partition as it is now deals its items, sorted by fill, one by one.
+
+    The order within a partition is total, so a task that runs again deals the same.
+    """
+    numbered = items.sortWithinPartitions("fill", "id").withColumn("dealt", F.monotonically_increasing_id())
+    place, partition = F.col("dealt").bitwiseAND((1 << 33) - 1), F.shiftright("dealt", 33)
+    return numbered.repartitionById(tasks, F.pmod(place + partition, F.lit(tasks)).cast("int")).drop("dealt")
+
+
 def pack(items: DataFrame, key: str = "key", length: str = "length", capacity: int = CAPACITY, slack: int = SLACK, task_items: int = TASK_ITEMS) -> DataFrame:
     """A place for every item: key, sequence_id, offset. Lengths are 1 to ``capacity``.
 
     Every round deals the items to tasks of about ``task_items`` and packs each task's share by best fit,
     longest first. Bins with at most ``slack`` tokens free are done. The others go into the next round as
-    items as long as they are full, in fewer tasks, until one task has packed all that was left. In the first
-    rounds the items of open bins go on one by one, since a short one may fill a bin of another task to the
-    brim; this ends with the first round that leaves over four fifths of its items. After a later round that joined next to nothing, only bins that can still be joined go on: best fit leaves at most one bin per
-    task that is half full or less, every join needs one of these, and if any bin can take them, so can as many
-    of the emptiest others. So at the end no two bins that are not nearly full fit together. A task's memory is
+    items as long as they are full, in fewer tasks, until one task has packed all that was left. Every task
+    gets its share of each length, so that what fits together meets (``dealt_by_fill``). After a
+    round that joined next to nothing, only bins that can still be joined go on: best fit leaves at most one bin
+    per task that is half full or less, every join needs one of these, and if any bin can take them, so can as
+    many of the emptiest others. So at the end no two bins that are not nearly full fit together. A task's memory is
     bounded by ``task_items``, whatever the size of the table; each round reads only the open bins of the round
     before, from a written table, and only their number comes to the driver. An empty table gives no rows.
     """
     spark = items.sparkSession
     member = F.struct(F.col(key).cast("long").alias("key"), F.col(length).cast("int").alias("length"), F.lit(0).cast("long").alias("offset"))
     left = items.select(F.col(key).cast("long").alias("id"), F.col(length).cast("int").alias("fill"), F.array(member).alias("members"))
-    done, number, count, loose = [], 0, left.count(), True
+    done, number, count = [], 0, left.count()
     if not count:
         return items.select(F.col(key).cast("long").alias("key"), F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     while True:
         tasks = -(-count // max(task_items, 4))
         last = tasks == 1
 
-        def local(batches, number=number, last=last, loose=loose):
+        def local(batches, number=number, last=last):
             rows = pd.concat(list(batches), ignore_index=True)
             rows = rows.sort_values(["fill", "id"], ascending=[False, True], ignore_index=True)
             fills, members = rows["fill"].tolist(), rows["members"].tolist()
             base = (number << 56) + (TaskContext.get().partitionId() << 32)
             out = []
-            bins = [(bin_, sum(fills[i] for i in bin_)) for bin_ in best_fit(fills, capacity)]
-            if loose and not last:
-                apart = [b for b, fill in bins if len(b) > 1 and capacity - fill > slack]
-                bins = [x for x in bins if len(x[0]) == 1 or capacity - x[1] <= slack] + [([i], fills[i]) for b in apart for i in b]
-            for at, (bin_, fill) in enumerate(bins):
+            for at, bin_ in enumerate(best_fit(fills, capacity)):
+                fill = sum(fills[i] for i in bin_)
                 together, offset = [], 0
                 for m in (m for i in bin_ for m in members[i]):
                     together.append({"key": m["key"], "length": m["length"], "offset": offset})
@@ -360,17 +367,14 @@ def pack(items: DataFrame, key: str = "key", length: str = "length", capacity: i
             if batches:
                 yield from local(batches)
 
-        dealt = left.repartition(tasks, F.xxhash64("id"))
-        packed = materialise(dealt.mapInPandas(guarded, f"id long, fill int, members {MEMBERS}, done boolean"), f"bins-{number}")
+        packed = materialise(dealt_by_fill(left, tasks).mapInPandas(guarded, f"id long, fill int, members {MEMBERS}, done boolean"), f"bins-{number}")
         done.append(packed.where("done"))
         left = packed.where("not done").select("id", "fill", "members")
         before, count = count, left.count()
         number += 1
         if not count:
             break
-        if loose:
-            loose = count <= 0.8 * before
-        elif count > 0.98 * before:
+        if count > 0.98 * before:
             half = left.where(F.col("fill") <= capacity // 2).count()
             place = F.struct("fill", "id")
             others = left.where(F.col("fill") > capacity // 2).select(place.alias("place")).orderBy("place").limit(half)
