@@ -30,3 +30,23 @@ def test_odd_rows(odd_docs, no_docs):
     assert got[11].places == [3] and got[11].base_labels == ["apache"] and {b.label for b in got[11].blocks} == {"apache-2.0"}
     assert got[3].n_words == 0 and got[3].places == [] and got[6].n_words == 60_000
     assert L.scan_licenses(no_docs).count() == 0
+
+
+def test_short_notices_stand_whole(spark):
+    texts = {
+        1: "Released under the Apache License",
+        2: "Licensed under CC BY 4.0",
+        3: "The 4 papers were licensed by SA under rule 0",
+        4: "Text. Licensed under CC BY-NC 4.0.",
+        5: "Text. licensed under cc by-sa 4.0 and released under the MIT license",
+        6: "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+        7: "This work is licensed under a Creative Commons Attribution 4.0 International License",
+        8: "under the terms of the GNU Lesser General Public License",
+        9: "The above copyright notice and this notice shall be included in all copies or substantial portions of this software",
+        10: "x " * 200 + "all rights reserved. No part of this publication may be reproduced " + "y " * 200,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.row.doc_id: sorted({b.label for b in r.found.blocks}) for r in L.scan_licenses(docs).collect()}
+    assert got == {
+        1: [], 2: [], 3: [], 4: ["cc-by-nc-4.0"], 5: ["cc-by-sa-4.0", "mit-notice"], 6: [], 7: ["cc-by-4.0"], 8: ["lgpl"], 9: ["mit-notice"], 10: ["all-rights-reserved"],
+    }

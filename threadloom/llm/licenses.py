@@ -31,13 +31,19 @@ NOTICES = {
     "licensed under cc by nc 4 0": "cc-by-nc-4.0",
     "licensed under cc by sa 4 0": "cc-by-sa-4.0",
     "this work is licensed under a creative commons attribution 4 0 international license": "cc-by-4.0",
+    "gnu lesser general public license": "lgpl",
     "released under the mit license": "mit-notice",
     "permission is hereby granted free of charge to any person obtaining a copy of this software": "mit-notice",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-notice",
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis": "apache-2.0",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd",
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
     "all rights reserved no part of this publication may be reproduced": "all-rights-reserved",
 }
 THRESHOLD = 0.8
+# Notices of up to so many words must stand there whole: one other word makes another license of them.
+SHORT = 13
 
 
 def block_words(templates: list[list[bytes]]) -> int:
@@ -120,22 +126,30 @@ FOUND = T.StructType(
 )
 
 
-def scan_text(text: bytes | None, table: Templates, phrases: dict[str, str]) -> tuple:
+def stands_whole(name: str, phrases: dict[str, str], short: int) -> bool:
+    """Whether a template's words must all be there, in order and next to each other."""
+    return name in phrases or len(K.alnum_words(name.encode())) <= short
+
+
+def scan_text(text: bytes | None, table: Templates, phrases: dict[str, str], whole: set[str]) -> tuple:
     """Words, first words of phrase places, their labels, and the notice blocks.
 
-    A phrase is a template of which a block must have every word; its places are then read off the block.
+    A phrase or short notice is a template of which a block must have every word; its places are then read off the block.
     """
     words = K.alnum_words(text)
     places, base, blocks = set(), set(), []
     for start, name, containment in table.join(words):
-        if name not in phrases:
+        if name not in whole:
             blocks.append((start, table.labels[name], containment))
             continue
         phrase = table.words[name]
-        for i in range(start, min(start + 2 * table.stride, len(words)) - len(phrase) + 1):
-            if words[i : i + len(phrase)] == phrase:
-                places.add((i, name))
-                base.add(phrases[name])
+        last = min(start + 2 * table.stride, len(words)) - len(phrase)
+        found = [i for i in range(start, last + 1) if words[i : i + len(phrase)] == phrase]
+        if name in phrases:
+            places.update((i, name) for i in found)
+            base.update(phrases[name] for _ in found[:1])
+        elif found:
+            blocks.append((start, table.labels[name], containment))
     return len(words), sorted(i for i, _ in places), sorted(base), blocks
 
 
@@ -145,11 +159,13 @@ def scan_licenses(
     phrases: dict[str, str] = PHRASES,
     notices: dict[str, str] = NOTICES,
     threshold: float = THRESHOLD,
+    short: int = SHORT,
 ) -> DataFrame:
     """Every row of ``docs`` as a struct ``row`` beside ``found``: n_words, places, base_labels, blocks.
 
     ``places`` are the first words of all phrase occurrences, ``blocks`` the blocks of words (start, label,
-    containment) holding at least ``threshold`` of a notice's distinct words. Two passes over the texts, no
+    containment) holding at least ``threshold`` of a notice's distinct words, or a whole notice, word after word,
+    if it has at most ``short`` words. Two passes over the texts, no
     shuffle of them: the first counts in how many documents each template word occurs, over all documents
     (as many rows as there are template words reach the driver); the second joins. The templates are
     arguments, so the driver holds them anyway.
@@ -170,11 +186,12 @@ def scan_licenses(
         yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
     counts = source.select("text").mapInPandas(present, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    thresholds = {name: 1.0 if name in phrases else threshold for name in templates}
+    whole = {name for name in templates if stands_whole(name, phrases, short)}
+    thresholds = {name: 1.0 if name in whole else threshold for name in templates}
     table = Templates(templates, {bytes(r[0]): r[1] for r in counts.collect()}, thresholds)
 
     def scan(texts: pd.Series) -> pd.DataFrame:
-        rows = [scan_text(t, table, phrases) for t in texts]
+        rows = [scan_text(t, table, phrases, whole) for t in texts]
         return pd.DataFrame(
             {
                 "n_words": [r[0] for r in rows],

@@ -38,13 +38,14 @@ def licenses_sql() -> str:
     templates = {**licenses.PHRASES, **licenses.NOTICES}
     words = {name: licenses.K.alnum_words(name.encode()) for name in templates}
     stride = licenses.block_words(list(words.values()))
+    whole = {name: licenses.stands_whole(name, licenses.PHRASES, licenses.SHORT) for name in templates}
     rows = ", ".join(
-        f"({i}, '{label}', {str(name in licenses.PHRASES).lower()}, ['{"','".join(w.decode() for w in words[name])}'], {1.0 if name in licenses.PHRASES else licenses.THRESHOLD})"
+        f"({i}, '{label}', {str(name in licenses.PHRASES).lower()}, {str(whole[name]).lower()}, ['{"','".join(w.decode() for w in words[name])}'], {licenses.THRESHOLD})"
         for i, (name, label) in enumerate(templates.items())
     )
     return f"""
-WITH templates(t, label, base, phrase, least) AS (VALUES {rows}),
-tokens AS (SELECT t, unnest(list_distinct(phrase)) AS w FROM templates),
+WITH templates(t, label, base, whole, phrase, least) AS (VALUES {rows}),
+tokens AS (SELECT t, unnest(list_distinct(phrase)) AS w FROM templates WHERE NOT whole),
 docs AS (SELECT doc_id, {SQL_ALNUM} AS words FROM documents),
 numbered AS (SELECT doc_id, unnest(words) AS w, unnest(range(len(words))) AS i FROM docs),
 shared AS (
@@ -52,19 +53,19 @@ shared AS (
     SELECT doc_id, t, w, i, unnest([i // {stride}, i // {stride} - 1]) AS b FROM numbered JOIN tokens USING (w)
   ) WHERE b >= 0),
 held AS (
-  SELECT doc_id, t, label, base, n / len(list_distinct(phrase)) AS containment
+  SELECT doc_id, t, label, n / len(list_distinct(phrase)) AS containment
   FROM (SELECT doc_id, b, t, count(*) AS n FROM shared GROUP BY ALL) JOIN templates USING (t)
   WHERE n >= ceil(least * len(list_distinct(phrase)) - 1e-9)),
 places AS (
-  SELECT doc_id, label, i FROM (SELECT n.doc_id, n.i, t.label, t.phrase FROM numbered n JOIN templates t ON t.base AND n.w = t.phrase[1])
+  SELECT doc_id, label, base, i FROM (SELECT n.doc_id, n.i, t.label, t.base, t.phrase FROM numbered n JOIN templates t ON t.whole AND n.w = t.phrase[1])
   JOIN docs USING (doc_id) WHERE words[i + 1:i + len(phrase)] = phrase),
 base AS (
   SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, array_to_string(list_sort(list(DISTINCT label)), ',') AS base_labels
-  FROM places GROUP BY 1),
+  FROM places WHERE base GROUP BY 1),
 every AS (
   SELECT doc_id, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM (
-    SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM held WHERE NOT base) GROUP BY 1),
-best AS (SELECT doc_id, max(containment) AS score FROM held WHERE NOT base GROUP BY 1)
+    SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM held) GROUP BY 1),
+best AS (SELECT doc_id, max(containment) AS score FROM (SELECT doc_id, containment FROM held UNION ALL SELECT doc_id, 1.0::DOUBLE FROM places) GROUP BY 1)
 SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
        CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE round(coalesce(score, 0), 9) END AS score
