@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.operators.groups import nest_in_parts
+from threadloom.plans import kept_blocks as B
 from threadloom.plans.kept_blocks import KeptBlocks
 
 REPLIES = "parent long, at int, id long, text string"
@@ -67,3 +68,28 @@ def test_nothing(spark, tmp_path):
     kept = table(spark, tmp_path / "t")
     kept.add(spark.createDataFrame([], REPLIES), 0)
     assert got(kept, spark) == [(p, 0, []) for p in range(6)]
+
+
+def test_replies_are_dealt_once_and_held_once(spark, tmp_path, monkeypatch):
+    """A batch deals its replies once, by parent, and writes them from there; a column that orders and is given out stands once in a block."""
+    frames = []
+    write = B.write_batch
+    monkeypatch.setattr(B, "write_batch", lambda df, *more: (frames.append(df), write(df, *more))[1])
+    kept = KeptBlocks(spark, str(tmp_path / "t"), spark.createDataFrame([], REPLIES).schema, "parent", ["at", "id", "text"], ["id", "text"], 4, buckets=4)
+    kept.add(spark.createDataFrame(ROWS, REPLIES), 0)
+    kept.add(spark.createDataFrame([(1, 50, 150, "x"), (2, 3, 250, "z")], REPLIES), 1)
+    assert kept.block["items"].dataType.elementType.fieldNames() == ["at", "id", "text"]
+    assert kept.block["last"].dataType.fieldNames() == ["at", "id"]
+    assert not any("REPARTITION" in f._jdf.queryExecution().executedPlan().toString() for f in frames)
+    numbered = [r for r in got(kept, spark) if r[0] == 2]
+    assert numbered == [(2, 0, [200, 201, 202, 203]), (2, 1, [250, 204, 205, 206]), (2, 2, [207])]
+
+
+def test_equal_ends_and_unknown_times(spark, tmp_path):
+    """Replies equal up to the first text, over several batches and blocks."""
+    rows = [(1, t, 7, x) for t in (5, None) for x in "fbdacehg"] + [(1, 5, 7, "b"), (1, 5, 7, None)]
+    kept = KeptBlocks(spark, str(tmp_path / "t"), spark.createDataFrame([], REPLIES).schema, "parent", ["at", "id", "text"], ["text"], 4, buckets=4)
+    for number in range(3):
+        kept.add(spark.createDataFrame(rows[number::3], REPLIES), number)
+    texts = [x.text for r in sorted(kept.read().collect(), key=lambda r: r.part) for x in r["items"]]
+    assert texts == list("abcdefgh") + [None] + list("abbcdefgh")

@@ -68,15 +68,22 @@ def block_totals(nested: DataFrame, key: str, **totals: Column) -> DataFrame:
 
 
 def number_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], into: str = "position", hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    into: str = "position",
+    hot_rows: int = HOT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """1-based position of each row within its group, by a total order of plain columns.
 
     A null key is a group like any other. Groups up to ``hot_rows`` take a window. The rows of larger ones are sorted by (group, order)
     across all tasks, written with their place in their slice, and the places before each slice are
     added up from a table of one row per (slice, group): exact, and no task sees a whole hot group.
+    ``sizes``, a row per group with its ``_n``, saves counting where they are known.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = materialise(sizes.where(F.col("_n") > hot_rows).select(*keys), "hot-groups")
     window = Window.partitionBy(*keys).orderBy(*order)
     if hot.isEmpty():
