@@ -1,9 +1,11 @@
 """Body rules on pages written by hand."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from threadloom.functions import html as H
+from threadloom.operators import extraction as E
 from threadloom.operators.extraction import extract_pages, repaired_bodies, rule_for
 from threadloom.plans.articles import repair_bodies
 
@@ -83,3 +85,21 @@ def test_a_failing_rule_keeps_the_default_body(spark, failure):
     stored = df.select(F.col("page_id").alias("tweet_id"), F.lit("paper").alias("user"), "html")
     fixed = repaired_bodies(stored, {"paper": "mine"}, {"mine": rule}).collect()
     assert [tuple(r) for r in fixed] == [(1, "by rule")]
+
+
+def test_results_are_handed_back_in_slices():
+    """A batch of any length gives results of a slice at a time, and a page is read when its slice is due."""
+    seen = []
+
+    def rule(page):
+        seen.append(page)
+        return None if len(seen) % 2 else f"body {len(seen)}"
+
+    pages, rules = pa.array(["<p>a</p>"] * 4 + [None]), pa.array(["r", "r", "r", "r", None])
+    whole = E._whole_pages({"r": rule}, 2).func(iter([(pages, rules)]))
+    first = next(whole)
+    assert (len(first), len(seen)) == (2, 2)
+    assert [x for part in [first, *whole] for x in part.field("body").to_pylist()] == ["a", "body 2", "a", "body 4", None]
+    seen.clear()
+    parts = [p.to_pylist() for p in E._bodies_by_rule({"r": rule}, 3).func(iter([(pages.slice(0, 4), rules.slice(0, 4))]))]
+    assert parts == [[None, "body 2", None], ["body 4"]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BODY_RULES = {"infobae": "article"}
 
 EXTRACTED = T.StructType([T.StructField("title", T.StringType()), T.StructField("body", T.StringType())])
+# Pages whose results are handed back together: a task holds these and one page beside the batch that came in.
+SLICE = 500
 UNREADABLE = (AssertionError, ValueError, RecursionError)
 
 Rule = Callable[[H.Node], str | None]
@@ -41,13 +43,20 @@ def _outline(page: str | None) -> H.Node | None:
         return None  # a page that cannot be read has no page part
 
 
-def _whole_pages(functions: Mapping[str, Rule]):
+def _slices(batches: Iterator[tuple[pa.Array, pa.Array]], rows: int) -> Iterator[Iterator[tuple[str | None, str | None]]]:
+    """Pages and rule names in slices of ``rows``; a page becomes a string only when its turn comes."""
+    for pages, rules in batches:
+        for at in range(0, len(pages), rows):
+            yield ((page.as_py(), rule.as_py()) for page, rule in zip(pages.slice(at, rows), rules.slice(at, rows)))
+
+
+def _whole_pages(functions: Mapping[str, Rule], rows: int = SLICE):
     """(html, rule name) -> title and body; a rule that does not apply or fails leaves the default body."""
 
-    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for pages, rules in batches:
+    def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for part in _slices(batches, rows):
             titles, bodies = [], []
-            for page, rule in zip(pages, rules):
+            for page, rule in part:
                 title = body = None
                 tree = _outline(page)
                 if tree is not None:
@@ -59,20 +68,20 @@ def _whole_pages(functions: Mapping[str, Rule]):
                         pass
                 titles.append(title)
                 bodies.append(body)
-            yield pd.DataFrame({"title": titles, "body": bodies})
+            yield pa.StructArray.from_arrays([pa.array(titles, pa.string()), pa.array(bodies, pa.string())], ["title", "body"])
 
-    return F.pandas_udf(read, EXTRACTED)
+    return F.arrow_udf(read, EXTRACTED)
 
 
-def _bodies_by_rule(functions: Mapping[str, Rule]):
+def _bodies_by_rule(functions: Mapping[str, Rule], rows: int = SLICE):
     """(html, rule name) -> body, null where the rule does not apply or fails."""
 
-    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for pages, rules in batches:
-            trees = [(_outline(page), functions[rule]) for page, rule in zip(pages, rules)]
-            yield pd.Series([None if tree is None else _ruled(rule, tree) for tree, rule in trees], dtype=object)
+    def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for part in _slices(batches, rows):
+            trees = ((_outline(page), functions[rule]) for page, rule in part)
+            yield pa.array([None if tree is None else _ruled(rule, tree) for tree, rule in trees], pa.string())
 
-    return F.pandas_udf(read, T.StringType())
+    return F.arrow_udf(read, T.StringType())
 
 
 def rule_for(newspaper: Column | str, rules: Mapping[str, str] = BODY_RULES) -> Column:
