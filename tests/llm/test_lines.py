@@ -63,3 +63,28 @@ def test_sets_are_no_join_key(spark, monkeypatch):
     plans = [f._jdf.queryExecution().optimizedPlan().toString() for f in frames]
     assert any("Join" in p for p in plans)
     assert not any("transform(" in line for p in plans for line in p.split("\n") if "Join" in line or "Filter" in line)
+
+
+def test_lines_of_one_passage_do_not_meet_by_it(spark, monkeypatch):
+    """Lines with the same passage and many words of their own are compared with a few others, not with all; near copies still go."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(80)]
+    rows = []
+    for doc in range(200):
+        line = list(passage)
+        for at in rng.sample(range(80), 2 if doc % 10 == 0 else 9):
+            line[at] = f"own{doc}x{at}"
+        rows.append((doc, " ".join(line)))
+    rows += [(1000 + doc, text + " more") for doc, text in rows[1:40:3]]
+    pairs = []
+    write = L.materialise
+
+    def written(df, name):
+        out = write(df, name)
+        if name == "line-pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(L, "materialise", written)
+    check(spark, rows)
+    assert sum(pairs) < 8 * len(rows)

@@ -10,6 +10,8 @@ from threadloom.session import materialise
 SIZE, PERCENT = 5, 80
 FREQUENT, SLOTS, SALTS = 500, 1 << 14, 64
 SENT_ROWS = 500_000
+# A shingle that more classes have in their prefixes is crowded; one that more crowded classes have at all comes late in their order.
+CROWD, USUAL = 64, 8
 
 
 def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -20,7 +22,9 @@ def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def line_words(lines: DataFrame, *kept: str) -> DataFrame:
     """``kept`` and ``words``: hashes of the words, split at white space, of a lower-cased line."""
-    words = F.array_remove(F.split(F.translate(F.lower("line"), "\t\x0b\f\r", "    "), " "), "")
+    # Translating goes letter by letter, so only lines that need it are.
+    spaced = F.when(F.col("line").rlike(r"[\t\x0b\f\r]"), F.translate(F.lower("line"), "\t\x0b\f\r", "    ")).otherwise(F.lower("line"))
+    words = F.array_remove(F.split(spaced, " "), "")
     return lines.select(*kept, F.transform(words, lambda w: F.xxhash64(w)).alias("words"))
 
 
@@ -30,7 +34,8 @@ def line_sets(words: DataFrame, size: int, *kept: str) -> DataFrame:
     The hashed words must be a column of their own: written into the lambda they would be made anew for every
     run. So nothing that reads ``set`` may be a filter or join key until the sets are written.
     """
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0))), lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(size)]))
+    runs = F.transform("words", lambda w, i: F.xxhash64(w, *[F.get("words", i + k) for k in range(1, size)]))
+    runs = F.slice(runs, F.lit(1), F.greatest(F.size("words") - size + 1, F.lit(1)))
     return words.select(*kept, F.when(F.size("words") > 0, F.sort_array(F.array_distinct(runs))).alias("set"))
 
 
@@ -127,24 +132,25 @@ def matching_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         ready = ready.unionByName(again)
     postings = ready.select(F.posexplode("short").alias("pos", "shingle"), "class_id", "n", "first")
 
-    # The classes of a frequent shingle are dealt over several tasks; each part has an earliest class of its own.
-    common = is_frequent(F.col("shingle"))
-    salted = postings.withColumn("salt", F.when(common, F.pmod(F.col("class_id"), F.lit(SALTS)).cast("int")).otherwise(-1))
-    part = Window.partitionBy("shingle", "salt").orderBy("first")
-    met = salted.withColumns(
-        {"a": F.first(F.struct("class_id", "n", "pos")).over(part), "before": F.lag("class_id").over(part), "after": F.lead("class_id").over(part)}
-    )
-    met = met.where("before is not null or after is not null or salt >= 0").drop("before", "after", "salt")
-    met = materialise(met, "met-lines")
-    early = met.select(F.col("a.class_id").alias("a"), F.col("a.n").alias("na"), F.col("a.pos").alias("pa"), F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    found = _verified(early.where("a <> b"), lines, classes, size, percent)
-    gone = materialise(found.select(F.col("b").alias("class_id")).distinct(), "gone-early")
-
-    open_ = met.join(gone, "class_id", "left_anti")
-    left, right = met.drop("a").alias("l"), open_.drop("a").alias("r")
-    late = left.join(right, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.first") < F.col("r.first")))
-    late = late.select(F.col("l.class_id").alias("a"), F.col("l.n").alias("na"), F.col("l.pos").alias("pa"), F.col("r.class_id").alias("b"), F.col("r.n").alias("nb"), F.col("r.pos").alias("pb"))
-    found = _verified(late, lines, classes, size, percent)
+    met = _met(postings.withColumn("common", is_frequent(F.col("shingle"))))
+    early = _counted(_early(met), percent)
+    sizes = met.groupBy("shingle").agg(F.count("*").alias("count"))
+    crowded = materialise(sizes.where(F.col("count") > CROWD).select("shingle"), "crowded-shingles")
+    crowded = sent_if_small(crowded)
+    crowd = materialise(met.join(crowded, "shingle", "left_semi").select("class_id", "n", "first").distinct(), "crowd-lines")
+    # One reading of the texts serves the first comparison and the order of the crowd.
+    sets = _class_sets(_ends(early).unionByName(crowd.select("class_id")).distinct(), classes, lines, size)
+    gone = materialise(_matching(early, sets, percent).select(F.col("b").alias("class_id")).distinct(), "gone-early")
+
+    again = _met(_rare_first(crowd, sets, percent))
+    early = _counted(_early(again.where("a.first < first").join(gone, "class_id", "left_anti")), percent)
+    gone = gone.unionByName(_matching(early, sets, percent).select(F.col("b").alias("class_id"))).distinct()
+    gone = materialise(gone, "gone-crowd")
+    late = _counted(_late(again, gone), percent)
+    gone = materialise(gone.unionByName(_matching(late, sets, percent).select(F.col("b").alias("class_id"))).distinct(), "gone-late")
+
+    late = _counted(_late(met.join(crowded, "shingle", "left_anti"), gone), percent)
+    found = _matching(late, _class_sets(_ends(late), classes, lines, size), percent)
     gone = gone.unionByName(found.select(F.col("b").alias("class_id"))).distinct().withColumn("gone", F.lit(True))
 
     decided = classes.join(gone, "class_id", "left").where("copies > 1 or gone").select("class_id", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
@@ -167,8 +173,54 @@ def _sets_at(lines: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return sets.where(F.xxhash64("set") == F.col("class_id"))
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that match. ``pairs``: a, na, pa, b, nb, pb, a row for each shared prefix shingle."""
+def _met(postings: DataFrame) -> DataFrame:
+    """The postings of shingles that more than one class has, each with the earliest class ``a`` of its part of the shingle.
+
+    The classes of a ``common`` shingle are dealt over several tasks; each part has an earliest class of its own.
+    All postings are shuffled here, so their columns are few and flat.
+    """
+    salt = F.when(F.col("common"), F.pmod(F.col("class_id"), F.lit(SALTS)).cast("int") + 1).otherwise(0).alias("salt")
+    sizes = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("pos")).alias("sizes")
+    flat = postings.select("shingle", "class_id", F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at"), sizes, salt)
+    part = Window.partitionBy("shingle", "salt")
+    here = F.struct(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "at").alias("first"), "class_id", "sizes")
+    met = flat.withColumns({"least": F.min(here).over(part), "classes": F.count("*").over(part)}).where("classes > 1 or salt > 0")
+    n, pos = lambda x: F.shiftright(x, 32).cast("int").alias("n"), lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos")
+    a = F.struct(F.col("least.class_id"), n(F.col("least.sizes")), pos(F.col("least.sizes")), F.col("least.first")).alias("a")
+    met = met.select("shingle", "class_id", n(F.col("sizes")), pos(F.col("sizes")), F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "at").alias("first"), a)
+    return materialise(met, "met-lines")
+
+
+def _early(met: DataFrame) -> DataFrame:
+    """Every posting beside the earliest class of its part: a, na, pa, b, nb, pb."""
+    early = met.select(F.col("a.class_id").alias("a"), F.col("a.n").alias("na"), F.col("a.pos").alias("pa"), F.col("class_id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    return early.where("a <> b")
+
+
+def _late(met: DataFrame, gone: DataFrame) -> DataFrame:
+    """Every posting of a class that is not ``gone`` beside all earlier ones of its shingle: a, na, pa, b, nb, pb."""
+    left, right = met.drop("a").alias("l"), met.join(gone, "class_id", "left_anti").drop("a").alias("r")
+    late = left.join(right, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.first") < F.col("r.first")))
+    return late.select(F.col("l.class_id").alias("a"), F.col("l.n").alias("na"), F.col("l.pos").alias("pa"), F.col("r.class_id").alias("b"), F.col("r.n").alias("nb"), F.col("r.pos").alias("pb"))
+
+
+def _rare_first(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Postings of the ``crowd``'s prefixes, its shingles in order of how many of its classes have them, then by hash.
+
+    Counts up to ``USUAL`` are one. Lines made of the same passage with other words in it have those in their
+    prefixes, and do not meet by the passage.
+    """
+    shingles = sets.join(sent_if_small(crowd.select("class_id")), "class_id", "left_semi").select("class_id", F.explode("set").alias("shingle"))
+    often = materialise(shingles.groupBy("shingle").agg(F.count("*").alias("count")).where(F.col("count") > USUAL), "often-met")
+    ranked = shingles.join(sent_if_small(often), "shingle", "left").select("class_id", F.struct(F.coalesce("count", F.lit(0)).alias("count"), "shingle").alias("run"))
+    ranked = ranked.groupBy("class_id").agg(F.sort_array(F.collect_set("run")).alias("ranked")).join(crowd, "class_id")
+    short = F.slice("ranked", F.lit(1), F.col("n") - need(F.col("n"), percent) + 1)
+    postings = ranked.select(F.posexplode(short).alias("pos", "run"), "class_id", "n", "first")
+    return postings.select("pos", "run.shingle", "class_id", "n", "first", (F.col("run.count") > CROWD).alias("common"))
+
+
+def _counted(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may match, with na and nb. ``pairs``: a, na, pa, b, nb, pb, a row for each shared prefix shingle."""
     least = overlap_for(F.col("na"), F.col("nb"), percent)
     # Before their places the two share at most as many as the earlier place has; after them, what is left of the shorter rest.
     possible = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
@@ -176,11 +228,24 @@ def _verified(pairs: DataFrame, lines: DataFrame, classes: DataFrame, size: int,
     counted = pairs.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
     # What both have in their prefixes, and the rest of the set whose prefix ends first.
     counted = counted.where(F.col("shared") + F.greatest(need(F.col("na"), percent), need(F.col("nb"), percent)) - 1 >= least)
-    counted = materialise(counted.select("a", "b", "na", "nb"), "line-pairs")
-    wanted = counted.select(F.col("a").alias("class_id")).unionByName(counted.select(F.col("b").alias("class_id"))).distinct()
-    wanted = materialise(classes.join(wanted, "class_id", "left_semi").select("class_id", "first"), "wanted-lines")
-    sets = _sets_at(lines, wanted, size).dropDuplicates(["class_id"])
-    both = counted.join(sets.select(F.col("class_id").alias("a"), F.col("set").alias("sa")), "a")
+    return materialise(counted.select("a", "b", "na", "nb"), "line-pairs")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id")))
+
+
+def _class_sets(wanted: DataFrame, classes: DataFrame, lines: DataFrame, size: int) -> DataFrame:
+    """class_id and set of the ``wanted`` classes; a class whose place is there twice may come twice."""
+    wanted = materialise(classes.join(wanted.distinct(), "class_id", "left_semi").select("class_id", "first"), "wanted-lines")
+    return _sets_at(lines, wanted, size).select("class_id", "set")
+
+
+def _matching(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets match. Sets of other classes don't travel."""
+    least = overlap_for(F.col("na"), F.col("nb"), percent)
+    sets = sets.join(sent_if_small(_ends(pairs).distinct()), "class_id", "left_semi").dropDuplicates(["class_id"])
+    both = pairs.join(sets.select(F.col("class_id").alias("a"), F.col("set").alias("sa")), "a")
     both = both.join(sets.select(F.col("class_id").alias("b"), F.col("set").alias("sb")), "b")
     return both.where(F.size(F.array_intersect("sa", "sb")) >= least).select("a", "b")
 
