@@ -38,3 +38,17 @@ def test_documents_of_such_words(spark):
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
     assert [list(r.ids) for r in packed] == [tokenizer.encode(t, add_special_tokens=False).ids + [0] for _, t in rows]
+
+
+def test_freed_memory_goes_back():
+    """What small blocks held is the system's again, though a block above them is still in use."""
+
+    def held():
+        return sum(int(line.split()[1]) for line in open("/proc/self/smaps_rollup") if line.startswith("Pss_Anon"))
+
+    blocks = [bytes(3000) for _ in range(30_000)]
+    last = bytes(3000)
+    before = held()
+    del blocks
+    K.give_back()
+    assert len(last) == 3000 and held() < before - 60_000

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import sys
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 
 # The code travels with the job, so executors need only numpy, pandas and pyarrow.
@@ -101,13 +103,26 @@ def taken(chars: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> tuple[np.n
     return chars[np.repeat(ends[chosen] - new[:-1], runs) + np.arange(new[-1])], new
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a Python worker outlives its tasks, and its executor needs the room for the stages to come."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim:
+        trim(0)
+
+
 def runs_of(texts: list[bytes | None], size: int = 1_000_000):
     """(first, end) of runs of texts with about ``size`` bytes."""
+    return runs_of_sizes([len(t or b"") for t in texts], size)
+
+
+def runs_of_sizes(sizes: list[int], size: int = 1_000_000):
+    """(first, end) of runs of texts, of which the ``sizes`` in bytes are known, with about ``size`` bytes."""
     first, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t or b"")
+    for i, n in enumerate(sizes):
+        held += n
         if held > size:
             yield first, i + 1
             first, held = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    if first < len(sizes):
+        yield first, len(sizes)

@@ -271,6 +271,8 @@ def tokenise(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
                         rows = []
             if rows:
                 yield _frame(rows)
+            batch = rows = None
+        K.give_back()
 
     # As text, since pandas would make floats of ids among which there are nulls.
     source = docs.select(F.col(doc_id).cast("long").cast("string").alias("doc_id"), F.col(text).cast("binary").alias("text"))

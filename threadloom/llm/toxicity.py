@@ -7,6 +7,8 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -298,15 +300,21 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: dict[int, int
 
 
 def toxicity_score(spark: SparkSession, model: dict | None, text: Column) -> Column:
-    """The score of every whole text, 0 to 1. Null and empty texts are one empty word; without a model all get 0.5."""
+    """The score of every whole text, 0 to 1. Null and empty texts are one empty word; without a model all get 0.5.
+
+    Texts come as an Arrow column and are taken out of it a run at a time, so a worker holds a batch once.
+    """
     if model is None:
         return F.lit(0.5)
     shared = spark.sparkContext.broadcast(model)
 
-    def scores(texts: pd.Series) -> pd.Series:
-        return pd.Series(score_texts(shared.value, list(texts)), dtype="float64")
+    def scores(texts: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        runs = [score_texts(shared.value, texts.slice(first, end - first).to_pylist()) for first, end in K.runs_of_sizes(sizes.tolist())]
+        K.give_back()
+        return pa.array(np.concatenate([np.empty(0), *runs]), pa.float64())
 
-    return F.pandas_udf(scores, "double")(text.cast("binary"))
+    return F.arrow_udf(scores, "double")(text.cast("binary"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = 0.7, text: str = "text", **settings) -> DataFrame:
